@@ -35,12 +35,13 @@ def changed_rows(
     """The batch rows that must be stored: new keys, and known keys that pass the gate.
 
     Reads only the key, gate and ``created_at`` columns of the target. Rows come out in the target's
-    schema, with ``created_at`` carried over and ``updated_at`` set.
+    schema, with ``created_at`` carried over and ``updated_at`` set. The batch is read twice, so hand in a
+    written one.
     """
     require_columns(batch, keys)
     gate_columns = list(getattr(gate, "columns", ()))
     kept_columns = [*keys, *gate_columns] + [c for c in ("created_at",) if c in target.columns]
-    known = target.select(*kept_columns, F.lit(True).alias("_known")).alias("t")
+    known = _reachable(target.select(*kept_columns, F.lit(True).alias("_known")), batch, keys).alias("t")
     joined = batch.alias("b").join(known, on=[F.col(f"b.{k}") == F.col(f"t.{k}") for k in keys], how="left")
     is_new = F.col("t._known").isNull()
     wanted = joined.where(is_new | (gate("t", "b") if gate else F.lit(True)))
@@ -55,6 +56,15 @@ def changed_rows(
     return wanted.select(*[value(f.name).cast(f.dataType).alias(f.name) for f in target.schema])
 
 
+def _reachable(stored: DataFrame, batch: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Stored rows the batch can meet.
+
+    A batch that is small next to the store is broadcast by its measured size, so the store is read and
+    reduced in place; the join that follows then meets a small side and needs no shuffle of the store either.
+    """
+    return stored.join(batch.select(*columns), on=list(columns), how="left_semi")
+
+
 def upsert(
     target: DataFrame,
     batch: DataFrame,
@@ -78,5 +88,5 @@ def upsert(
 
 def not_stored_yet(batch: DataFrame, stored: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Batch rows whose combination of columns is not among the stored rows."""
-    seen = stored.select(*columns)
+    seen = _reachable(stored.select(*columns), batch, columns)
     return batch.join(seen, on=list(columns), how="left_anti").select(*batch.columns)

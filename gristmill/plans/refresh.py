@@ -99,7 +99,9 @@ class Run:
     def build_vectors(self, encoder: EncoderFactory, dim: int, model_version: str, stored: DataFrame | None) -> DataFrame:
         """Embed what is not stored yet and write the next version of the vector table."""
         reviews = tables.read_all(self.spark, self.staging_path("reviews"))
-        prepared = vectors.prepare(reviews, model_version)
+        prepared_path = self.staging_path("reviews_for_embedding")
+        tables.write_partitions(vectors.prepare(reviews, model_version), prepared_path)
+        prepared = require_rows(tables.read_all(self.spark, prepared_path), "the prepared reviews")
         todo = vectors.pending(prepared, stored) if stored is not None else prepared
         embedded = f"{self.root}/embedded/{self.run_date}"
         tables.write_partitions(vectors.embed_reviews(todo, encoder), embedded)

@@ -25,9 +25,9 @@ CONTENT_CHANGED = differs("text_hash", "model_version")
 def prepare(reviews: DataFrame, model_version: str = DEFAULT_MODEL) -> DataFrame:
     """Reviews with a text to embed, its hash and the model it is meant for."""
     require_columns(reviews, [*IDENTITY, "summary", "review_text"])
-    texts = reviews.select(
-        *IDENTITY, embedding_text(F.col("summary"), F.col("review_text")).alias("text_for_embedding")
-    ).where(F.col("text_for_embedding").isNotNull())
+    text = embedding_text(F.col("summary"), F.col("review_text"))
+    # A filter on the text would clean it a second time; unpacking a list that lost its null does not.
+    texts = reviews.select(*IDENTITY, F.explode(F.array_compact(F.array(text))).alias("text_for_embedding"))
     return texts.select(
         "*", text_digest(F.col("text_for_embedding")).alias("text_hash"), F.lit(model_version).alias("model_version")
     )

@@ -424,7 +424,8 @@ def cosine_topk(spark, sf_dir):
 @query
 def embedding_upsert(spark, sf_dir):
     stored = samples.stored_vectors(spark, sf_dir)
-    merged = vector_plans.merge_vectors(stored, samples.vector_batch(spark, sf_dir), _now())
+    changed = vector_plans.changed_vectors(stored, samples.vector_batch(spark, sf_dir), _now())
+    merged = vector_plans.apply_changes(stored, materialize(changed, "changed-vectors"), _now())
     return merged.select(
         *[c for c in merged.columns if c != "embedding"],
         F.get("embedding", F.lit(0)).cast("double").alias("first_component"),
