@@ -20,8 +20,9 @@ def _squeeze(expr: str) -> str:
 
 def _decode(expr: str) -> str:
     out = expr
-    for entity, char in (("&quot;", '"'), ("&copy;", "©"), ("&middot;", "·"), ("&amp;", "&")):
-        out = f"replace({out}, '{entity}', '{char}')"
+    # These entities count with and without the semicolon; the ampersand itself comes last.
+    for entity, char in (("&quot", '"'), ("&copy", "©"), ("&middot", "·"), ("&amp", "&")):
+        out = f"regexp_replace({out}, '{entity};?', '{char}', 'g')"
     return out
 
 

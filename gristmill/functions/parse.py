@@ -95,7 +95,7 @@ def string_map(c: Column, data_type: T.DataType) -> Column:
 def map_text(c: Column) -> Column:
     """Readable, order-independent form of a string map: ``k=v`` pairs sorted and comma-joined."""
     pairs = F.transform(F.map_entries(c), lambda e: F.concat_ws("=", e["key"], e["value"]))
-    return F.array_join(F.array_sort(pairs), ",")
+    return F.array_join(F.sort_array(pairs), ",")
 
 
 def json_string_array(c: Column) -> Column:

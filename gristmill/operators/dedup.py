@@ -37,7 +37,7 @@ def tie_break(df: DataFrame, decided: Iterable[str]) -> list[Column]:
 
 def _sortable(field: T.StructField) -> Column:
     c = F.col(field.name)
-    return F.array_sort(F.map_entries(c)) if isinstance(field.dataType, T.MapType) else c
+    return F.sort_array(F.map_entries(c)) if isinstance(field.dataType, T.MapType) else c
 
 
 def latest_by(df: DataFrame, keys: Sequence[str], *order_columns: str) -> DataFrame:

@@ -227,7 +227,7 @@ def struct_to_map(spark, sf_dir):
 
 @query
 def clean_text(spark, sf_dir):
-    pages = samples.table(spark, sf_dir, "pages")
+    pages = samples.spread(samples.table(spark, sf_dir, "pages"))
     return pages.select("page_id", text.clean_text(F.col("html")).alias("cleaned"))
 
 
@@ -325,7 +325,7 @@ def embedding_text(spark, sf_dir):
 
 def _document_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents in the shape of staging reviews; German ones have no summary, some summaries are blank."""
-    documents = samples.table(spark, sf_dir, "documents")
+    documents = samples.spread(samples.table(spark, sf_dir, "documents"))
     summary = F.when(F.col("lang") == "de", F.lit(None)).when(F.col("source") == "src1", "  ")
     return documents.select(
         F.concat(F.lit("D"), "doc_id").alias("review_id"),
@@ -348,7 +348,7 @@ def embed_documents(spark, sf_dir):
 @query
 def embedding_incremental(spark, sf_dir):
     """Documents still to embed when labelled ones are stored, the toxic ones with an older text."""
-    prepared = vector_plans.prepare(_document_reviews(spark, sf_dir), "hashed-64")
+    prepared = materialize(vector_plans.prepare(_document_reviews(spark, sf_dir), "hashed-64"), "prepared")
     labels = samples.table(spark, sf_dir, "labels").select(F.concat(F.lit("D"), "doc_id").alias("review_id"), "toxic")
     stored = labels.join(prepared, "review_id").select(
         "review_id",
@@ -447,7 +447,7 @@ def product_upsert(spark, sf_dir):
         earlier.alias("updated_at"),
     )
     batch = landing.product_documents(samples.landing_lines(spark, sf_dir))
-    batch = batch.withColumn("ingest_dt", F.lit("2024-02-01").cast("date"))
+    batch = materialize(batch.withColumn("ingest_dt", F.lit("2024-02-01").cast("date")), "landed-products")
     return upsert.upsert(target, batch, ["asin"], _now())
 
 
@@ -474,17 +474,18 @@ def _suite(name: str, df: DataFrame) -> DataFrame:
 
 @query
 def dq_suite_products(spark, sf_dir):
-    return _suite("staging_products", _products(spark, sf_dir))
+    return _suite("staging_products", materialize(_products(spark, sf_dir), "staging-products"))
 
 
 @query
 def dq_suite_reviews(spark, sf_dir):
-    return _suite("staging_reviews", _reviews(spark, sf_dir))
+    return _suite("staging_reviews", materialize(_reviews(spark, sf_dir), "staging-reviews"))
 
 
 @query
 def dq_suite_product_features(spark, sf_dir):
-    return _suite("product_features", features.product_features(_products(spark, sf_dir), RUN_DATE))
+    table = materialize(features.product_features(_products(spark, sf_dir), RUN_DATE), "product-features")
+    return _suite("product_features", table)
 
 
 @query
