@@ -38,6 +38,7 @@ class Run:
     now: str
     namespace: str | None = None
     provider: str = "parquet"
+    records_per_file: int = raw.RECORDS_PER_FILE
 
     # Locations
 
@@ -65,7 +66,7 @@ class Run:
 
     def ingest(self, source: DataFrame, entity: str) -> DataFrame:
         """Write a source as a raw batch with its manifest; returns the manifest."""
-        batch = raw.write_batch(source, self.root, entity, self.ingest_dt)
+        batch = raw.write_batch(source, self.root, entity, self.ingest_dt, self.records_per_file)
         path = raw.manifest_path(self.root, entity, self.ingest_dt)
         stamp = f"{self.now.replace(' ', 'T')}Z"
         built = raw.build_manifest(self.spark, batch, self.root, entity, self.ingest_dt, stamp)

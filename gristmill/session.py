@@ -57,9 +57,19 @@ def shared_dir(spark: SparkSession) -> str:
     return folder
 
 
+def application_dir(spark: SparkSession) -> str:
+    """This application's part of the shared folder; Hadoop removes it when the application ends."""
+    path = f"{shared_dir(spark)}/gristmill/{spark.sparkContext.applicationId}"
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration())
+    files.mkdirs(hadoop_path)
+    files.deleteOnExit(hadoop_path)
+    return path
+
+
 def fresh_dir(spark: SparkSession, label: str) -> str:
-    """A path below the shared folder that no other run uses."""
-    return f"{shared_dir(spark)}/gristmill/{label}-{uuid.uuid4().hex}"
+    """A path below the application's folder that nothing else uses; it does not exist yet."""
+    return f"{application_dir(spark)}/{label}-{uuid.uuid4().hex}"
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:

@@ -3,14 +3,13 @@
 from __future__ import annotations
 
 import logging
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gristmill.session import fresh_dir
-
 log = logging.getLogger(__name__)
 
 # The manifest format.
@@ -57,7 +56,7 @@ def write_batch(
     Batches are never overwritten; each lies in a folder of its own below the date prefix. Values JSON has no
     form for are written as text, and nulls are kept so that every record shows all its fields.
     """
-    batch = fresh_name(df.sparkSession, root, entity, ingest_dt)
+    batch = f"{root}/{raw_prefix(entity, ingest_dt)}batch-{uuid.uuid4().hex}"
     readable = [
         F.col(f"`{f.name}`").cast("string").alias(f.name) if isinstance(f.dataType, _TEXT_TYPES) else f"`{f.name}`"
         for f in df.schema
@@ -67,11 +66,6 @@ def write_batch(
     return batch
 
 
-def fresh_name(spark: SparkSession, root: str, entity: str, ingest_dt: str) -> str:
-    unique = fresh_dir(spark, "batch").rsplit("/", 1)[1]
-    return f"{root}/{raw_prefix(entity, ingest_dt)}{unique}"
-
-
 def records_per_file(spark: SparkSession, batch: str, root: str) -> DataFrame:
     """``file, records`` of a written batch, counted from the stored lines."""
     inside = F.substring_index(F.col("_metadata.file_path"), "/raw/", -1)
