@@ -584,7 +584,7 @@ def oracle_sql() -> dict[str, str]:
                    '2024-01-01T00:00:00Z' AS extract_ts_utc, 'one_shot' AS mode,
                    'raw/events/ingest_dt={INGEST_DT}/' AS prefix, 'jsonl.gz' AS format, count(*) AS records,
                    true AS all_files_listed, false AS incremental_enabled, 'ts' AS cursor_field,
-                   CAST(NULL AS VARCHAR) AS watermark_in FROM events""",
+                   CAST(NULL AS VARCHAR) AS watermark_in, max(ts) AS watermark_out FROM events""",
         "reconcile_counts": "SELECT count(*) AS source_records, count(*) AS written_records, true AS matches FROM events",
         "partition_scan": _with("SELECT * FROM orders_by_year WHERE ingest_dt = DATE '1997-01-01'", "orders_by_year"),
         "dynamic_overwrite": _with(

@@ -105,7 +105,7 @@ class Run:
         prepared = require_rows(tables.read_all(self.spark, prepared_path), "the prepared reviews")
         todo = vectors.pending(prepared, stored) if stored is not None else prepared
         embedded = f"{self.root}/embedded/{self.run_date}"
-        tables.write_partitions(vectors.embed_reviews(todo, encoder), embedded)
+        vectors.embed_reviews(todo, encoder).write.mode("overwrite").parquet(embedded)
         batch = tables.read_all(self.spark, embedded)
         now = F.lit(self.now).cast("timestamp")
         if stored is None:

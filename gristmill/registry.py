@@ -537,16 +537,15 @@ def dq_unexpected_sample(spark, sf_dir):
 # Storage
 
 
-def _raw_events(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, str, str]:
+def _raw_events(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, str, raw.Batch]:
     events = samples.table(spark, sf_dir, "events")
     root = fresh_dir(spark, "raw")
-    return events, root, raw.write_batch(events, root, "events", INGEST_DT)
+    return events, root, raw.write_batch(events, root, "events", INGEST_DT, cursor_field="ts")
 
 
-def _manifest(spark: SparkSession, root: str, batch: str) -> DataFrame:
-    built = raw.build_manifest(
-        spark, batch, root, "events", INGEST_DT, "2024-01-01T00:00:00Z", cursor=raw.Cursor("ts")
-    )
+def _manifest(spark: SparkSession, root: str, batch: raw.Batch) -> DataFrame:
+    reached = raw.Cursor("ts", watermark_out=batch.last_cursor)
+    built = raw.build_manifest(spark, batch, root, "events", INGEST_DT, "2024-01-01T00:00:00Z", cursor=reached)
     path = raw.manifest_path(root, "events", INGEST_DT)
     raw.write_manifest(built, path)
     return raw.read_manifest(spark, path)
@@ -565,8 +564,8 @@ def _as_text(events: DataFrame) -> T.StructType:
 
 @query
 def raw_sink_counts(spark, sf_dir):
-    _, root, batch = _raw_events(spark, sf_dir)
-    per_file = raw.records_per_file(spark, batch, root)
+    _, _, batch = _raw_events(spark, sf_dir)
+    per_file = raw.records_per_file(spark, batch)
     return per_file.agg(
         F.sum("records").alias("records"), F.every(F.col("records") <= raw.RECORDS_PER_FILE).alias("within_limit")
     )
@@ -588,6 +587,7 @@ def manifest_build(spark, sf_dir):
         F.col("incremental.enabled").alias("incremental_enabled"),
         "incremental.cursor_field",
         "incremental.watermark_in",
+        F.col("incremental.watermark_out").cast("timestamp").alias("watermark_out"),
     )
 
 

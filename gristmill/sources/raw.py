@@ -6,7 +6,7 @@ import logging
 import uuid
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -48,34 +48,61 @@ def manifest_path(root: str, entity: str, ingest_dt: str) -> str:
     return f"{root}/manifests/{entity}/ingest_dt={ingest_dt}"
 
 
+@dataclass(frozen=True)
+class Batch:
+    """A written batch: its folder and what was observed while it was written."""
+
+    path: str
+    records: int
+    last_cursor: str | None = None
+
+
 def write_batch(
-    df: DataFrame, root: str, entity: str, ingest_dt: str, records_per_file: int = RECORDS_PER_FILE
-) -> str:
-    """Write a frame as a new batch of gzipped JSON lines and return the batch folder.
+    df: DataFrame,
+    root: str,
+    entity: str,
+    ingest_dt: str,
+    records_per_file: int = RECORDS_PER_FILE,
+    cursor_field: str | None = None,
+) -> Batch:
+    """Write a frame as a new batch of gzipped JSON lines.
 
     Batches are never overwritten; each lies in a folder of its own below the date prefix. Values JSON has no
-    form for are written as text, and nulls are kept so that every record shows all its fields.
+    form for are written as text, and nulls are kept so that every record shows all its fields. Records
+    and the highest cursor value are taken along by the writing tasks, so nothing is read twice.
     """
-    batch = f"{root}/{raw_prefix(entity, ingest_dt)}batch-{uuid.uuid4().hex}"
+    path = f"{root}/{raw_prefix(entity, ingest_dt)}batch-{uuid.uuid4().hex}"
     readable = [
         F.col(f"`{f.name}`").cast("string").alias(f.name) if isinstance(f.dataType, _TEXT_TYPES) else f"`{f.name}`"
         for f in df.schema
     ]
-    writer = df.select(*readable).write.option("compression", "gzip").option("ignoreNullFields", "false")
-    writer.option("maxRecordsPerFile", records_per_file).json(batch)
-    return batch
+    seen = Observation()
+    cursor = F.max(f"`{cursor_field}`").cast("string") if cursor_field else F.max(F.lit(None).cast("string"))
+    observed = df.observe(seen, F.count(F.lit(1)).alias("records"), cursor.alias("last_cursor"))
+    writer = observed.select(*readable).write.option("compression", "gzip").option("ignoreNullFields", "false")
+    writer.option("maxRecordsPerFile", records_per_file).json(path)
+    return Batch(path, seen.get["records"], seen.get["last_cursor"])
+
+
+def _inside_root(path: Column) -> Column:
+    """A stored file's name relative to the root, which the ``raw`` folder marks."""
+    return F.concat(F.lit("raw/"), F.substring_index(path, "/raw/", -1))
 
 
-def records_per_file(spark: SparkSession, batch: str, root: str) -> DataFrame:
-    """``file, records`` of a written batch, counted from the stored lines."""
-    inside = F.substring_index(F.col("_metadata.file_path"), "/raw/", -1)
-    lines = spark.read.text(batch).select(F.concat(F.lit("raw/"), inside).alias("file"))
+def batch_files(spark: SparkSession, batch: Batch) -> DataFrame:
+    """``file`` of every stored file; only the listing is read."""
+    return spark.read.format("binaryFile").load(batch.path).select(_inside_root(F.col("path")).alias("file"))
+
+
+def records_per_file(spark: SparkSession, batch: Batch) -> DataFrame:
+    """``file, records`` counted from the stored lines: an audit that reads the whole batch."""
+    lines = spark.read.text(batch.path).select(_inside_root(F.col("_metadata.file_path")).alias("file"))
     return lines.groupBy("file").agg(F.count(F.lit(1)).alias("records"))
 
 
 def build_manifest(
     spark: SparkSession,
-    batch: str,
+    batch: Batch,
     root: str,
     entity: str,
     ingest_dt: str,
@@ -85,17 +112,17 @@ def build_manifest(
 ) -> DataFrame:
     """Manifest rows of a written batch.
 
-    A row lists at most about ``FILES_PER_MANIFEST_ROW`` files, so a batch of any size is described
-    without gathering all names in one place; the usual batch has exactly one row.
+    A row lists about ``FILES_PER_MANIFEST_ROW`` files at most, so a batch of any size is described
+    without gathering all names in one place. The usual batch has exactly one row; of several, the first
+    carries the record count.
     """
-    n_files = len(spark.read.text(batch).inputFiles())
-    slices = max(1, -(-n_files // FILES_PER_MANIFEST_ROW))
-    part = F.pmod(F.xxhash64("file"), F.lit(slices))
-    rows = records_per_file(spark, batch, root).groupBy(part.alias("slice")).agg(
-        F.array_sort(F.collect_list("file")).alias("files"),
-        F.sum("records").alias("records"),
-        F.count(F.lit(1)).alias("n_files"),
+    files = batch_files(spark, batch)
+    slices = max(1, -(-files.count() // FILES_PER_MANIFEST_ROW))
+    sliced = files.groupBy(F.pmod(F.xxhash64("file"), F.lit(slices)).alias("id")).agg(
+        F.array_sort(F.collect_list("file")).alias("files")
     )
+    rows = spark.range(slices).join(sliced, on="id", how="left")
+    listed = F.coalesce("files", F.array().cast("array<string>"))
     return rows.select(
         F.lit(MANIFEST_VERSION).alias("manifest_version"),
         F.struct(F.lit(entity).alias("name")).alias("source"),
@@ -108,9 +135,12 @@ def build_manifest(
             F.lit(root).alias("bucket"),
             F.lit(raw_prefix(entity, ingest_dt)).alias("prefix"),
             F.lit(RAW_FORMAT).alias("format"),
-            F.col("files"),
+            listed.alias("files"),
         ).alias("s3"),
-        F.struct(F.col("records"), F.col("n_files").alias("files")).alias("counts"),
+        F.struct(
+            F.when(F.col("id") == 0, F.lit(batch.records)).otherwise(F.lit(0)).alias("records"),
+            F.size(listed).alias("files"),
+        ).alias("counts"),
         F.struct(
             F.lit(cursor.enabled).alias("enabled"),
             F.lit(cursor.field).cast("string").alias("cursor_field"),
@@ -145,7 +175,7 @@ def read_raw(spark: SparkSession, manifest: DataFrame, schema: T.StructType | No
 
 
 def reconcile(source_records: int, manifest: DataFrame) -> Row:
-    """Compare the source count with the records on storage; a difference is logged, not raised."""
+    """Compare the source count with the records written; a difference is logged, not raised."""
     written = manifest.agg(F.coalesce(F.sum("counts.records"), F.lit(0)).alias("written")).first()["written"]
     result = Row(source_records=source_records, written_records=written, matches=source_records == written)
     if not result.matches:

@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gristmill.session import path_exists
+
 STATE_SCHEMA = "entity string, cursor_field string, watermark string, committed_at timestamp"
 
 
@@ -44,11 +46,7 @@ def commit(spark: SparkSession, root: str, entity: str, field: str, watermark: s
 def last_watermark(spark: SparkSession, root: str, entity: str) -> str | None:
     """The newest committed watermark, or null before the first run."""
     path = state_path(root, entity)
-    try:
-        log = spark.read.schema(STATE_SCHEMA).json(path)
-    except Exception as error:
-        if "PATH_NOT_FOUND" in str(error):
-            return None
-        raise
-    row = log.agg(F.max_by("watermark", "committed_at").alias("w")).first()
-    return row["w"]
+    if not path_exists(spark, path):
+        return None
+    log = spark.read.schema(STATE_SCHEMA).json(path)
+    return log.agg(F.max_by("watermark", "committed_at").alias("w")).first()["w"]

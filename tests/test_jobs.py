@@ -166,12 +166,14 @@ def test_published_table_can_be_replaced_from_itself(spark, tmp_path):
 def test_raw_batches_files_and_manifest(spark, tmp_path):
     root = str(tmp_path)
     source = spark.range(25).selectExpr("id", "CAST(NULL AS string) AS empty", "timestamp_seconds(id) AS ts", "DATE'2024-01-01' AS d").coalesce(1)
-    batch = raw.write_batch(source, root, "things", "2024-01-01", records_per_file=10)
-    assert batch.startswith(f"{root}/raw/things/ingest_dt=2024-01-01/")
-    counts = sorted(r["records"] for r in raw.records_per_file(spark, batch, root).collect())
-    assert counts == [5, 10, 10]
+    batch = raw.write_batch(source, root, "things", "2024-01-01", records_per_file=10, cursor_field="id")
+    assert batch.last_cursor == "24"
+    assert batch.path.startswith(f"{root}/raw/things/ingest_dt=2024-01-01/") and batch.records == 25
+    per_file = {r["file"]: r["records"] for r in raw.records_per_file(spark, batch).collect()}
+    assert sorted(per_file.values()) == [5, 10, 10]
+    assert sorted(r["file"] for r in raw.batch_files(spark, batch).collect()) == sorted(per_file)
     other = raw.write_batch(source, root, "things", "2024-01-01")
-    assert other != batch
+    assert other.path != batch.path
     built = raw.build_manifest(spark, batch, root, "things", "2024-01-01", "2024-01-01T00:00:00Z")
     path = raw.manifest_path(root, "things", "2024-01-01")
     raw.write_manifest(built, path)
@@ -195,6 +197,13 @@ def test_manifest_is_sliced_when_files_are_many(spark, tmp_path, monkeypatch):
     assert raw.read_raw(spark, manifest).count() == 40
 
 
+def test_empty_batch_has_a_manifest_without_files(spark, tmp_path):
+    batch = raw.write_batch(spark.range(3).where("id > 5"), str(tmp_path), "things", "2024-01-01", cursor_field="id")
+    assert batch.records == 0 and batch.last_cursor is None
+    row = raw.build_manifest(spark, batch, str(tmp_path), "things", "2024-01-01", "t").first()
+    assert row["counts"]["records"] == 0 and row["counts"]["files"] == len(row["s3"]["files"])
+
+
 def test_indented_manifest_document(spark, tmp_path):
     document = {
         "manifest_version": "1.0",
@@ -261,6 +270,7 @@ def test_refresh_with_catalog_and_rerun(spark, sf_dir, tmp_path):
     stored = spark.read.parquet(str(tmp_path / "vectors" / "*"))
     again = refresh.Run(spark, str(tmp_path), "2024-01-01", "2024-01-02", "2024-04-01 12:00:00", namespace="mlready")
     versions_before = {r[0] for r in stored.select(F.input_file_name()).distinct().collect()}
+    again.run_date = "2024-01-03"
     second = {r["table_name"]: r["row_count"] for r in again.all(*source, hashed_tokens(8), 8, "v1", stored).collect()}
     assert second == counts
     everything = spark.read.parquet(str(tmp_path / "vectors" / "*")).withColumn("file", F.input_file_name())
