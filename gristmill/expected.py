@@ -592,6 +592,7 @@ def oracle_sql() -> dict[str, str]:
             "6) AS o_totalprice) FROM orders_by_year",
             "orders_by_year",
         ),
+        "table_replace": "SELECT * REPLACE (round(o_totalprice * 2, 6) AS o_totalprice) FROM orders",
         "incremental_extract": f"SELECT * FROM events WHERE ts > TIMESTAMP '{CURSOR_START}'",
         "watermark_advance": "SELECT CAST(0 AS BIGINT) AS rows_left, max(ts) AS watermark FROM events",
     }

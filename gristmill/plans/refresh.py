@@ -82,14 +82,21 @@ class Run:
         self.gate(self.staged(entity), f"staging_{entity}")
 
     def build_features(self) -> None:
-        products, reviews = self.staged("products"), self.staged("reviews")
+        products = self.staged("products")
+        facts_path = f"{self.root}/features/review_facts"
+        tables.write_partitions(self.staged("reviews").transform(self.facts), facts_path)
+        reviews = tables.read_partition(self.spark, facts_path, self.ingest_dt)
         self.publish("product_features", features.product_features(products, self.run_date))
         self.publish("user_features", features.user_features(reviews, self.run_date))
         self.publish("product_review_stats", features.product_review_stats(reviews, self.run_date))
         base = [self.feature(name) for name in FEATURE_TABLES[:3]]
-        interactions = features.user_product_interactions(reviews, *base, self.run_date)
+        # The gate of the staging reviews has made sure that review ids are unique.
+        interactions = features.user_product_interactions(reviews, *base, self.run_date, reviews_are_unique=True)
         self.publish("user_product_interactions", interactions)
 
+    def facts(self, reviews: DataFrame) -> DataFrame:
+        return features.review_facts(reviews).withColumn("ingest_dt", F.lit(self.ingest_dt).cast("date"))
+
     def publish(self, table: str, df: DataFrame) -> None:
         if self.namespace:
             tables.publish_table(df, f"{self.namespace}.{table}", self.provider, f"{self.root}/features")

@@ -84,8 +84,8 @@ def _reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _feature_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """The feature tables. Reviews feed three of them, so staging is written once and read three times."""
-    reviews = materialize(_reviews(spark, sf_dir), "staging-reviews")
+    """The feature tables. Reviews feed three of them, so their facts are written once and read three times."""
+    reviews = materialize(features.review_facts(_reviews(spark, sf_dir)), "review-facts")
     products = features.product_features(_products(spark, sf_dir), RUN_DATE)
     users = features.user_features(reviews, RUN_DATE)
     stats = features.product_review_stats(reviews, RUN_DATE)
@@ -621,6 +621,17 @@ def dynamic_overwrite(spark, sf_dir):
     return tables.read_all(spark, path)
 
 
+@query
+def table_replace(spark, sf_dir):
+    """A catalog table published twice, the second time from its own content."""
+    root, name = fresh_dir(spark, "catalog"), "gristmill_orders"
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    tables.publish_table(samples.table(spark, sf_dir, "orders"), name, root=root)
+    doubled = tables.read_table(spark, name).withColumn("o_totalprice", F.col("o_totalprice") * 2)
+    tables.publish_table(doubled, name, root=root)
+    return tables.read_table(spark, name)
+
+
 @query
 def incremental_extract(spark, sf_dir):
     return cursor.after(samples.table(spark, sf_dir, "events"), "ts", CURSOR_START)
