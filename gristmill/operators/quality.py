@@ -6,6 +6,7 @@ check adds one grouping by its column, and schema checks never touch the data.
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
@@ -14,6 +15,8 @@ from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+log = logging.getLogger(__name__)
+
 # The check types as they appear in reports.
 NOT_NULL = "expect_column_values_to_not_be_null"
 UNIQUE = "expect_column_values_to_be_unique"
@@ -300,12 +303,14 @@ def run_suite(df: DataFrame, entity: str, suite: Sequence[Check], sample: int =
         check = suite[row["position"]]
         sampled = check.expectation in _ROW_LEVEL | {UNIQUE} and check.column in df.columns
         if sampled and not row["success"]:
-            samples[row["position"]] = [r[0] for r in unexpected_sample(df, check, sample).collect()]
+            values = [r[0] for r in unexpected_sample(df, check, sample).collect()]
+            samples[row["position"]] = values
+            log.warning("%s: %s(%s), for example %s", entity, check.expectation, check.column, values[:5])
     return Outcome(entity, all(row["success"] for row in results), results, samples)
 
 
-def report(outcome: Outcome, suite: Sequence[Check], run_date: str, table_name: str) -> dict:
-    """The report document of one run."""
+def report(outcome: Outcome, suite: Sequence[Check], **about: str) -> dict:
+    """The report document of one run; ``about`` says which run and which table it is on."""
     expectations = []
     for row in outcome.results:
         check = suite[row["position"]]
@@ -319,6 +324,8 @@ def report(outcome: Outcome, suite: Sequence[Check], run_date: str, table_name:
             "type_list": list(check.allowed) if check.expectation == IN_TYPE_LIST else None,
         }
         measured = {name: row[name] for name in RESULT_SCHEMA.names[5:] if row[name] is not None}
+        if check.expectation == NON_NULL_SHARE:
+            measured["observed_value"] = float(measured["observed_value"])
         if row["position"] in outcome.samples:
             measured["partial_unexpected_list"] = outcome.samples[row["position"]]
         expectations.append(
@@ -332,13 +339,7 @@ def report(outcome: Outcome, suite: Sequence[Check], run_date: str, table_name:
                 "result": measured,
             }
         )
-    return {
-        "entity": outcome.entity,
-        "execution_date": run_date,
-        "table_name": table_name,
-        "success": outcome.success,
-        "expectations": expectations,
-    }
+    return {"entity": outcome.entity, **about, "success": outcome.success, "expectations": expectations}
 
 
 def enforce(outcome: Outcome) -> None:

@@ -19,6 +19,7 @@ from gristmill.operators.contracts import require_rows
 from gristmill.operators.embedding import EncoderFactory
 from gristmill.plans import features, staging, suites, vectors
 from gristmill.sources import raw, tables
+from gristmill.streaming import cursor
 
 FEATURE_TABLES = ("product_features", "user_features", "product_review_stats", "user_product_interactions")
 
@@ -64,22 +65,42 @@ class Run:
 
     # Steps
 
-    def ingest(self, source: DataFrame, entity: str) -> DataFrame:
-        """Write a source as a raw batch with its manifest; returns the manifest."""
-        batch = raw.write_batch(source, self.root, entity, self.ingest_dt, self.records_per_file)
+    def ingest(
+        self, source: DataFrame, entity: str, cursor_field: str | None = None, incremental: bool = False
+    ) -> DataFrame:
+        """Write a source as a raw batch with its manifest; returns the manifest.
+
+        An incremental run takes the rows past the last watermark and moves it once the manifest is stored.
+        """
+        before = cursor.last_watermark(self.spark, self.root, entity) if incremental else None
+        if incremental:
+            source = cursor.after(source, cursor_field, before)
+        batch = raw.write_batch(source, self.root, entity, self.ingest_dt, self.records_per_file, cursor_field)
         path = raw.manifest_path(self.root, entity, self.ingest_dt)
-        stamp = f"{self.now.replace(' ', 'T')}Z"
-        built = raw.build_manifest(self.spark, batch, self.root, entity, self.ingest_dt, stamp)
+        built = raw.build_manifest(
+            self.spark,
+            batch,
+            self.root,
+            entity,
+            self.ingest_dt,
+            f"{self.now.replace(' ', 'T')}Z",
+            mode="incremental" if incremental else "one_shot",
+            cursor=raw.Cursor(cursor_field, incremental, before, batch.last_cursor if incremental else None),
+        )
         raw.write_manifest(built, path)
         manifest = raw.read_manifest(self.spark, path)
         raw.reconcile(source.count(), manifest)
+        if incremental and batch.last_cursor is not None:
+            cursor.commit(self.spark, self.root, entity, cursor_field, batch.last_cursor)
         return manifest
 
     def stage(self, manifest: DataFrame, entity: str, schema: T.StructType) -> None:
         build = {"products": staging.products, "reviews": staging.reviews}[entity]
         records = require_rows(raw.read_raw(self.spark, manifest, schema), f"raw {entity}")
         tables.write_partitions(build(records, self.ingest_dt), self.staging_path(entity), sort_by="asin")
-        self.gate(self.staged(entity), f"staging_{entity}")
+        partition = f"{self.staging_path(entity)}/ingest_dt={self.ingest_dt}"
+        about = {"ingest_dt": self.ingest_dt, "partition_path": partition}
+        self.gate(self.staged(entity), f"staging_{entity}", **about)
 
     def build_features(self) -> None:
         products = self.staged("products")
@@ -102,7 +123,8 @@ class Run:
             tables.publish_table(df, f"{self.namespace}.{table}", self.provider, f"{self.root}/features")
         else:
             df.write.mode("overwrite").parquet(self.feature_path(table))
-        self.gate(self.feature(table), table)
+        name = f"{self.namespace}.{table}" if self.namespace else table
+        self.gate(self.feature(table), table, execution_date=self.run_date, table_name=name)
 
     def build_vectors(self, encoder: EncoderFactory, dim: int, model_version: str, stored: DataFrame | None) -> DataFrame:
         """Embed what is not stored yet and write the next version of the vector table."""
@@ -137,11 +159,11 @@ class Run:
         blank = F.lit(None).cast("timestamp")
         return batch.select(*columns, blank.alias("created_at"), blank.alias("updated_at")).where(F.lit(False))
 
-    def gate(self, df: DataFrame, name: str) -> None:
+    def gate(self, df: DataFrame, name: str, **about: str) -> None:
         """Evaluate the table's suite, save the report, stop when a check failed."""
         suite = suites.BY_TABLE[name]
         outcome = quality.run_suite(df, name, suite)
-        document = json.dumps(quality.report(outcome, suite, self.run_date, name), default=str, ensure_ascii=False)
+        document = json.dumps(quality.report(outcome, suite, **about), default=str, ensure_ascii=False)
         line = self.spark.range(1).select(F.lit(document).alias("value"))
         line.write.mode("overwrite").text(self.report_path(name))
         quality.enforce(outcome)

@@ -258,6 +258,20 @@ def test_cursor_log(spark, tmp_path):
     assert cursor.watermark_out(df.where("false"), "n") is None
 
 
+def test_incremental_ingestion_moves_the_watermark(spark, tmp_path):
+    run = refresh.Run(spark, str(tmp_path), "2024-01-01", "2024-01-02", "2024-03-01 12:00:00")
+    source = spark.range(10).toDF("n")
+    first = run.ingest(source.where("n < 6"), "things", "n", incremental=True).first()
+    assert first["counts"]["records"] == 6 and first["run"]["mode"] == "incremental"
+    assert first["incremental"].asDict() == {"enabled": True, "cursor_field": "n", "watermark_in": None, "watermark_out": "5"}
+    second = run.ingest(source, "things", "n", incremental=True)
+    row = second.first()
+    assert (row["incremental"]["watermark_in"], row["incremental"]["watermark_out"]) == ("5", "9")
+    assert sorted(r["n"] for r in raw.read_raw(spark, second, source.schema).collect()) == [6, 7, 8, 9]
+    third = run.ingest(source, "things", "n", incremental=True).first()
+    assert third["counts"]["records"] == 0 and cursor.last_watermark(spark, str(tmp_path), "things") == "9"
+
+
 # The whole sequence
 
 
@@ -279,7 +293,7 @@ def test_refresh_with_catalog_and_rerun(spark, sf_dir, tmp_path):
     assert newest.count() == counts["review_embeddings"]
     assert newest.where("updated_at <> TIMESTAMP'2024-03-01 12:00:00'").isEmpty()
     report = json.loads("".join(r[0] for r in spark.read.text(f"{tmp_path}/reports/user_features/2024-01-02").collect()))
-    assert report["success"] and report["table_name"] == "user_features" and len(report["expectations"]) == 26
+    assert report["success"] and report["table_name"] == "mlready.user_features" and len(report["expectations"]) == 26
 
 
 def test_gate_saves_the_report_before_it_stops(spark, tmp_path):

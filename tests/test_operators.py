@@ -218,7 +218,7 @@ def test_run_suite_samples_report_and_gate(spark):
     outcome = quality.run_suite(df, "numbers", suite)
     assert not outcome.success and len(outcome.failed) == 2
     assert outcome.samples[0] == sorted([10, 11, 12, 13, 14] * 4)
-    document = quality.report(outcome, suite, "2024-01-02", "t")
+    document = quality.report(outcome, suite, execution_date="2024-01-02", table_name="t")
     assert document["expectations"][0]["expectation_config"]["kwargs"] == {"column": "n", "min_value": 0, "max_value": 9}
     assert document["expectations"][1] == {
         "success": True,
