@@ -260,18 +260,16 @@ def evaluate(df: DataFrame, suite: Sequence[Check]) -> DataFrame:
     return _with_shares(reduce(DataFrame.unionByName, parts))
 
 
-def unexpected_rows(df: DataFrame, check: Check) -> DataFrame:
-    """All rows that break a check."""
-    if check.expectation == UNIQUE:
-        c = F.col(check.column)
-        repeated = df.groupBy(c).agg(F.count(F.lit(1)).alias("_n")).where((F.col("_n") > 1) & c.isNotNull())
-        return df.join(repeated.select(check.column), on=check.column, how="left_semi")
-    return df.where(check.unexpected())
-
-
 def unexpected_sample(df: DataFrame, check: Check, n: int = 20) -> DataFrame:
     """The first ``n`` unexpected values in ascending order, for reports."""
-    return unexpected_rows(df, check).select(check.column).orderBy(F.asc_nulls_first(check.column)).limit(n)
+    value = F.col(check.column)
+    if check.expectation == UNIQUE:
+        # The repeated values and their counts say it all; the rows themselves need not be found again.
+        groups = df.where(value.isNotNull()).groupBy(value).agg(F.count(F.lit(1)).alias("_n"))
+        first = groups.where(F.col("_n") > 1).orderBy(check.column).limit(n)
+        copies = F.array_repeat(value, F.least("_n", F.lit(n)).cast("int"))
+        return first.select(F.explode(copies).alias(check.column)).orderBy(check.column).limit(n)
+    return df.where(check.unexpected()).select(check.column).orderBy(F.asc_nulls_first(check.column)).limit(n)
 
 
 @dataclass

@@ -2,27 +2,33 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+import uuid
+from collections.abc import Sequence
+from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gristmill.operators.contracts import require_columns
 
-Gate = Callable[[str, str], Column]
 
+@dataclass(frozen=True)
+class Gate:
+    """Lets a known row through when any of its columns changed, null counting as a value."""
 
-def differs(*columns: str) -> Gate:
-    """Gate: true when any named column changed, null counting as a value."""
+    columns: tuple[str, ...]
+
+    def passes(self, stored: str, incoming: str) -> Column:
+        changed = [~F.col(f"{stored}.{c}").eqNullSafe(F.col(f"{incoming}.{c}")) for c in self.columns]
+        return reduce(Column.__or__, changed)
 
-    def gate(stored: str, incoming: str) -> Column:
-        changed = F.lit(False)
-        for name in columns:
-            changed = changed | ~F.col(f"{stored}.{name}").eqNullSafe(F.col(f"{incoming}.{name}"))
-        return changed
+    def sql(self, stored: str, incoming: str) -> str:
+        return " OR ".join(f"{stored}.{c} IS DISTINCT FROM {incoming}.{c}" for c in self.columns)
 
-    gate.columns = columns
-    return gate
+
+def differs(*columns: str) -> Gate:
+    return Gate(columns)
 
 
 def changed_rows(
@@ -39,12 +45,12 @@ def changed_rows(
     written one.
     """
     require_columns(batch, keys)
-    gate_columns = list(getattr(gate, "columns", ()))
+    gate_columns = gate.columns if gate else ()
     kept_columns = [*keys, *gate_columns] + [c for c in ("created_at",) if c in target.columns]
     known = _reachable(target.select(*kept_columns, F.lit(True).alias("_known")), batch, keys).alias("t")
     joined = batch.alias("b").join(known, on=[F.col(f"b.{k}") == F.col(f"t.{k}") for k in keys], how="left")
     is_new = F.col("t._known").isNull()
-    wanted = joined.where(is_new | (gate("t", "b") if gate else F.lit(True)))
+    wanted = joined.where(is_new | (gate.passes("t", "b") if gate else F.lit(True)))
 
     def value(name: str) -> Column:
         if name == "created_at" and name not in batch.columns:
@@ -90,3 +96,35 @@ def not_stored_yet(batch: DataFrame, stored: DataFrame, columns: Sequence[str])
     """Batch rows whose combination of columns is not among the stored rows."""
     seen = _reachable(stored.select(*columns), batch, columns)
     return batch.join(seen, on=list(columns), how="left_anti").select(*batch.columns)
+
+
+def merge_statement(
+    table: str, source: str, columns: Sequence[str], keys: Sequence[str], now: str, gate: Gate | None = None
+) -> str:
+    """The same merge as one SQL statement, for tables whose format changes rows in place.
+
+    ``columns`` are those of the source; the table may have ``created_at`` and ``updated_at`` besides.
+    """
+    match = " AND ".join(f"t.{k} = b.{k}" for k in keys)
+    only_changed = f" AND ({gate.sql('t', 'b')})" if gate else ""
+    updates = ", ".join([f"{c} = b.{c}" for c in columns if c not in keys] + [f"updated_at = {now}"])
+    names = ", ".join([*columns, "created_at", "updated_at"])
+    values = ", ".join([*[f"b.{c}" for c in columns], now, now])
+    return (
+        f"MERGE INTO {table} AS t USING {source} AS b ON {match} "
+        f"WHEN MATCHED{only_changed} THEN UPDATE SET {updates} "
+        f"WHEN NOT MATCHED THEN INSERT ({names}) VALUES ({values})"
+    )
+
+
+def merge_into(batch: DataFrame, table: str, keys: Sequence[str], gate: Gate | None = None) -> None:
+    """Merge a batch into a catalog table whose provider supports ``MERGE``, such as Iceberg or Delta.
+
+    Only the files that hold changed rows are rewritten, where :func:`upsert` produces the whole table.
+    """
+    view = f"merge_batch_{uuid.uuid4().hex}"
+    batch.createOrReplaceTempView(view)
+    try:
+        batch.sparkSession.sql(merge_statement(table, view, batch.columns, keys, "current_timestamp()", gate))
+    finally:
+        batch.sparkSession.catalog.dropTempView(view)

@@ -3,6 +3,7 @@
 import datetime as dt
 import random
 
+import duckdb
 import numpy as np
 import pytest
 from pyspark.errors import PySparkException
@@ -118,6 +119,27 @@ def test_gated_upsert_and_rerun(spark):
     assert rows(again) == got
 
 
+def test_merge_statement_gives_the_same_rows(spark):
+    gate = upsert.differs("text_hash", "model_version")
+    con = duckdb.connect()
+    con.execute(f"CREATE TABLE target ({SCHEMA.replace('string', 'VARCHAR')})")
+    con.executemany("INSERT INTO target VALUES (?, ?, ?, ?, ?, ?)", [list(r) for r in stored(spark).collect()])
+    con.execute("CREATE TABLE batch (review_id VARCHAR, asin VARCHAR, text_hash VARCHAR, model_version VARCHAR)")
+    con.executemany("INSERT INTO batch VALUES (?, ?, ?, ?)", [list(r) for r in incoming(spark).collect()])
+    columns = incoming(spark).columns
+    con.execute(upsert.merge_statement("target", "batch", columns, ["review_id"], "TIMESTAMP '2024-03-01 00:00:00'", gate))
+    merged = upsert.upsert(stored(spark), incoming(spark), ["review_id"], F.lit(NOW), gate)
+    assert sorted(con.sql("SELECT * FROM target").fetchall(), key=str) == sorted(map(tuple, merged.collect()), key=str)
+
+
+def test_merge_into_needs_a_table_that_can_merge(spark):
+    """Spark resolves every column of the statement and then refuses, as a view cannot take rows."""
+    stored(spark).createOrReplaceTempView("plain_rows")
+    with pytest.raises(PySparkException, match="MERGE INTO TABLE"):
+        upsert.merge_into(incoming(spark), "plain_rows", ["review_id"], upsert.differs("text_hash"))
+    assert not [t.name for t in spark.catalog.listTables() if t.name.startswith("merge_batch")]
+
+
 def test_unconditional_upsert(spark):
     merged = upsert.upsert(stored(spark), incoming(spark), ["review_id"], F.lit(NOW))
     assert ("same", "B", "h1", "m1", OLD, NOW) in rows(merged)
@@ -218,6 +240,7 @@ def test_run_suite_samples_report_and_gate(spark):
     outcome = quality.run_suite(df, "numbers", suite)
     assert not outcome.success and len(outcome.failed) == 2
     assert outcome.samples[0] == sorted([10, 11, 12, 13, 14] * 4)
+    assert outcome.samples[2] == sorted([0, 1, 2, 3, 4] * 4)
     document = quality.report(outcome, suite, execution_date="2024-01-02", table_name="t")
     assert document["expectations"][0]["expectation_config"]["kwargs"] == {"column": "n", "min_value": 0, "max_value": 9}
     assert document["expectations"][1] == {
