@@ -8,12 +8,13 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 #: Settings that can be changed on a running session. Arrow batches are bounded by bytes as well as rows,
-#: because one row may be a whole document.
+#: because one row may be a whole document. The group limit keeps one row per key before the shuffle.
 RUNTIME_SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.optimizer.windowGroupLimitThreshold": "1000",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.execution.arrow.maxBytesPerBatch": str(64 * 1024 * 1024),
 }
