@@ -105,28 +105,18 @@ def deduplicate(
         runs.add(keys.where(F.col("batch") == number).drop("batch"))
     frequent = materialize(runs.merged().where(F.col("documents") >= least_documents), "frequent-lines")
     dropped = keys.join(frequent, _HASH).where(F.col("doc") < F.col("largest")).groupBy("row").agg(F.collect_list("pos").alias("_dropped"))
-    keyed = docs.drop("n_lines", "n_dropped").withColumn("_row", row_key(id_column, text_column))
+    keyed = docs.withColumn("_row", row_key(id_column, text_column))
     met = keyed.join(dropped, F.col("_row") == F.col("row"), "left").drop("row", "_row")
-    return met.select(*[c for c in met.columns if c not in (text_column, "_dropped")], *_rebuilt(text_column))
-
-
-def _rebuilt(text_column: str) -> list[Column]:
-    lines = lines_of(F.col(text_column))
-    whole = F.coalesce(F.col(text_column), F.lit(""))
-    # array_except works on a hash set, so a text of many lines costs time in proportion to its lines.
-    kept = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("_dropped"))
-    untouched = F.col("_dropped").isNull()
-    text = F.when(untouched, whole).otherwise(_joined(text_column, kept))
-    n_dropped = F.when(untouched, 0).otherwise(F.size(F.array_distinct("_dropped"))).cast("bigint")
-    return [text.alias(text_column), F.size(lines).cast("bigint").alias("n_lines"), n_dropped.alias("n_dropped")]
-
-
-def _joined(text_column: str, kept: Column) -> Column:
-    """The kept lines: dropped positions are marked in the array of lines by one pass over both in step."""
-    lines = lines_of(F.col(text_column))
-    flags = F.map_from_arrays(kept, kept)
-    del flags
-    return F.array_join(F.transform(kept, lambda i: F.get(lines, i)), "\n")
+    # Several uses keep the optimizer from moving the split into the function below, where it would run per line.
+    split = met.withColumn("_lines", lines_of(F.col(text_column))).withColumn("_dropped", F.array_distinct("_dropped"))
+    n_lines = F.size("_lines").cast("bigint")
+    n_dropped = F.coalesce(F.size("_dropped"), F.lit(0)).cast("bigint")
+    # array_except works on a hash set, so a text costs time in proportion to its lines.
+    kept = F.array_except(F.sequence(F.lit(0), F.size("_lines") - 1), F.col("_dropped"))
+    joined = F.array_join(F.transform(kept, lambda i: F.get("_lines", i)), "\n")
+    text = F.when(F.col("_dropped").isNull(), F.coalesce(F.col(text_column), F.lit(""))).otherwise(joined)
+    others = [c for c in docs.columns if c not in (text_column, "n_lines", "n_dropped")]
+    return split.select(*others, text.alias(text_column), n_lines.alias("n_lines"), n_dropped.alias("n_dropped"))
 
 
 def op2_line_dedup(spark, sf_dir: str) -> DataFrame:
