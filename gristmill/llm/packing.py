@@ -25,8 +25,8 @@ from gristmill.llm.common import map_rows, materialize, prepare, shards_for, tab
 CAPACITY = 4096
 END_ID = 1
 TOKENIZER = "word_bpe_49k.json"
-#: Words whose ids a worker remembers before it starts over; about 100 MB.
-REMEMBERED = 500_000
+#: Words whose ids a worker remembers before it starts over; about 250 MB.
+REMEMBERED = 1_200_000
 PIECES_PER_PART = 1_000_000
 
 
