@@ -46,9 +46,9 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that contain an item of the benchmark go."""
-    found = decontaminate.contaminated(docs, table(spark, sf_dir, "benchmark")).select("row").distinct()
+    found = decontaminate.contaminated(docs, table(spark, sf_dir, "benchmark")).select(F.col("row").alias("_row")).distinct()
     keyed = docs.withColumn("_row", F.xxhash64("doc_id", "text"))
-    return _documents(keyed.join(decontaminate.small(found), F.col("_row") == F.col("row"), "left_anti"))
+    return _documents(keyed.join(decontaminate.small(found), "_row", "left_anti"))
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

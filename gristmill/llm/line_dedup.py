@@ -104,9 +104,9 @@ def deduplicate(
     for number in range(batches):
         runs.add(keys.where(F.col("batch") == number).drop("batch"))
     frequent = materialize(runs.merged().where(F.col("documents") >= least_documents), "frequent-lines")
-    dropped = keys.join(frequent, _HASH).where(F.col("doc") < F.col("largest")).groupBy("row").agg(F.collect_list("pos").alias("_dropped"))
+    dropped = keys.join(frequent, _HASH).where(F.col("doc") < F.col("largest")).groupBy(F.col("row").alias("_row")).agg(F.collect_list("pos").alias("_dropped"))
     keyed = docs.withColumn("_row", row_key(id_column, text_column))
-    met = keyed.join(dropped, F.col("_row") == F.col("row"), "left").drop("row", "_row")
+    met = keyed.join(dropped, "_row", "left").drop("_row")
     # Several uses keep the optimizer from moving the split into the function below, where it would run per line.
     split = met.withColumn("_lines", lines_of(F.col(text_column))).withColumn("_dropped", F.array_distinct("_dropped"))
     n_lines = F.size("_lines").cast("bigint")
