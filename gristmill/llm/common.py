@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import re
+import sys
+import types
 from collections.abc import Callable, Iterable, Iterator
 from itertools import groupby
 
@@ -91,11 +93,23 @@ def expand(data: bytes) -> bytes:
     return zstandard.ZstdDecompressor().decompress(data)
 
 
-def map_rows(df: DataFrame, function: Callable[[Iterator[dict]], Iterable[dict]], schema: str) -> DataFrame:
+def worker_state(owner: str | None) -> types.ModuleType:
+    """What a Python worker keeps between the tasks of one operator; a task of another operator starts afresh."""
+    state = sys.modules.setdefault("_kept_between_tasks", types.ModuleType("_kept_between_tasks"))
+    if getattr(state, "owner", None) != owner:
+        vars(state).clear()
+        state.owner = owner
+    return state
+
+
+def map_rows(
+    df: DataFrame, function: Callable[[Iterator[dict]], Iterable[dict]], schema: str, owner: str | None = None
+) -> DataFrame:
     """Run a generator over the rows of each partition; rows arrive and leave in Arrow batches."""
     arrow = to_arrow_schema(T.StructType.fromDDL(schema))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        worker_state(owner)
         pending, size = [], 0
         for row in function(_rows(batches)):
             pending.append(row)

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from gristmill.llm.common import prepare, table
+from gristmill.llm.common import prepare, table, worker_state
 
 UNDETERMINED = "und"
 #: The sample the model is fitted on: rows per language, languages, and characters of a text that may be in it.
@@ -125,6 +125,7 @@ def identify(
     schema = docs.select(*kept).schema.add("lang_pred", "string").add("score", "double")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        worker_state(None)
         for batch in batches:
             names, values = [], []
             for start in range(0, batch.num_rows, 64):

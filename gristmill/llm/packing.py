@@ -9,8 +9,6 @@ every use exhausts a length, so the plan has a few thousand rows. Pieces find th
 
 from __future__ import annotations
 
-import sys
-import types
 import zlib
 from collections import Counter
 from collections.abc import Iterator
@@ -20,14 +18,16 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from gristmill.llm.common import map_rows, materialize, prepare, shards_for, table
+from gristmill.llm.common import map_rows, materialize, prepare, shards_for, table, worker_state
 
 CAPACITY = 4096
 END_ID = 1
 TOKENIZER = "word_bpe_49k.json"
-#: Words whose ids a worker remembers before it starts over; about 250 MB.
-REMEMBERED = 1_200_000
+#: Words whose ids a worker remembers before it starts over; about 150 MB.
+REMEMBERED = 600_000
 PIECES_PER_PART = 1_000_000
+OWNER = "packing"
+_BETWEEN = "<|endoftext|>"
 
 
 def tokenizer_path(name: str = TOKENIZER) -> str:
@@ -36,11 +36,6 @@ def tokenizer_path(name: str = TOKENIZER) -> str:
     return public_tokenizers.path(name)
 
 
-def _worker_state() -> types.ModuleType:
-    """Something that outlives a task in its Python worker."""
-    return sys.modules.setdefault("_packing_worker_state", types.ModuleType("_packing_worker_state"))
-
-
 class WordIds:
     """Ids of whole texts from remembered ids of their words.
 
@@ -54,10 +49,11 @@ class WordIds:
 
         self._tokenizer = Tokenizer.from_file(path)
         self._known: dict[bytes, bytes] = {}
+        self._between = self._tokenizer.token_to_id(_BETWEEN)
 
     @classmethod
     def shared(cls, path: str) -> "WordIds":
-        state = _worker_state()
+        state = worker_state(OWNER)
         if getattr(state, "path", None) != path:
             state.path, state.ids = path, cls(path)
         return state.ids
@@ -66,32 +62,37 @@ class WordIds:
         found = self._tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, np.uint32).tobytes() for e in found]
 
+    def _learn(self, words: list[bytes]) -> None:
+        """Encode words many at a time, with the end-of-text token between them, which no word holds."""
+        known = self._known
+        for at in range(0, len(words), 500):
+            some = words[at : at + 500]
+            ids = self._tokenizer.encode(_BETWEEN.join(w.decode() for w in some) + _BETWEEN, add_special_tokens=False).ids
+            data = np.array(ids, np.uint32)
+            raw, start = data.tobytes(), 0
+            for word, end in zip(some, np.flatnonzero(data == self._between).tolist()):
+                known[word] = raw[4 * start : 4 * end]
+                start = end + 1
+
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as little-endian unsigned 32-bit numbers."""
-        parts = [None if "<|" in t else _pieces(t.encode().lower().split()) for t in texts]
         known = self._known
-        missing = list({p for some in parts if some for p in some if p not in known})
+        parts = [None if "<|" in t else t.encode().lower().split() for t in texts]
+        words = set().union(*(p for p in parts if p))
+        missing = words.difference(known)
         if len(known) + len(missing) > REMEMBERED:
             known.clear()
-            missing = list({p for some in parts if some for p in some})
-        for at in range(0, len(missing), 20_000):
-            some = missing[at : at + 20_000]
-            known.update(zip(some, self._encoded([p.decode() for p in some])))
+            missing = words
+        # A word with a full stop or comma behind it is the word and that character.
+        split = {w for w in missing if w[-1] in b".," and len(w) > 1 and w[-2:-1].isalnum()}
+        bare = {w[:-1] for w in split} | {w[-1:] for w in split} | (missing - split)
+        self._learn(list(bare.difference(known)))
+        for w in split:
+            known[w] = known[w[:-1]] + known[w[-1:]]
         special = iter(self._encoded([t for t, p in zip(texts, parts) if p is None]))
         return [next(special) if p is None else b"".join(map(known.__getitem__, p)) for p in parts]
 
 
-def _pieces(words: list[bytes]) -> list[bytes]:
-    out = []
-    for word in words:
-        if word[-1] in b".," and len(word) > 1 and word[-2:-1].isalnum():
-            out.append(word[:-1])
-            out.append(word[-1:])
-        else:
-            out.append(word)
-    return out
-
-
 def pieces(docs: DataFrame, id_column: str, text_column: str, path: str, capacity: int, keep_ids: bool) -> DataFrame:
     """(id, piece, start, length, crc[, ids]): documents cut into pieces of at most ``capacity`` ids."""
 
@@ -106,7 +107,7 @@ def pieces(docs: DataFrame, id_column: str, text_column: str, path: str, capacit
                     yield out | {"ids": np.frombuffer(part, np.uint32).tolist()} if keep_ids else out
 
     narrow = docs.select(F.col(id_column).cast("bigint").alias("id"), F.col(text_column).alias("text"))
-    return map_rows(narrow, run, "id bigint, piece int, start bigint, length bigint, crc bigint" + ", ids array<bigint>" * keep_ids)
+    return map_rows(narrow, run, "id bigint, piece int, start bigint, length bigint, crc bigint" + ", ids array<bigint>" * keep_ids, OWNER)
 
 
 def _batches(rows: Iterator[dict], size: int = 4 << 20) -> Iterator[list[dict]]:
