@@ -9,6 +9,7 @@ from functools import lru_cache
 import numpy as np
 from pyspark.ml.functions import predict_batch_udf
 from pyspark.sql import Column
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 Encoder = Callable[[Sequence[str]], np.ndarray]
@@ -24,7 +25,7 @@ def unit_rows(matrix: np.ndarray) -> np.ndarray:
 
 
 def embed(text: Column, factory: EncoderFactory, batch_size: int = 32, normalize: bool = True) -> Column:
-    """A vector per text.
+    """A vector per text; null for a null text.
 
     The factory runs once per Python worker, so a model is loaded once and reused for all batches of the
     tasks on that worker. Texts reach it in batches of at most ``batch_size`` rows.
@@ -40,7 +41,7 @@ def embed(text: Column, factory: EncoderFactory, batch_size: int = 32, normalize
         return predict
 
     udf = predict_batch_udf(make_predict, return_type=T.ArrayType(T.FloatType()), batch_size=batch_size)
-    return udf(text)
+    return F.when(text.isNotNull(), udf(F.coalesce(text, F.lit(""))))
 
 
 def sentence_transformer(model_name: str, batch_size: int = 32) -> EncoderFactory:

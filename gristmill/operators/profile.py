@@ -9,10 +9,15 @@ from pyspark.sql import types as T
 from gristmill.functions.text import text_length
 
 
+#: A plain decimal number; casts alone would also take NaN, infinities and type suffixes such as 5d.
+_NUMBER = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
+
+
 def numeric_only(df: DataFrame, column: str) -> DataFrame:
-    """Keep rows whose value is a number, as a double."""
-    as_number = F.col(column).try_cast("double")
-    return df.withColumn(column, as_number).where(F.col(column).isNotNull())
+    """Keep rows whose value is a finite plain number, as a double."""
+    plain = F.rlike(F.col(column).cast("string"), F.lit(_NUMBER))
+    as_number = F.when(plain, F.col(column).try_cast("double"))
+    return df.withColumn(column, as_number).where(F.col(column).isNotNull() & (F.abs(column) < float("inf")))
 
 
 def rating_stats(df: DataFrame, column: str) -> DataFrame:

@@ -18,7 +18,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 QUERY_BYTES_PER_SCAN = 16 * 1024 * 1024
-SCORE_DIGITS = 6
 
 
 def collect_queries(df: DataFrame, name: str, vector: str, at_most: int = 10_000) -> dict[str, list[float]]:
@@ -39,7 +38,9 @@ def cosine_topk(
 ) -> DataFrame:
     """The k nearest ids of each query: ``query, rank, <id>, score``.
 
-    Scores are rounded before ranking and ties go to the smaller id. Apply filters on the metadata
+    Ranking uses twelve digits of the scores, beyond which only the order of summation shows; equal ones go to the
+    smaller id. Null vectors are skipped, a vector of another length
+    than the queries is an error. Apply filters on the metadata
     columns to ``vectors`` beforehand; they reach the scan.
     """
     if not queries:
@@ -50,7 +51,10 @@ def cosine_topk(
     names = sorted(queries)
     per_scan = max(1, query_bytes // (8 * dim))
     groups = [names[i : i + per_scan] for i in range(0, len(names), per_scan)]
-    usable = vectors.where(F.size(vector_column) == dim).select(id_column, vector_column)
+    fits = F.when(F.size(vector_column) == dim, F.col(vector_column)).otherwise(
+        F.raise_error(F.concat(F.lit(f"vector of another length than {dim}: "), F.col(id_column).cast("string")))
+    )
+    usable = vectors.where(F.col(vector_column).isNotNull()).select(id_column, fits.alias(vector_column))
     id_type = usable.schema[id_column].dataType
     schema = T.StructType(
         [
@@ -85,7 +89,7 @@ def _scorer(names: Sequence[str], matrix: np.ndarray, k: int):
             rows = flat.reshape(batch.num_rows, -1)
             lengths = np.sqrt(np.einsum("ij,ij->i", rows, rows))
             scores = (rows @ unit.T) / np.where(lengths == 0, 1.0, lengths)[:, None]
-            scores = np.rint(scores * 10**SCORE_DIGITS) / 10**SCORE_DIGITS
+            scores = np.rint(scores * 1e12) / 1e12
             for q in range(len(names)):
                 best[q] = _best(
                     np.concatenate([best[q][0], scores[:, q]]), np.concatenate([best[q][1], ids]), k

@@ -48,7 +48,7 @@ def changed_rows(
     gate_columns = gate.columns if gate else ()
     kept_columns = [*keys, *gate_columns] + [c for c in ("created_at",) if c in target.columns]
     known = _reachable(target.select(*kept_columns, F.lit(True).alias("_known")), batch, keys).alias("t")
-    joined = batch.alias("b").join(known, on=[F.col(f"b.{k}") == F.col(f"t.{k}") for k in keys], how="left")
+    joined = _unique(batch, keys).alias("b").join(known, on=[F.col(f"b.{k}") == F.col(f"t.{k}") for k in keys], how="left")
     is_new = F.col("t._known").isNull()
     wanted = joined.where(is_new | (gate.passes("t", "b") if gate else F.lit(True)))
 
@@ -62,6 +62,15 @@ def changed_rows(
     return wanted.select(*[value(f.name).cast(f.dataType).alias(f.name) for f in target.schema])
 
 
+def _unique(batch: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The batch; reading it fails where a key is null or comes twice. Only the key columns are counted."""
+    times = batch.groupBy(*keys).agg(F.count(F.lit(1)).alias("_times")).alias("n")
+    counted = batch.alias("u").join(times, on=[F.col(f"u.{k}") == F.col(f"n.{k}") for k in keys], how="left")
+    message = F.concat(F.lit("null or repeated key in the batch: "), F.to_json(F.struct(*[F.col(f"u.{k}") for k in keys])))
+    checked = F.when(F.coalesce("n._times", F.lit(2)) > 1, F.raise_error(message)).otherwise(F.col(f"u.{keys[0]}"))
+    return counted.select(*[checked.alias(c) if c == keys[0] else F.col(f"u.{c}") for c in batch.columns])
+
+
 def _reachable(stored: DataFrame, batch: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Stored rows the batch can meet.
 
@@ -83,7 +92,7 @@ def upsert(
 
     Stored rows that stay are found by an anti join against the changed keys, so a batch that is small
     next to the target is broadcast by its measured size and the wide target rows are never shuffled. Both
-    sides must hold each key once; de-duplicate the batch first. ``changed`` may hold an already
+    sides must hold each key once; a batch that does not makes the job fail. ``changed`` may hold an already
     written result of :func:`changed_rows`.
     """
     if changed is None:

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -227,7 +227,7 @@ def struct_to_map(spark, sf_dir):
 
 @query
 def clean_text(spark, sf_dir):
-    pages = samples.spread(samples.table(spark, sf_dir, "pages"))
+    pages = samples.table(spark, sf_dir, "pages")
     return pages.select("page_id", text.clean_text(F.col("html")).alias("cleaned"))
 
 
@@ -325,7 +325,7 @@ def embedding_text(spark, sf_dir):
 
 def _document_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents in the shape of staging reviews; German ones have no summary, some summaries are blank."""
-    documents = samples.spread(samples.table(spark, sf_dir, "documents"))
+    documents = samples.table(spark, sf_dir, "documents")
     summary = F.when(F.col("lang") == "de", F.lit(None)).when(F.col("source") == "src1", "  ")
     return documents.select(
         F.concat(F.lit("D"), "doc_id").alias("review_id"),
@@ -418,7 +418,9 @@ def cosine_topk(spark, sf_dir):
     means = [F.avg(F.get("embedding", F.lit(i))) for i in range(SAMPLE_DIM)]
     centers = table.groupBy("label").agg(F.array(*means).alias("center"))
     wanted = topk.collect_queries(centers, "label", "center")
-    return topk.cosine_topk(table, wanted, 10, id_column="vec_id")
+    nearest = topk.cosine_topk(table, wanted, 10, id_column="vec_id").withColumn("score", F.round("score", DIGITS))
+    shown = Window.partitionBy("query").orderBy(F.desc("score"), "vec_id")
+    return nearest.withColumn("rank", F.row_number().over(shown))
 
 
 @query

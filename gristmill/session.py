@@ -20,6 +20,8 @@ RUNTIME_SETTINGS = {
 }
 
 _CHECKPOINT_KEY = "spark.checkpoint.dir"
+#: Temporary folders of local sessions that name none.
+_LOCAL_DIRS: dict[str, str] = {}
 
 
 def tune(spark: SparkSession) -> SparkSession:
@@ -53,9 +55,10 @@ def shared_dir(spark: SparkSession) -> str:
         return configured.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError(f"set {_CHECKPOINT_KEY} to a folder shared by all executors")
-    folder = tempfile.mkdtemp(prefix="gristmill-")
-    spark.conf.set(_CHECKPOINT_KEY, folder)
-    return folder
+    application = spark.sparkContext.applicationId
+    if application not in _LOCAL_DIRS:
+        _LOCAL_DIRS[application] = tempfile.mkdtemp(prefix="gristmill-")
+    return _LOCAL_DIRS[application]
 
 
 def application_dir(spark: SparkSession) -> str:

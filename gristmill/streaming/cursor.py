@@ -19,12 +19,15 @@ def state_path(root: str, entity: str) -> str:
 
 
 def after(df: DataFrame, field: str, watermark_in: Column | str | None) -> DataFrame:
-    """Rows past the watermark; all rows when there is none. The filter reaches the scan."""
+    """Rows past the watermark; all rows when there is none. The filter reaches the scan.
+
+    Rows without a cursor value come with every run, since no watermark can tell whether they were taken; merge by key.
+    """
     if watermark_in is None:
         return df
     kind = df.schema[field].dataType
     bound = F.lit(watermark_in).cast(kind) if isinstance(watermark_in, str) else watermark_in
-    return df.where(F.col(field) > bound)
+    return df.where((F.col(field) > bound) | F.col(field).isNull())
 
 
 def watermark_out(batch: DataFrame, field: str) -> str | None:

@@ -283,10 +283,12 @@ def test_cosine_topk_equals_brute_force_with_copies(spark):
     expected = []
     for name, vector in queries.items():
         q = np.array(vector) / np.linalg.norm(vector)
-        scores = np.rint(unit @ q * 1e6) / 1e6
+        scores = np.rint(unit @ q * 1e12) / 1e12
         order = sorted(range(300), key=lambda i: (-scores[i], data[i][0]))[:5]
         expected += [(name, rank + 1, data[i][0], scores[i]) for rank, i in enumerate(order)]
-    assert rows(topk.cosine_topk(df, queries, 5)) == sorted(expected)
+    got = rows(topk.cosine_topk(df, queries, 5))
+    assert [r[:3] for r in got] == [r[:3] for r in sorted(expected)]
+    assert np.allclose([r[3] for r in got], [r[3] for r in sorted(expected)], atol=1e-11)
     one_per_scan = topk.cosine_topk(df, queries, 5, query_bytes=64)
     assert rows(one_per_scan) == sorted(expected)
 
@@ -296,3 +298,30 @@ def test_query_vectors_are_bounded(spark):
     assert len(topk.collect_queries(df, "id", "v")) == 5
     with pytest.raises(ValueError, match="more than 4"):
         topk.collect_queries(df, "id", "v", at_most=4)
+
+
+def test_topk_ranks_on_full_scores_and_rejects_other_lengths(spark):
+    df = spark.createDataFrame([("a", [1.0, 0.0004]), ("b", [1.0, 0.0]), ("c", None)], "review_id string, embedding array<double>")
+    assert [r["review_id"] for r in topk.cosine_topk(df, {"q": [1.0, 0.0]}, 2).orderBy("rank").collect()] == ["b", "a"]
+    longer = df.unionByName(spark.createDataFrame([("d", [1.0, 0.0, 0.0])], df.schema))
+    with pytest.raises(Exception, match="another length"):
+        topk.cosine_topk(longer, {"q": [1.0, 0.0]}, 2).collect()
+
+
+def test_upsert_fails_on_repeated_or_null_keys(spark):
+    target = spark.createDataFrame([(1, "x")], "k long, v string")
+    for keys in ([2, 2], [3, None]):
+        batch = spark.createDataFrame([(k, "y") for k in keys], "k long, v string")
+        with pytest.raises(Exception, match="null or repeated key"):
+            upsert.upsert(target, batch, ["k"], F.current_timestamp()).collect()
+
+
+def test_only_plain_finite_numbers_count_as_ratings(spark):
+    df = spark.createDataFrame([(x,) for x in ("5", " 4.5 ", "NaN", "Infinity", "5d", "1e400", "n/a", None)], "overall string")
+    assert sorted(r["overall"] for r in profile.numeric_only(df, "overall").collect()) == [4.5, 5.0]
+
+
+def test_null_text_has_no_vector(spark):
+    df = spark.createDataFrame([("a b",), (None,)], "text string")
+    got = df.select("text", embedding.embed(F.col("text"), embedding.hashed_tokens(8)).alias("v")).collect()
+    assert {r["text"]: r["v"] is None for r in got} == {"a b": False, None: True}
