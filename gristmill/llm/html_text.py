@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from gristmill.llm.common import map_rows, materialize, prepare, table
+from gristmill.llm.decontaminate import small
 
 DROPPED_TAGS = {"nav", "footer", "aside", "form", "script", "style", "noscript", "template", "iframe", "svg", "button", "select", "menu", "dialog", "head", "object"}
 DROPPED_NAMES = {
@@ -167,7 +168,10 @@ def extract(pages: DataFrame, id_column: str = "page_id", url_column: str = "url
     schema = f"id {id_type}, url string, row bigint, host string, path string, outside array<bigint>, plain array<int>, roles string, texts array<string>"
     parsed = materialize(map_rows(narrow, parse, schema), "parsed-pages")
     shared = map_rows(_neighbours(parsed.where("host <> ''")), _shared, "row bigint, shared array<int>").dropDuplicates(["row"])
-    met = parsed.select("id", "url", "row", "roles", "texts").join(shared, "row", "left")
+    texts = parsed.select("id", "url", "row", "plain", "roles", "texts")
+    # Only pages with undecided blocks wait for an answer; the texts of the others go nowhere.
+    asking = texts.where(F.size("plain") > 0).join(small(materialize(shared, "shared-blocks")), "row", "left")
+    met = asking.unionByName(texts.where(F.size("plain") == 0), allowMissingColumns=True)
 
     def write(rows: Iterator[dict]) -> Iterator[dict]:
         for row in rows:
