@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from gristmill.operators import quality as q
 from gristmill.plans import suites
-from gristmill.registry import CURSOR_START, FAILING_SUITE, INGEST_DT, NOW, RUN_DATE, SAMPLE_DIM
+from gristmill.registry import CURSOR_START, EARLIER, FAILING_SUITE, INGEST_DT, NOW, RUN_DATE, SAMPLE_DIM
 
 # Fixed value: the white space class in RE2 notation.
 SPACES = r"[\x{09}-\x{0d}\x{1c}-\x{20}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+"
@@ -149,7 +149,7 @@ FROM stg_reviews r LEFT JOIN product_features p ON r.asin = p.asin
 LEFT JOIN user_features u ON r.reviewer_id = u.reviewer_id
 LEFT JOIN product_review_stats s ON r.asin = s.asin""",
     "landing": """
-SELECT CASE WHEN event_type = 'error' THEN substr(line, 1, 40) ELSE line END AS line FROM (
+SELECT CASE WHEN event_type = 'error' THEN substr(line, 1, length(line) - 1) ELSE line END AS line FROM (
   SELECT event_type, '{"asin":"' || CASE WHEN event_type = 'view' THEN '' ELSE 'A' || user_id END || '","title":"'
          || event_type || '","price":"' || event_id || '","category":["' || event_type || '","all"],"rank":"'
          || user_id || '","props":' || props || '}' AS line FROM events)""",
@@ -365,6 +365,11 @@ def oracle_sql() -> dict[str, str]:
             + f"WHERE {_squeeze(_decode('summary'))} IS NOT NULL OR {_squeeze(_decode('review_text'))} IS NOT NULL",
             *_FEATURES,
         ),
+        "incremental_refresh": _with(
+            "SELECT *, (SELECT count(*) FROM raw_reviews) AS records_taken, CAST(0 AS BIGINT) AS records_of_third_run "
+            "FROM stg_reviews",
+            "stg_reviews",
+        ),
         "normalize_strings": _with(
             f"SELECT asin, updated_at, {_blank('title')} AS title, {_blank('brand')} AS brand, "
             f"{_blank('date_raw')} AS date_raw FROM raw_products",
@@ -536,10 +541,7 @@ def oracle_sql() -> dict[str, str]:
                    CASE WHEN take THEN b.model_version ELSE s.model_version END AS model_version,
                    coalesce(s.created_at, TIMESTAMP '{NOW}') AS created_at,
                    CASE WHEN take THEN TIMESTAMP '{NOW}' ELSE s.updated_at END AS updated_at,
-                   round(CAST(CASE WHEN take THEN b.embedding[1] ELSE s.embedding[1] END AS DOUBLE), 6)
-                       AS first_component,
-                   round(CAST(CASE WHEN take THEN b.embedding[{SAMPLE_DIM}] ELSE s.embedding[{SAMPLE_DIM}] END
-                       AS DOUBLE), 6) AS last_component
+                   {_scaled('CASE WHEN take THEN b.embedding ELSE s.embedding END')} AS components
             FROM (SELECT s, b, b.review_id IS NOT NULL AND (s.review_id IS NULL
                          OR s.text_hash IS DISTINCT FROM b.text_hash
                          OR s.model_version IS DISTINCT FROM b.model_version) AS take
@@ -547,6 +549,22 @@ def oracle_sql() -> dict[str, str]:
             "stored_vectors",
             "vector_batch",
         ),
+        "vector_refresh_rerun": _with(
+            f"""
+            SELECT review_id, text_hash, CAST(2 AS BIGINT) AS versions_written,
+                   CASE WHEN reviewer_id = 'en' THEN TIMESTAMP '{EARLIER}' ELSE TIMESTAMP '{NOW}' END AS created_at,
+                   CASE WHEN reviewer_id = 'en' THEN TIMESTAMP '{EARLIER}' ELSE TIMESTAMP '{NOW}' END AS updated_at
+            FROM prepared""",
+            "prepared",
+        ),
+        "batch_key_check": _with(
+            """
+            SELECT 'landed' AS step, CAST(sum(n) AS BIGINT) AS row_count, count(*) AS distinct_keys,
+                   count(*) FILTER (WHERE n > 1) AS repeated_keys, CAST(0 AS BIGINT) AS null_keys
+            FROM (SELECT asin, count(*) AS n FROM documents_landed GROUP BY asin)
+            UNION ALL SELECT 'unique', count(DISTINCT asin), count(DISTINCT asin), 0, 0 FROM documents_landed""",
+            "documents_landed",
+        ),
         "product_upsert": _with(
             f"""
             SELECT coalesce(p.asin, t.asin) AS asin, CASE WHEN p.asin IS NULL THEN t.title ELSE p.title END AS title,

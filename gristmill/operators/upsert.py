@@ -62,6 +62,18 @@ def changed_rows(
     return wanted.select(*[value(f.name).cast(f.dataType).alias(f.name) for f in target.schema])
 
 
+def key_check(batch: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """One row: ``row_count, distinct_keys, repeated_keys, null_keys`` of a batch, what a merge would refuse."""
+    has_null = reduce(Column.__or__, [F.col(k).isNull() for k in keys])
+    times = batch.groupBy(*keys).agg(F.count(F.lit(1)).alias("_times"))
+    return times.agg(
+        F.coalesce(F.sum("_times"), F.lit(0)).alias("row_count"),
+        F.count(F.lit(1)).alias("distinct_keys"),
+        F.count_if((F.col("_times") > 1) & ~has_null).alias("repeated_keys"),
+        F.coalesce(F.sum(F.when(has_null, F.col("_times"))), F.lit(0)).alias("null_keys"),
+    )
+
+
 def _unique(batch: DataFrame, keys: Sequence[str]) -> DataFrame:
     """The batch; reading it fails where a key is null or comes twice. Only the key columns are counted."""
     times = batch.groupBy(*keys).agg(F.count(F.lit(1)).alias("_times")).alias("n")

@@ -1,13 +1,14 @@
 """The full sequence: raw batches, staging, features, vectors, each gated by its quality suite.
 
-Every step writes its table before the next reads it. A rerun of the same date replaces the same partitions
-and tables, so a run that died can simply be started again.
+Every step writes its table before the next reads it. Raw batches are only ever added, and the staging of a date is
+built from all batches of the date that count, so a run that died at any point can simply be started again: nothing
+is lost and nothing counts twice. A watermark moves only after the rows before it are staged and checked.
 """
 
 from __future__ import annotations
 
 import json
-import uuid
+from collections.abc import Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,12 +17,15 @@ from pyspark.sql import types as T
 
 from gristmill.operators import checks, quality
 from gristmill.operators.contracts import require_rows
+from gristmill.operators.dedup import first_per_key, newest
 from gristmill.operators.embedding import EncoderFactory
+from gristmill.operators.upsert import merge_into
 from gristmill.plans import features, staging, suites, vectors
 from gristmill.sources import raw, tables
 from gristmill.streaming import cursor
 
 FEATURE_TABLES = ("product_features", "user_features", "product_review_stats", "user_product_interactions")
+VECTOR_TABLE = "review_embeddings"
 
 
 @dataclass
@@ -29,7 +33,8 @@ class Run:
     """One scheduled run over one ingestion date, working below ``root``.
 
     With a ``namespace`` the feature tables are published to the catalog under it, otherwise they are
-    Parquet folders.
+    Parquet folders with a pointer to the current version. ``vector_buckets`` is the number of parts of the
+    vector table; choose it when the table is new, so that a part is a few gigabytes.
     """
 
     spark: SparkSession
@@ -39,10 +44,14 @@ class Run:
     now: str
     namespace: str | None = None
     provider: str = "parquet"
-    records_per_file: int = raw.RECORDS_PER_FILE
+    records_per_file: int = raw.JOB_RECORDS_PER_FILE
+    vector_buckets: int = 64
 
     # Locations
 
+    def manifest_path(self, entity: str) -> str:
+        return raw.manifest_path(self.root, entity, self.ingest_dt)
+
     def staging_path(self, entity: str) -> str:
         return f"{self.root}/staging/{entity}"
 
@@ -52,60 +61,86 @@ class Run:
     def report_path(self, entity: str) -> str:
         return f"{self.root}/reports/{entity}/{self.run_date}"
 
-    def vector_path(self, version: str) -> str:
-        return f"{self.root}/vectors/{version}"
+    @property
+    def vector_path(self) -> str:
+        return f"{self.root}/vectors"
 
     def feature(self, table: str) -> DataFrame:
         if self.namespace:
             return tables.read_table(self.spark, f"{self.namespace}.{table}")
-        return self.spark.read.parquet(self.feature_path(table))
+        return tables.current_version(self.spark, self.feature_path(table)).read(self.spark)
+
+    def vector_table(self) -> DataFrame:
+        """The vector table as the last run that was checked left it."""
+        if self.namespace and self.provider in tables.REPLACING_PROVIDERS:
+            return tables.read_table(self.spark, f"{self.namespace}.{VECTOR_TABLE}")
+        return tables.current_version(self.spark, self.vector_path).read(self.spark)
 
     def staged(self, entity: str) -> DataFrame:
         return tables.read_partition(self.spark, self.staging_path(entity), self.ingest_dt)
 
+    def staged_over_dates(self, entity: str) -> DataFrame:
+        """The newest row of each key over all dates: what increments of several dates add up to."""
+        key, order = {"products": ("asin", ["updated_at", "ingest_dt"]), "reviews": ("review_id", ["ingest_dt"])}[entity]
+        return first_per_key(tables.read_all(self.spark, self.staging_path(entity)), [key], newest(*order))
+
     # Steps
 
     def ingest(
-        self, source: DataFrame, entity: str, cursor_field: str | None = None, incremental: bool = False
-    ) -> DataFrame:
+        self,
+        source: DataFrame,
+        entity: str,
+        cursor_field: str | None = None,
+        incremental: bool = False,
+        expected_records: int | None = None,
+    ) -> raw.Manifest:
         """Write a source as a raw batch with its manifest; returns the manifest.
 
-        An incremental run takes the rows past the last watermark and moves it once the manifest is stored.
+        An incremental run takes the rows past the last watermark. The source is read once; ``expected_records`` is
+        a count the source itself gave, if there is one.
         """
         before = cursor.last_watermark(self.spark, self.root, entity) if incremental else None
         if incremental:
             source = cursor.after(source, cursor_field, before)
         batch = raw.write_batch(source, self.root, entity, self.ingest_dt, self.records_per_file, cursor_field)
-        path = raw.manifest_path(self.root, entity, self.ingest_dt)
+        path = self.manifest_path(entity)
         built = raw.build_manifest(
             self.spark,
             batch,
-            self.root,
             entity,
             self.ingest_dt,
             f"{self.now.replace(' ', 'T')}Z",
             mode="incremental" if incremental else "one_shot",
             cursor=raw.Cursor(cursor_field, incremental, before, batch.last_cursor if incremental else None),
+            batch_no=raw.next_batch_no(self.spark, path),
         )
         raw.write_manifest(built, path)
-        manifest = raw.read_manifest(self.spark, path)
-        raw.reconcile(source.count(), manifest)
-        if incremental and batch.last_cursor is not None:
-            cursor.commit(self.spark, self.root, entity, cursor_field, batch.last_cursor)
+        manifest = raw.read_manifest(self.spark, path, batch.name)
+        raw.reconcile(batch.source_records if expected_records is None else expected_records, manifest)
         return manifest
 
-    def stage(self, manifest: DataFrame, entity: str, schema: T.StructType) -> None:
+    def stage(self, entity: str, schema: T.StructType) -> None:
+        """Replace the date's staging partition by what all its raw batches hold, the latest row of each key."""
         build = {"products": staging.products, "reviews": staging.reviews}[entity]
+        manifest = raw.read_manifest(self.spark, self.manifest_path(entity))
         records = require_rows(raw.read_raw(self.spark, manifest, schema), f"raw {entity}")
         tables.write_partitions(build(records, self.ingest_dt), self.staging_path(entity), sort_by="asin")
         partition = f"{self.staging_path(entity)}/ingest_dt={self.ingest_dt}"
         about = {"ingest_dt": self.ingest_dt, "partition_path": partition}
         self.gate(self.staged(entity), f"staging_{entity}", **about)
 
-    def build_features(self) -> None:
-        products = self.staged("products")
+    def commit(self, manifest: raw.Manifest, entity: str) -> None:
+        """Move the watermark of an increment that is staged and checked."""
+        taken = manifest.header.first()["incremental"]
+        if taken["enabled"] and taken["watermark_out"] is not None:
+            cursor.commit(self.spark, self.root, entity, taken["cursor_field"], taken["watermark_out"])
+
+    def build_features(self, over_dates: bool = False) -> None:
+        """The feature tables of the date's partition, or of all dates when partitions are increments."""
+        staged = self.staged_over_dates if over_dates else self.staged
+        products = staged("products")
         facts_path = f"{self.root}/features/review_facts"
-        tables.write_partitions(self.staged("reviews").transform(self.facts), facts_path)
+        tables.write_partitions(staged("reviews").transform(self.facts), facts_path)
         reviews = tables.read_partition(self.spark, facts_path, self.ingest_dt)
         self.publish("product_features", features.product_features(products, self.run_date))
         self.publish("user_features", features.user_features(reviews, self.run_date))
@@ -119,39 +154,79 @@ class Run:
         return features.review_facts(reviews).withColumn("ingest_dt", F.lit(self.ingest_dt).cast("date"))
 
     def publish(self, table: str, df: DataFrame) -> None:
+        """Store a feature table. In folders the checked version becomes the current one, a failed one never does."""
         if self.namespace:
-            tables.publish_table(df, f"{self.namespace}.{table}", self.provider, f"{self.root}/features")
-        else:
-            df.write.mode("overwrite").parquet(self.feature_path(table))
-        name = f"{self.namespace}.{table}" if self.namespace else table
-        self.gate(self.feature(table), table, execution_date=self.run_date, table_name=name)
+            name = f"{self.namespace}.{table}"
+            tables.publish_table(df, name, self.provider, f"{self.root}/features")
+            self.gate(self.feature(table), table, execution_date=self.run_date, table_name=name)
+            return
+        base = self.feature_path(table)
+        version = tables.Version(tables.current_version(self.spark, base).number + 1, {0: tables.new_version_path(base)})
+        df.write.parquet(version.parts[0])
+        self.gate(version.read(self.spark), table, execution_date=self.run_date, table_name=table)
+        tables.move_pointer(self.spark, base, version)
+
+    def build_vectors(
+        self, encoder: EncoderFactory, dim: int, model_version: str = vectors.DEFAULT_MODEL, backfill: bool = False
+    ) -> DataFrame:
+        """Embed what is not stored yet and bring the lasting vector table up to date.
 
-    def build_vectors(self, encoder: EncoderFactory, dim: int, model_version: str, stored: DataFrame | None) -> DataFrame:
-        """Embed what is not stored yet and write the next version of the vector table."""
-        reviews = tables.read_all(self.spark, self.staging_path("reviews"))
+        The run's date is prepared; ``backfill`` prepares all dates, for a new model or after a date whose vectors
+        were never built. Where the provider merges in place the catalog table is merged into. Otherwise only the
+        buckets with changes are written anew, and the pointer moves when the whole is checked; a run without
+        changes writes nothing.
+        """
         prepared_path = self.staging_path("reviews_for_embedding")
+        reviews = tables.read_all(self.spark, self.staging_path("reviews")) if backfill else self.staged("reviews")
         tables.write_partitions(vectors.prepare(reviews, model_version), prepared_path)
-        prepared = require_rows(tables.read_all(self.spark, prepared_path), "the prepared reviews")
-        todo = vectors.pending(prepared, stored) if stored is not None else prepared
-        embedded = f"{self.root}/embedded/{self.run_date}"
-        vectors.embed_reviews(todo, encoder).write.mode("overwrite").parquet(embedded)
-        batch = tables.read_all(self.spark, embedded)
+        read = tables.read_all(self.spark, prepared_path) if backfill else self.staged("reviews_for_embedding")
+        prepared = require_rows(read, "the prepared reviews")
+        if self.namespace and self.provider in tables.REPLACING_PROVIDERS:
+            return self._merge_vectors(prepared, encoder)
+        return self._rewrite_buckets(prepared, encoder, dim)
+
+    def _merge_vectors(self, prepared: DataFrame, encoder: EncoderFactory) -> DataFrame:
+        name = f"{self.namespace}.{VECTOR_TABLE}"
+        if not self.spark.catalog.tableExists(name):
+            self.empty_vectors(vectors.embed_reviews(prepared, encoder)).writeTo(name).using(self.provider).create()
+        batch = self._embedded(prepared, tables.read_table(self.spark, name), encoder)
+        columns = [c for c in vectors.EMBEDDED_COLUMNS if c != "ingest_dt"]
+        merge_into(vectors.newest_per_review(batch).select(*columns), name, ["review_id"], vectors.CONTENT_CHANGED)
+        return tables.read_table(self.spark, name)
+
+    def _embedded(self, prepared: DataFrame, stored: DataFrame, encoder: EncoderFactory) -> DataFrame:
+        """Vectors of the prepared rows that are not stored, written once."""
+        path = f"{self.root}/embedded/{self.run_date}"
+        vectors.embed_reviews(vectors.pending(prepared, stored), encoder).write.mode("overwrite").parquet(path)
+        return tables.read_all(self.spark, path)
+
+    def _rewrite_buckets(self, prepared: DataFrame, encoder: EncoderFactory, dim: int) -> DataFrame:
+        current = tables.current_version(self.spark, self.vector_path)
+        empty = self.empty_vectors(vectors.embed_reviews(prepared, encoder))
+        stored = current.read(self.spark) if current.parts else empty
         now = F.lit(self.now).cast("timestamp")
-        if stored is None:
-            stored = self.empty_vectors(batch)
         changed_path = f"{self.root}/changed/{self.run_date}"
+        batch = self._embedded(prepared, stored, encoder)
         vectors.changed_vectors(stored, batch, now).write.mode("overwrite").parquet(changed_path)
         changed = self.spark.read.parquet(changed_path)
-        merged = vectors.apply_changes(stored, changed, now)
-        # A version of its own: the stored table may be what a run of the same date wrote before.
-        version = self.vector_path(f"version-{self.run_date}-{uuid.uuid4().hex}")
-        merged.write.parquet(version)
-        table = self.spark.read.parquet(version)
-        results = checks.vector_report(table, dim, "review_embeddings", self.now)
-        results.coalesce(1).write.mode("overwrite").json(self.report_path("review_embeddings"))
-        status = self.spark.read.json(self.report_path("review_embeddings")).first()
+        bucket = F.pmod(F.xxhash64("review_id"), F.lit(self.vector_buckets)).cast("int").alias("bucket")
+        touched = [row["bucket"] for row in changed.select(bucket).distinct().collect()]
+        version = current
+        if touched:
+            before = {b: current.parts[b] for b in touched if b in current.parts}
+            old = tables.Version(current.number, before).read(self.spark) if before else empty
+            merged = vectors.apply_changes(old, changed, now).select("*", bucket)
+            path = tables.new_version_path(self.vector_path)
+            merged.hint("rebalance", "bucket").write.partitionBy("bucket").parquet(path)
+            version = tables.Version(current.number + 1, current.parts | {b: f"{path}/bucket={b}" for b in touched})
+        table = version.read(self.spark)
+        results = checks.vector_report(table, dim, VECTOR_TABLE, self.now)
+        results.coalesce(1).write.mode("overwrite").json(self.report_path(VECTOR_TABLE))
+        status = self.spark.read.json(self.report_path(VECTOR_TABLE)).first()
         if status["overall_status"] != "success":
-            raise quality.SuiteFailed(f"review_embeddings: {status['checks']}")
+            raise quality.SuiteFailed(f"{VECTOR_TABLE}: {status['checks']}")
+        if touched:
+            tables.move_pointer(self.spark, self.vector_path, version)
         return table
 
     def empty_vectors(self, batch: DataFrame) -> DataFrame:
@@ -175,13 +250,26 @@ class Run:
         encoder: EncoderFactory,
         dim: int = vectors.DEFAULT_DIMENSION,
         model_version: str = vectors.DEFAULT_MODEL,
-        stored: DataFrame | None = None,
+        cursors: Mapping[str, str] | None = None,
+        backfill: bool = False,
     ) -> DataFrame:
-        """Run everything in order; returns the row count of each finished table."""
+        """Run everything in order; returns the row count of each finished table.
+
+        An entity with a cursor column in ``cursors`` is taken incrementally. The features then cover all dates. An
+        increment without rows leaves staging as it is; what follows is still built, since an earlier run may have
+        died before it.
+        """
+        cursors = cursors or {}
         for entity, source in (("products", products), ("reviews", reviews)):
-            manifest = self.ingest(source, entity)
-            self.stage(manifest, entity, source.schema)
-        self.build_features()
-        table = self.build_vectors(encoder, dim, model_version, stored)
+            field = cursors.get(entity)
+            manifest = self.ingest(source, entity, field, incremental=field is not None)
+            if field is None or manifest.header.first()["counts"]["records"]:
+                self.stage(entity, source.schema)
+                self.commit(manifest, entity)
+        self.build_features(over_dates=bool(cursors))
+        if cursors and not backfill and self.staged("reviews").isEmpty():
+            table = self.vector_table()
+        else:
+            table = self.build_vectors(encoder, dim, model_version, backfill)
         finished = {name: self.feature(name) for name in FEATURE_TABLES}
-        return checks.row_counts({**finished, "review_embeddings": table})
+        return checks.row_counts({**finished, VECTOR_TABLE: table})

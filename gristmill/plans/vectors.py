@@ -14,6 +14,7 @@ from gristmill.operators.upsert import changed_rows, differs, not_stored_yet, up
 DEFAULT_MODEL = "all-MiniLM-L6-v2"
 DEFAULT_DIMENSION = 384
 
+# The columns of the prepared and the embedded tables.
 IDENTITY = ["review_id", "asin", "reviewer_id", "review_timestamp", "ingest_dt"]
 PREPARED_COLUMNS = [*IDENTITY, "text_for_embedding", "text_hash", "model_version"]
 EMBEDDED_COLUMNS = [*IDENTITY, "text_hash", "model_version", "embedding"]
@@ -45,19 +46,19 @@ def embed_reviews(prepared: DataFrame, encoder: EncoderFactory, batch_size: int
     return prepared.withColumn("embedding", vector).select(*EMBEDDED_COLUMNS)
 
 
-def _newest_per_review(batch: DataFrame) -> DataFrame:
+def newest_per_review(batch: DataFrame) -> DataFrame:
     """A batch may span several ingestion dates; the newest row of a review counts."""
     return latest_by(batch, ["review_id"], *[c for c in ("ingest_dt",) if c in batch.columns])
 
 
 def merge_vectors(stored: DataFrame, batch: DataFrame, now: Column) -> DataFrame:
     """The vector table after the batch: unchanged rows stay exactly as stored."""
-    return upsert(stored, _newest_per_review(batch), ["review_id"], now, CONTENT_CHANGED)
+    return upsert(stored, newest_per_review(batch), ["review_id"], now, CONTENT_CHANGED)
 
 
 def changed_vectors(stored: DataFrame, batch: DataFrame, now: Column) -> DataFrame:
     """Only the rows a merge would write."""
-    return changed_rows(stored, _newest_per_review(batch), ["review_id"], now, CONTENT_CHANGED)
+    return changed_rows(stored, newest_per_review(batch), ["review_id"], now, CONTENT_CHANGED)
 
 
 def apply_changes(stored: DataFrame, changed: DataFrame, now: Column) -> DataFrame:

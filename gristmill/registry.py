@@ -23,7 +23,9 @@ from gristmill.streaming import cursor
 
 INGEST_DT = "2024-01-01"
 RUN_DATE = "2024-01-02"
+EARLIER = "2024-02-01 12:00:00"
 NOW = "2024-03-01 12:00:00"
+LATER = "2024-04-01 12:00:00"
 CURSOR_START = "2024-01-10 00:00:00"
 DIGITS = 6
 SAMPLE_DIM = 64
@@ -142,6 +144,29 @@ def refresh_row_counts(spark, sf_dir):
     return counts
 
 
+@query
+def incremental_refresh(spark, sf_dir):
+    """Staging reviews after two increments of one date and a third without rows.
+
+    The first run sees reviews before the median time only.
+    """
+    source = samples.raw_reviews(spark, sf_dir)
+    middle = source.agg(F.percentile_approx("unixReviewTime", 0.5).alias("m")).first()["m"]
+    run = refresh.Run(spark, fresh_dir(spark, "increments"), INGEST_DT, RUN_DATE, NOW)
+    taken = []
+    for visible in (source.where(F.col("unixReviewTime") <= middle), source, source):
+        manifest = run.ingest(visible, "reviews", "unixReviewTime", incremental=True)
+        taken.append(manifest.header.first()["counts"]["records"])
+        if taken[-1]:
+            run.stage("reviews", source.schema)
+            run.commit(manifest, "reviews")
+    return run.staged("reviews").select(
+        "*",
+        F.lit(sum(taken)).cast("bigint").alias("records_taken"),
+        F.lit(taken[-1]).cast("bigint").alias("records_of_third_run"),
+    )
+
+
 # Scalar functions
 
 
@@ -428,10 +453,31 @@ def embedding_upsert(spark, sf_dir):
     stored = samples.stored_vectors(spark, sf_dir)
     changed = vector_plans.changed_vectors(stored, samples.vector_batch(spark, sf_dir), _now())
     merged = vector_plans.apply_changes(stored, materialize(changed, "changed-vectors"), _now())
-    return merged.select(
-        *[c for c in merged.columns if c != "embedding"],
-        F.get("embedding", F.lit(0)).cast("double").alias("first_component"),
-        F.get("embedding", F.lit(SAMPLE_DIM - 1)).cast("double").alias("last_component"),
+    return merged.select(*[c for c in merged.columns if c != "embedding"], _scaled("embedding").alias("components"))
+
+
+@query
+def vector_refresh_rerun(spark, sf_dir):
+    """The lasting vector table after three runs: English documents, all documents, and all again without a change."""
+    root = fresh_dir(spark, "vector-refresh")
+    documents = _document_reviews(spark, sf_dir)
+    for now, reviews in ((EARLIER, documents.where("reviewer_id = 'en'")), (NOW, documents), (LATER, documents)):
+        run = refresh.Run(spark, root, INGEST_DT, RUN_DATE, now)
+        tables.write_partitions(reviews, run.staging_path("reviews"))
+        run.build_vectors(hashed_tokens(SAMPLE_DIM), SAMPLE_DIM, model_version="hashed-64")
+    written = tables.current_version(spark, run.vector_path).number
+    stored = run.vector_table().select("review_id", "text_hash", "created_at", "updated_at")
+    return stored.withColumn("versions_written", F.lit(written).cast("bigint"))
+
+
+@query
+def batch_key_check(spark, sf_dir):
+    """Keys that come more than once in the landing lines, before and after the longest record of each is taken."""
+    documents = landing.valid_documents(samples.landing_lines(spark, sf_dir), {"asin": "string"}, "asin")
+    before = documents.select(F.col("doc.asin").alias("asin"), "line")
+    after = dedup.longest_by(before, ["asin"], "line")
+    return upsert.key_check(before, ["asin"]).withColumn("step", F.lit("landed")).unionByName(
+        upsert.key_check(after, ["asin"]).withColumn("step", F.lit("unique"))
     )
 
 
@@ -545,9 +591,9 @@ def _raw_events(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, str, raw.B
     return events, root, raw.write_batch(events, root, "events", INGEST_DT, cursor_field="ts")
 
 
-def _manifest(spark: SparkSession, root: str, batch: raw.Batch) -> DataFrame:
+def _manifest(spark: SparkSession, root: str, batch: raw.Batch) -> raw.Manifest:
     reached = raw.Cursor("ts", watermark_out=batch.last_cursor)
-    built = raw.build_manifest(spark, batch, root, "events", INGEST_DT, "2024-01-01T00:00:00Z", cursor=reached)
+    built = raw.build_manifest(spark, batch, "events", INGEST_DT, "2024-01-01T00:00:00Z", cursor=reached)
     path = raw.manifest_path(root, "events", INGEST_DT)
     raw.write_manifest(built, path)
     return raw.read_manifest(spark, path)
@@ -576,7 +622,8 @@ def raw_sink_counts(spark, sf_dir):
 @query
 def manifest_build(spark, sf_dir):
     _, root, batch = _raw_events(spark, sf_dir)
-    return _manifest(spark, root, batch).select(
+    manifest = _manifest(spark, root, batch)
+    return manifest.header.select(
         "manifest_version",
         F.col("source.name").alias("source_name"),
         F.col("run.ingest_dt").alias("ingest_dt"),
@@ -585,7 +632,7 @@ def manifest_build(spark, sf_dir):
         "s3.prefix",
         "s3.format",
         F.col("counts.records").alias("records"),
-        (F.col("counts.files") == F.size("s3.files")).alias("all_files_listed"),
+        (F.col("counts.files") == F.lit(manifest.files.count())).alias("all_files_listed"),
         F.col("incremental.enabled").alias("incremental_enabled"),
         "incremental.cursor_field",
         "incremental.watermark_in",
@@ -595,8 +642,8 @@ def manifest_build(spark, sf_dir):
 
 @query
 def reconcile_counts(spark, sf_dir):
-    events, root, batch = _raw_events(spark, sf_dir)
-    row = raw.reconcile(events.count(), _manifest(spark, root, batch))
+    _, root, batch = _raw_events(spark, sf_dir)
+    row = raw.reconcile(batch.source_records, _manifest(spark, root, batch))
     return spark.createDataFrame([row], "source_records bigint, written_records bigint, matches boolean")
 
 
@@ -625,11 +672,13 @@ def dynamic_overwrite(spark, sf_dir):
 
 @query
 def table_replace(spark, sf_dir):
-    """A catalog table published twice, the second time from its own content."""
-    root, name = fresh_dir(spark, "catalog"), "gristmill_orders"
-    spark.sql(f"DROP TABLE IF EXISTS {name}")
-    tables.publish_table(samples.table(spark, sf_dir, "orders"), name, root=root)
-    doubled = tables.read_table(spark, name).withColumn("o_totalprice", F.col("o_totalprice") * 2)
+    """A catalog table published three times: as it is, with another column, and from its own content."""
+    root = fresh_dir(spark, "catalog")
+    name = f"orders_{root[-12:]}"
+    orders = samples.table(spark, sf_dir, "orders")
+    tables.publish_table(orders, name, root=root)
+    tables.publish_table(tables.read_table(spark, name).withColumn("doubled", F.col("o_totalprice") * 2), name, root=root)
+    doubled = tables.read_table(spark, name).withColumn("o_totalprice", F.col("doubled")).drop("doubled")
     tables.publish_table(doubled, name, root=root)
     return tables.read_table(spark, name)
 

@@ -1,31 +1,41 @@
-"""The raw layer: gzipped JSON lines described by a manifest."""
+"""The raw layer: batches of gzipped JSON lines, each described by a manifest.
+
+A manifest has two parts, the same for any number of files: a header of one row per batch and a list of one row per
+file. Both are only ever appended to, the header last, so a batch counts once its header is there.
+"""
 
 from __future__ import annotations
 
 import logging
 import uuid
 from dataclasses import dataclass
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession
+from pyspark.sql import DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from gristmill.session import path_exists
+
 log = logging.getLogger(__name__)
 
 # The manifest format.
 MANIFEST_VERSION = "1.0"
 RAW_FORMAT = "jsonl.gz"
 RECORDS_PER_FILE = 5000
-FILES_PER_MANIFEST_ROW = 10_000
 
-MANIFEST_SCHEMA = (
+#: Records per file of the scheduled job; the format's own default would cut large extracts into millions of files.
+JOB_RECORDS_PER_FILE = 1_000_000
+
+HEADER_SCHEMA = (
     "manifest_version string, "
     "source struct<name: string>, "
-    "run struct<ingest_dt: string, extract_ts_utc: string, mode: string>, "
-    "s3 struct<bucket: string, prefix: string, format: string, files: array<string>>, "
+    "run struct<ingest_dt: string, extract_ts_utc: string, mode: string, batch_no: bigint>, "
+    "s3 struct<bucket: string, prefix: string, format: string, batch: string>, "
     "counts struct<records: bigint, files: bigint>, "
     "incremental struct<enabled: boolean, cursor_field: string, watermark_in: string, watermark_out: string>"
 )
+FILES_SCHEMA = "batch string, file string"
 
 _TEXT_TYPES = (T.DateType, T.TimestampType, T.TimestampNTZType, T.DecimalType, T.BinaryType)
 
@@ -50,12 +60,27 @@ def manifest_path(root: str, entity: str, ingest_dt: str) -> str:
 
 @dataclass(frozen=True)
 class Batch:
-    """A written batch: its folder and what was observed while it was written."""
+    """A written batch: where it lies below the root, and what was observed while it was written."""
 
-    path: str
+    root: str
+    prefix: str
+    name: str
+    source_records: int
     records: int
     last_cursor: str | None = None
 
+    @property
+    def path(self) -> str:
+        return f"{self.root}/{self.prefix}{self.name}"
+
+
+@dataclass(frozen=True)
+class Manifest:
+    """``header`` has one row per batch, ``files`` (``batch, file``) one per stored file, named below the root."""
+
+    header: DataFrame
+    files: DataFrame
+
 
 def write_batch(
     df: DataFrame,
@@ -68,79 +93,70 @@ def write_batch(
     """Write a frame as a new batch of gzipped JSON lines.
 
     Batches are never overwritten; each lies in a folder of its own below the date prefix. Values JSON has no
-    form for are written as text, and nulls are kept so that every record shows all its fields. Records
-    and the highest cursor value are taken along by the writing tasks, so nothing is read twice.
+    form for are written as text, and nulls are kept so that every record shows all its fields. The rows that
+    came from the source, those handed to the writer and the highest cursor value are counted by the writing
+    tasks, so nothing is read twice.
     """
-    path = f"{root}/{raw_prefix(entity, ingest_dt)}batch-{uuid.uuid4().hex}"
+    prefix, name = raw_prefix(entity, ingest_dt), f"batch-{uuid.uuid4().hex}"
     readable = [
         F.col(f"`{f.name}`").cast("string").alias(f.name) if isinstance(f.dataType, _TEXT_TYPES) else f"`{f.name}`"
         for f in df.schema
     ]
-    seen = Observation()
+    source, written = Observation(), Observation()
     cursor = F.max(f"`{cursor_field}`").cast("string") if cursor_field else F.max(F.lit(None).cast("string"))
-    observed = df.observe(seen, F.count(F.lit(1)).alias("records"), cursor.alias("last_cursor"))
-    writer = observed.select(*readable).write.option("compression", "gzip").option("ignoreNullFields", "false")
-    writer.option("maxRecordsPerFile", records_per_file).json(path)
-    return Batch(path, seen.get["records"], seen.get["last_cursor"])
+    observed = df.observe(source, F.count(F.lit(1)).alias("records"), cursor.alias("last_cursor"))
+    lines = observed.select(*readable).observe(written, F.count(F.lit(1)).alias("records"))
+    writer = lines.write.option("compression", "gzip").option("ignoreNullFields", "false")
+    writer.option("maxRecordsPerFile", records_per_file).json(f"{root}/{prefix}{name}")
+    return Batch(root, prefix, name, source.get["records"], written.get["records"], source.get["last_cursor"])
 
 
-def _inside_root(path: Column) -> Column:
-    """A stored file's name relative to the root, which the ``raw`` folder marks."""
-    return F.concat(F.lit("raw/"), F.substring_index(path, "/raw/", -1))
+def _stored_files(spark: SparkSession, root: str, folder: str) -> DataFrame:
+    """``file`` of everything in a folder below the root; only the listing is read."""
+    stored = spark.read.format("binaryFile").load(f"{root.rstrip('/')}/{folder}")
+    return stored.select(F.concat(F.lit(folder), F.substring_index("path", "/", -1)).alias("file"))
 
 
 def batch_files(spark: SparkSession, batch: Batch) -> DataFrame:
-    """``file`` of every stored file; only the listing is read."""
-    return spark.read.format("binaryFile").load(batch.path).select(_inside_root(F.col("path")).alias("file"))
+    """``file`` of every stored file of a batch."""
+    return _stored_files(spark, batch.root, f"{batch.prefix}{batch.name}/")
 
 
 def records_per_file(spark: SparkSession, batch: Batch) -> DataFrame:
     """``file, records`` counted from the stored lines: an audit that reads the whole batch."""
-    lines = spark.read.text(batch.path).select(_inside_root(F.col("_metadata.file_path")).alias("file"))
+    name = F.substring_index("_metadata.file_path", "/", -1)
+    lines = spark.read.text(batch.path).select(F.concat(F.lit(f"{batch.prefix}{batch.name}/"), name).alias("file"))
     return lines.groupBy("file").agg(F.count(F.lit(1)).alias("records"))
 
 
 def build_manifest(
     spark: SparkSession,
     batch: Batch,
-    root: str,
     entity: str,
     ingest_dt: str,
     extract_ts_utc: str,
     mode: str = "one_shot",
     cursor: Cursor = Cursor(),
-) -> DataFrame:
-    """Manifest rows of a written batch.
-
-    A row lists about ``FILES_PER_MANIFEST_ROW`` files at most, so a batch of any size is described
-    without gathering all names in one place. The usual batch has exactly one row; of several, the first
-    carries the record count.
-    """
+    batch_no: int = 1,
+) -> Manifest:
+    """The manifest of a written batch. ``batch_no`` counts the batches of one date in the order they were written."""
     files = batch_files(spark, batch)
-    slices = max(1, -(-files.count() // FILES_PER_MANIFEST_ROW))
-    sliced = files.groupBy(F.pmod(F.xxhash64("file"), F.lit(slices)).alias("id")).agg(
-        F.array_sort(F.collect_list("file")).alias("files")
-    )
-    rows = spark.range(slices).join(sliced, on="id", how="left")
-    listed = F.coalesce("files", F.array().cast("array<string>"))
-    return rows.select(
+    header = spark.range(1).select(
         F.lit(MANIFEST_VERSION).alias("manifest_version"),
         F.struct(F.lit(entity).alias("name")).alias("source"),
         F.struct(
             F.lit(ingest_dt).alias("ingest_dt"),
             F.lit(extract_ts_utc).alias("extract_ts_utc"),
             F.lit(mode).alias("mode"),
+            F.lit(batch_no).cast("bigint").alias("batch_no"),
         ).alias("run"),
         F.struct(
-            F.lit(root).alias("bucket"),
-            F.lit(raw_prefix(entity, ingest_dt)).alias("prefix"),
+            F.lit(batch.root).alias("bucket"),
+            F.lit(batch.prefix).alias("prefix"),
             F.lit(RAW_FORMAT).alias("format"),
-            listed.alias("files"),
+            F.lit(batch.name).alias("batch"),
         ).alias("s3"),
-        F.struct(
-            F.when(F.col("id") == 0, F.lit(batch.records)).otherwise(F.lit(0)).alias("records"),
-            F.size(listed).alias("files"),
-        ).alias("counts"),
+        F.struct(F.lit(batch.records).alias("records"), F.lit(files.count()).alias("files")).alias("counts"),
         F.struct(
             F.lit(cursor.enabled).alias("enabled"),
             F.lit(cursor.field).cast("string").alias("cursor_field"),
@@ -148,35 +164,66 @@ def build_manifest(
             F.lit(cursor.watermark_out).cast("string").alias("watermark_out"),
         ).alias("incremental"),
     )
+    return Manifest(header, files.select(F.lit(batch.name).alias("batch"), "file"))
 
 
-def write_manifest(manifest: DataFrame, path: str) -> None:
-    manifest.write.mode("overwrite").option("ignoreNullFields", "false").json(path)
+def write_manifest(manifest: Manifest, path: str) -> None:
+    """Add a batch to the manifests of its date: the file list, then the header that makes it count."""
+    manifest.files.write.mode("append").json(f"{path}/files")
+    manifest.header.write.mode("append").option("ignoreNullFields", "false").json(f"{path}/headers")
 
 
-def read_manifest(spark: SparkSession, path: str) -> DataFrame:
-    """Manifest rows from a folder of JSON lines or a single, possibly indented document."""
-    return spark.read.schema(MANIFEST_SCHEMA).option("multiLine", "true").json(path)
+def next_batch_no(spark: SparkSession, path: str) -> int:
+    if not path_exists(spark, f"{path}/headers"):
+        return 1
+    header = spark.read.schema(HEADER_SCHEMA).json(f"{path}/headers")
+    return (header.agg(F.max("run.batch_no").alias("n")).first()["n"] or 0) + 1
 
 
-def manifest_files(manifest: DataFrame) -> list[str]:
-    """Full paths of all listed files. The list is file metadata, which a scan's planning holds anyway."""
-    listed = manifest.select("s3.bucket", F.explode("s3.files").alias("file"))
-    return [f"{row['bucket'].rstrip('/')}/{row['file']}" for row in listed.toLocalIterator()]
+def read_manifest(spark: SparkSession, path: str, batch: str | None = None) -> Manifest:
+    """One batch of a date, or all that count: the newest complete extract and the increments after it."""
+    header = spark.read.schema(HEADER_SCHEMA).json(f"{path}/headers")
+    if batch is not None:
+        header = header.where(F.col("s3.batch") == batch)
+    else:
+        newest = header.where(F.col("run.mode") != "incremental").agg(F.max("run.batch_no").alias("n")).first()["n"]
+        header = header.where(F.col("run.batch_no") >= (newest or 0))
+    files = spark.read.schema(FILES_SCHEMA).json(f"{path}/files")
+    return Manifest(header, files.join(header.select("s3.batch"), "batch", "left_semi"))
 
 
-def read_raw(spark: SparkSession, manifest: DataFrame, schema: T.StructType | None = None) -> DataFrame:
-    """Exactly the files of a manifest. Without a schema Spark infers one, at the price of an extra scan."""
-    files = manifest_files(manifest)
-    if not files:
+def read_document(spark: SparkSession, path: str) -> Manifest:
+    """A manifest kept as a single, possibly indented document that names its files in ``s3.files``."""
+    schema = HEADER_SCHEMA.replace("batch: string", "files: array<string>")
+    document = spark.read.schema(schema).option("multiLine", "true").json(path)
+    nothing = F.lit(None).cast("string").alias("batch")
+    header = document.withColumn("s3", F.struct("s3.bucket", "s3.prefix", "s3.format", nothing))
+    return Manifest(header, document.select(nothing, F.explode("s3.files").alias("file")))
+
+
+def read_raw(spark: SparkSession, manifest: Manifest, schema: T.StructType | None = None) -> DataFrame:
+    """The records of a manifest's batches. Without a schema Spark infers one, at the price of an extra scan.
+
+    Whole folders are read, so no list of file names passes through the driver. A file that is listed but not
+    stored, or stored but not listed, is an error.
+    """
+    batches = manifest.header.select("s3.*").collect()
+    folders = [(b["bucket"].rstrip("/"), b["prefix"] + (f"{b['batch']}/" if b["batch"] else "")) for b in batches]
+    if not folders or manifest.files.isEmpty():
         raise ValueError("the manifest lists no files")
+    stored = reduce(DataFrame.unionByName, [_stored_files(spark, root, folder) for root, folder in folders])
+    listed = manifest.files.select("file", F.lit(True).alias("listed"))
+    compared = listed.join(stored.withColumn("stored", F.lit(True)), "file", "full_outer")
+    odd = compared.where(F.col("listed").isNull() | F.col("stored").isNull()).take(5)
+    if odd:
+        raise ValueError(f"manifest and folder differ: {', '.join(row['file'] for row in odd)}")
     reader = spark.read.option("mode", "PERMISSIVE")
-    return (reader.schema(schema) if schema else reader).json(files)
+    return (reader.schema(schema) if schema else reader).json([f"{root}/{folder}" for root, folder in folders])
 
 
-def reconcile(source_records: int, manifest: DataFrame) -> Row:
+def reconcile(source_records: int, manifest: Manifest) -> Row:
     """Compare the source count with the records written; a difference is logged, not raised."""
-    written = manifest.agg(F.coalesce(F.sum("counts.records"), F.lit(0)).alias("written")).first()["written"]
+    written = manifest.header.agg(F.coalesce(F.sum("counts.records"), F.lit(0)).alias("written")).first()["written"]
     result = Row(source_records=source_records, written_records=written, matches=source_records == written)
     if not result.matches:
         log.warning("source has %d records, %d were written", source_records, written)

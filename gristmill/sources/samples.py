@@ -102,7 +102,7 @@ def raw_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def landing_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One JSON line per event, keyed by user; error events arrive cut off in the middle."""
+    """One JSON line per event, keyed by user; error events arrive without their last brace."""
     events = table(spark, sf_dir, "events")
     whole = F.concat(
         F.lit('{"asin":"'),
@@ -119,7 +119,7 @@ def landing_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("props"),
         F.lit("}"),
     )
-    cut = F.substring(whole, 1, 40)
+    cut = F.left(whole, F.length(whole) - 1)
     return events.select(F.when(F.col("event_type") == "error", cut).otherwise(whole).alias("line"))
 
 

@@ -4,10 +4,13 @@ from __future__ import annotations
 
 import datetime as dt
 import uuid
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gristmill.session import path_exists
+
 PARTITION = "ingest_dt"
 
 #: Table providers whose catalogs replace a table in one commit.
@@ -50,11 +53,11 @@ def read_table(spark: SparkSession, name: str) -> DataFrame:
 
 
 def publish_table(df: DataFrame, name: str, provider: str = "parquet", root: str | None = None) -> None:
-    """Replace the content of a catalog table.
+    """Replace the content of a catalog table, whatever its columns were.
 
-    Providers that support it commit the replacement themselves. For plain Parquet each version is
-    written to a new folder below ``root`` and the table is then pointed at it, so readers see either the
-    old or the new version and a job may read the table it replaces.
+    Providers that support it commit the replacement themselves. For plain Parquet each version is written to a new
+    folder below ``root``, and the catalog entry is a view of the current folder, which is replaced in one step:
+    readers see the old or the new version, and a job may read what it replaces.
     """
     spark = df.sparkSession
     if provider in REPLACING_PROVIDERS:
@@ -65,9 +68,41 @@ def publish_table(df: DataFrame, name: str, provider: str = "parquet", root: str
     location = f"{root.rstrip('/')}/{name.replace('.', '/')}/version-{uuid.uuid4().hex}"
     df.write.format(provider).save(location)
     quoted = ".".join(f"`{part}`" for part in name.split("."))
-    if spark.catalog.tableExists(name) and spark.table(name).dtypes == df.dtypes:
-        spark.sql(f"ALTER TABLE {quoted} SET LOCATION '{location}'")
-        spark.catalog.refreshTable(name)
-        return
-    spark.sql(f"DROP TABLE IF EXISTS {quoted}")
-    spark.catalog.createTable(name, path=location, source=provider)
+    spark.sql(f"CREATE OR REPLACE VIEW {quoted} AS SELECT * FROM {provider}.`{location}`")
+
+
+# Versions in plain folders: each is written to a folder of its own, then a log entry points at it.
+
+POINTER_SCHEMA = "number bigint, part int, location string"
+
+
+@dataclass(frozen=True)
+class Version:
+    """Where the parts of a version lie. A table in one piece has part 0 only; number 0 is no version at all."""
+
+    number: int
+    parts: dict[int, str]
+
+    def read(self, spark: SparkSession) -> DataFrame:
+        return spark.read.parquet(*self.parts.values())
+
+
+def new_version_path(base: str) -> str:
+    return f"{base}/version-{uuid.uuid4().hex}"
+
+
+def current_version(spark: SparkSession, base: str) -> Version:
+    """The newest entry of the pointer log. An entry has a row per part, a number fixed when the table is laid out."""
+    path = f"{base}/pointer"
+    if not path_exists(spark, path):
+        return Version(0, {})
+    log = spark.read.schema(POINTER_SCHEMA).json(path)
+    number = log.agg(F.max("number").alias("n")).first()["n"] or 0
+    rows = log.where(F.col("number") == number).collect()
+    return Version(number, {row["part"]: row["location"] for row in rows})
+
+
+def move_pointer(spark: SparkSession, base: str, version: Version) -> None:
+    """Make a written version the current one: a single file added to the log."""
+    rows = [(version.number, part, location) for part, location in sorted(version.parts.items())]
+    spark.createDataFrame(rows, POINTER_SCHEMA).coalesce(1).write.mode("append").json(f"{base}/pointer")

@@ -160,7 +160,7 @@ def test_published_table_can_be_replaced_from_itself(spark, tmp_path):
     assert sorted(r["v"] for r in spark.table("published").collect()) == [10, 11, 12]
     tables.publish_table(spark.sql("SELECT 'x' AS other"), "published", root=root)
     assert spark.table("published").columns == ["other"]
-    spark.sql("DROP TABLE published")
+    spark.sql("DROP VIEW published")
 
 
 def test_raw_batches_files_and_manifest(spark, tmp_path):
@@ -174,35 +174,49 @@ def test_raw_batches_files_and_manifest(spark, tmp_path):
     assert sorted(r["file"] for r in raw.batch_files(spark, batch).collect()) == sorted(per_file)
     other = raw.write_batch(source, root, "things", "2024-01-01")
     assert other.path != batch.path
-    built = raw.build_manifest(spark, batch, root, "things", "2024-01-01", "2024-01-01T00:00:00Z")
     path = raw.manifest_path(root, "things", "2024-01-01")
-    raw.write_manifest(built, path)
-    manifest = raw.read_manifest(spark, path)
-    row = manifest.first()
-    assert manifest.count() == 1 and row["counts"]["records"] == 25 and row["counts"]["files"] == 3
+    for number, written in enumerate((batch, other), 1):
+        built = raw.build_manifest(spark, written, "things", "2024-01-01", "2024-01-01T00:00:00Z", batch_no=number)
+        raw.write_manifest(built, path)
+    assert raw.next_batch_no(spark, path) == 3
+    manifest = raw.read_manifest(spark, path, batch.name)
+    row = manifest.header.first()
+    assert manifest.header.count() == 1 and row["counts"]["records"] == 25 and row["counts"]["files"] == 3
+    assert {r["file"] for r in manifest.files.collect()} == set(per_file)
     stored = raw.read_raw(spark, manifest, source.schema)
     assert stored.columns == source.columns
     assert sorted(map(tuple, stored.collect()), key=str) == sorted(map(tuple, source.collect()), key=str)
-    assert raw.reconcile(25, manifest).matches and not raw.reconcile(26, manifest).matches
+    assert raw.reconcile(batch.source_records, manifest).matches and not raw.reconcile(26, manifest).matches
+    counting = raw.read_manifest(spark, path).header.collect()
+    assert [r["s3"]["batch"] for r in counting] == [other.name]
     with pytest.raises(ValueError, match="lists no files"):
-        raw.read_raw(spark, manifest.where("false"))
+        raw.read_raw(spark, raw.Manifest(manifest.header.where("false"), manifest.files))
 
 
-def test_manifest_is_sliced_when_files_are_many(spark, tmp_path, monkeypatch):
+@pytest.mark.parametrize("change", ["stray", "missing"])
+def test_folder_and_manifest_must_agree(spark, tmp_path, change):
     root = str(tmp_path)
-    batch = raw.write_batch(spark.range(40).coalesce(1), root, "things", "2024-01-01", records_per_file=2)
-    monkeypatch.setattr(raw, "FILES_PER_MANIFEST_ROW", 5)
-    manifest = raw.build_manifest(spark, batch, root, "things", "2024-01-01", "t")
-    assert manifest.count() > 1
-    assert manifest.agg(F.sum("counts.files"), F.sum("counts.records")).first()[:] == (20, 40)
-    assert raw.read_raw(spark, manifest).count() == 40
+    batch = raw.write_batch(spark.range(6).coalesce(1), root, "raw", "2024-01-01", records_per_file=2)
+    manifest = raw.build_manifest(spark, batch, "raw", "2024-01-01", "t")
+    path = raw.manifest_path(root, "raw", "2024-01-01")
+    raw.write_manifest(manifest, path)
+    manifest = raw.read_manifest(spark, path)
+    assert raw.read_raw(spark, manifest).count() == 6
+    files = sorted((tmp_path / batch.prefix / batch.name).glob("part-*"))
+    if change == "stray":
+        (files[0].parent / "part-stray.json").write_text('{"id": 7}\n')
+    else:
+        files[0].unlink()
+    with pytest.raises(ValueError, match="manifest and folder differ: raw/raw/ingest_dt=2024-01-01/batch-.*/part-"):
+        raw.read_raw(spark, manifest)
 
 
-def test_empty_batch_has_a_manifest_without_files(spark, tmp_path):
+def test_empty_batch_has_a_manifest_without_records(spark, tmp_path):
     batch = raw.write_batch(spark.range(3).where("id > 5"), str(tmp_path), "things", "2024-01-01", cursor_field="id")
     assert batch.records == 0 and batch.last_cursor is None
-    row = raw.build_manifest(spark, batch, str(tmp_path), "things", "2024-01-01", "t").first()
-    assert row["counts"]["records"] == 0 and row["counts"]["files"] == len(row["s3"]["files"])
+    manifest = raw.build_manifest(spark, batch, "things", "2024-01-01", "t")
+    row = manifest.header.first()
+    assert row["counts"]["records"] == 0 and row["counts"]["files"] == manifest.files.count()
 
 
 def test_indented_manifest_document(spark, tmp_path):
@@ -214,7 +228,7 @@ def test_indented_manifest_document(spark, tmp_path):
     (tmp_path / "raw" / "x").mkdir(parents=True)
     (tmp_path / "raw" / "x" / "a.json").write_text('{"v": 1}\n{"v": 2}\n')
     (tmp_path / "manifest.json").write_text(json.dumps(document, indent=2))
-    manifest = raw.read_manifest(spark, str(tmp_path / "manifest.json"))
+    manifest = raw.read_document(spark, str(tmp_path / "manifest.json"))
     assert raw.read_raw(spark, manifest).count() == 2
 
 
@@ -258,18 +272,69 @@ def test_cursor_log(spark, tmp_path):
     assert cursor.watermark_out(df.where("false"), "n") is None
 
 
-def test_incremental_ingestion_moves_the_watermark(spark, tmp_path):
+def test_incremental_ingestion_moves_the_watermark_with_the_commit(spark, tmp_path):
     run = refresh.Run(spark, str(tmp_path), "2024-01-01", "2024-01-02", "2024-03-01 12:00:00")
     source = spark.range(10).toDF("n")
-    first = run.ingest(source.where("n < 6"), "things", "n", incremental=True).first()
-    assert first["counts"]["records"] == 6 and first["run"]["mode"] == "incremental"
-    assert first["incremental"].asDict() == {"enabled": True, "cursor_field": "n", "watermark_in": None, "watermark_out": "5"}
+    first = run.ingest(source.where("n < 6"), "things", "n", incremental=True)
+    row = first.header.first()
+    assert row["counts"]["records"] == 6 and row["run"]["mode"] == "incremental"
+    assert row["incremental"].asDict() == {"enabled": True, "cursor_field": "n", "watermark_in": None, "watermark_out": "5"}
+    assert cursor.last_watermark(spark, str(tmp_path), "things") is None
+    run.commit(first, "things")
     second = run.ingest(source, "things", "n", incremental=True)
-    row = second.first()
+    row = second.header.first()
     assert (row["incremental"]["watermark_in"], row["incremental"]["watermark_out"]) == ("5", "9")
     assert sorted(r["n"] for r in raw.read_raw(spark, second, source.schema).collect()) == [6, 7, 8, 9]
-    third = run.ingest(source, "things", "n", incremental=True).first()
-    assert third["counts"]["records"] == 0 and cursor.last_watermark(spark, str(tmp_path), "things") == "9"
+    run.commit(second, "things")
+    third = run.ingest(source, "things", "n", incremental=True)
+    run.commit(third, "things")
+    assert third.header.first()["counts"]["records"] == 0
+    assert cursor.last_watermark(spark, str(tmp_path), "things") == "9"
+
+
+def timed(spark, *times):
+    return reviews(spark, *[{"unixReviewTime": REVIEW["unixReviewTime"] + t, "overall": float(t % 5 + 1)} for t in times])
+
+
+def increment(run, source, until=None):
+    manifest = run.ingest(source, "reviews", "unixReviewTime", incremental=True)
+    if until == "ingest":
+        return
+    run.stage("reviews", source.schema)
+    run.commit(manifest, "reviews")
+
+
+def test_increments_of_one_date_add_up(spark, tmp_path):
+    run = refresh.Run(spark, str(tmp_path), "2024-01-01", "2024-01-02", "2024-03-01 12:00:00")
+    increment(run, timed(spark, *range(6)))
+    increment(run, timed(spark, *range(10)))
+    assert run.staged("reviews").count() == 10
+    run.ingest(timed(spark, *range(3)), "reviews")
+    run.stage("reviews", timed(spark, 1).schema)
+    assert run.staged("reviews").count() == 3  # a complete extract replaces the date
+
+
+def test_run_that_dies_before_staging_loses_nothing(spark, tmp_path):
+    run = refresh.Run(spark, str(tmp_path), "2024-01-01", "2024-01-02", "2024-03-01 12:00:00")
+    increment(run, timed(spark, *range(6)))
+    increment(run, timed(spark, *range(10)), until="ingest")
+    increment(run, timed(spark, *range(10)))
+    assert run.staged("reviews").count() == 10 == run.staged("reviews").select("review_id").distinct().count()
+
+
+def test_increments_of_several_dates_are_features_of_all(spark, tmp_path):
+    rows = [{}, {"asin": "A2", "unixReviewTime": REVIEW["unixReviewTime"] + 60}]
+    known = {"title": "t", "brand": "b", "main_cat": "m", "price_raw": "$1", "description": ["d"], "feature": ["f"]}
+    goods = products(spark, known, known | {"asin": "A2", "updated_at": "2024-01-05T00:00:00"})
+    cursors = {"products": "updated_at", "reviews": "unixReviewTime"}
+    counts = []
+    for day, seen in (("2024-01-01", rows[:1]), ("2024-01-02", rows), ("2024-01-03", rows)):
+        run = refresh.Run(spark, str(tmp_path), day, day, f"{day} 12:00:00", vector_buckets=2)
+        done = run.all(goods, reviews(spark, *seen), hashed_tokens(8), 8, "v1", cursors=cursors)
+        counts.append({r["table_name"]: r["row_count"] for r in done.collect()})
+    assert counts[0]["user_product_interactions"] == counts[0]["review_embeddings"] == 1
+    assert counts[1] == counts[2]
+    assert counts[2]["user_product_interactions"] == counts[2]["review_embeddings"] == counts[2]["product_features"] == 2
 
 
 # The whole sequence
@@ -282,16 +347,14 @@ def test_refresh_with_catalog_and_rerun(spark, sf_dir, tmp_path):
     source = samples.raw_products(spark, small), samples.raw_reviews(spark, small)
     counts = {r["table_name"]: r["row_count"] for r in run.all(*source, hashed_tokens(8), 8, "v1").collect()}
     assert counts["user_product_interactions"] == 6000 and spark.table("mlready.user_features").count() == counts["user_features"]
-    stored = spark.read.parquet(str(tmp_path / "vectors" / "*"))
-    again = refresh.Run(spark, str(tmp_path), "2024-01-01", "2024-01-02", "2024-04-01 12:00:00", namespace="mlready")
-    versions_before = {r[0] for r in stored.select(F.input_file_name()).distinct().collect()}
-    again.run_date = "2024-01-03"
-    second = {r["table_name"]: r["row_count"] for r in again.all(*source, hashed_tokens(8), 8, "v1", stored).collect()}
+    vectors_before = tables.current_version(spark, run.vector_path)
+    again = refresh.Run(spark, str(tmp_path), "2024-01-01", "2024-01-03", "2024-04-01 12:00:00", namespace="mlready")
+    second = {r["table_name"]: r["row_count"] for r in again.all(*source, hashed_tokens(8), 8, "v1").collect()}
     assert second == counts
-    everything = spark.read.parquet(str(tmp_path / "vectors" / "*")).withColumn("file", F.input_file_name())
-    newest = everything.where(~F.col("file").isin(*versions_before))
-    assert newest.count() == counts["review_embeddings"]
-    assert newest.where("updated_at <> TIMESTAMP'2024-03-01 12:00:00'").isEmpty()
+    assert tables.current_version(spark, again.vector_path) == vectors_before
+    table = again.vector_table()
+    assert table.count() == table.select("review_id").distinct().count() == counts["review_embeddings"]
+    assert table.where("updated_at <> TIMESTAMP'2024-03-01 12:00:00'").isEmpty()
     report = json.loads("".join(r[0] for r in spark.read.text(f"{tmp_path}/reports/user_features/2024-01-02").collect()))
     assert report["success"] and report["table_name"] == "mlready.user_features" and len(report["expectations"]) == 26
 
@@ -306,6 +369,30 @@ def test_gate_saves_the_report_before_it_stops(spark, tmp_path):
     assert len(failed) == 1 and failed[0]["result"]["partial_unexpected_list"] == [9.0]
 
 
+def test_only_buckets_with_changes_are_written(spark, tmp_path):
+    run = refresh.Run(spark, str(tmp_path), "2024-01-01", "2024-01-02", "2024-03-01 12:00:00", vector_buckets=4)
+    texts = [{"asin": f"A{i}", "reviewText": f"text {i}"} for i in range(40)]
+    tables.write_partitions(staging.reviews(reviews(spark, *texts), "2024-01-01"), run.staging_path("reviews"))
+    assert run.build_vectors(hashed_tokens(8), 8, "v1").count() == 40
+    first = tables.current_version(spark, run.vector_path)
+    texts[0]["reviewText"] = "another text"
+    tables.write_partitions(staging.reviews(reviews(spark, *texts), "2024-01-01"), run.staging_path("reviews"))
+    run.now = "2024-04-01 12:00:00"
+    table = run.build_vectors(hashed_tokens(8), 8, "v1")
+    second = tables.current_version(spark, run.vector_path)
+    assert second.number == 2 and sum(first.parts[b] != second.parts[b] for b in first.parts) == 1
+    assert table.count() == 40 and table.where("updated_at > created_at").count() == 1
+
+
+def test_failed_feature_version_never_becomes_current(spark, tmp_path):
+    run = refresh.Run(spark, str(tmp_path), "2024-01-01", "2024-01-02", "2024-03-01 12:00:00")
+    good = features.user_features(features.review_facts(staging.reviews(reviews(spark, {}), "2024-01-01")), "2024-01-02")
+    run.publish("user_features", good)
+    with pytest.raises(quality.SuiteFailed):
+        run.publish("user_features", good.withColumn("avg_rating", F.lit(9.0)))
+    assert run.feature("user_features").first()["avg_rating"] == 4.0
+
+
 def test_pending_skips_what_is_stored(spark):
     staged = staging.reviews(reviews(spark, {}, {"asin": "A2", "reviewText": None}), "2024-01-01")
     prepared = vectors.prepare(staged, "m1")

@@ -325,3 +325,9 @@ def test_null_text_has_no_vector(spark):
     df = spark.createDataFrame([("a b",), (None,)], "text string")
     got = df.select("text", embedding.embed(F.col("text"), embedding.hashed_tokens(8)).alias("v")).collect()
     assert {r["text"]: r["v"] is None for r in got} == {"a b": False, None: True}
+
+
+def test_key_check_counts_what_a_merge_refuses(spark):
+    batch = spark.sql("SELECT * FROM VALUES ('a'), ('a'), ('b'), (CAST(NULL AS string)), (CAST(NULL AS string)) AS t(k)")
+    assert upsert.key_check(batch, ["k"]).first()[:] == (5, 3, 1, 2)
+    assert upsert.key_check(batch.where("false"), ["k"]).first()[:] == (0, 0, 0, 0)
