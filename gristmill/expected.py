@@ -531,6 +531,13 @@ def oracle_sql() -> dict[str, str]:
                        FROM dots JOIN center_norms USING (label) JOIN norms USING (vec_id))
             SELECT query, CAST(row_number() OVER (PARTITION BY query ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
                    vec_id, score FROM scored QUALIFY rank <= 10""",
+        "cosine_topk_all": """
+            WITH v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
+            unit AS (SELECT vec_id, list_transform(e, lambda x: x / sqrt(list_dot_product(e, e))) AS e FROM v),
+            best AS (SELECT q.vec_id AS query, v.vec_id, list_dot_product(q.e, v.e) AS score FROM unit q, unit v
+                     QUALIFY row_number() OVER (PARTITION BY q.vec_id ORDER BY round(score, 12) DESC, v.vec_id) <= 10)
+            SELECT query, CAST(row_number() OVER (PARTITION BY query ORDER BY round(score, 6) DESC, vec_id) AS INTEGER)
+                   AS rank, vec_id, round(score, 6) AS score FROM best""",
         "embedding_upsert": _with(
             f"""
             SELECT coalesce(s.review_id, b.review_id) AS review_id,

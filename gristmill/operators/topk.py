@@ -1,6 +1,8 @@
 """Exact cosine top-k of stored vectors for a set of query vectors.
 
-The vectors are scanned once per group of queries. Every task scores its batches with one matrix product and
+:func:`cosine_topk` is for queries the caller holds; :func:`cosine_topk_join` takes them as a frame of any size.
+
+For held queries the vectors are scanned once per group of queries. Every task scores its batches with one matrix product and
 keeps k candidates per query, so neither the pairs nor the vectors are shuffled; a final ranking merges the
 tasks' candidates. The queries travel with the task, hence their byte size is bounded per scan; a larger set is
 split into several scans.
@@ -13,7 +15,8 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -73,6 +76,87 @@ def cosine_topk(
     return ranked.select("query", "rank", id_column, "score")
 
 
+def cosine_topk_join(
+    vectors: DataFrame,
+    queries: DataFrame,
+    k: int,
+    query_column: str = "query",
+    query_vector: str = "vector",
+    id_column: str = "review_id",
+    vector_column: str = "embedding",
+    block_rows: int = 4096,
+    block_queries: int = 1024,
+) -> DataFrame:
+    """The k nearest ids of each row of a query frame: ``query, rank, <id>, score``, ranked as :func:`cosine_topk` does.
+
+    Both sides are cut into blocks by a hash of their keys, which must be unique, and each pair of blocks is one
+    matrix product in one task, so memory is bounded on both axes and a lost task gives the same blocks again. The
+    vectors are shuffled once per block of queries. Null vectors on either side are skipped, lengths that differ
+    are an error.
+    """
+    stored = vectors.where(F.col(vector_column).isNotNull())
+    asked = queries.where(F.col(query_vector).isNotNull())
+    vector_blocks = _blocks(stored.count(), block_rows)
+    query_blocks = _blocks(asked.count(), block_queries)
+    left = stored.select(
+        _block(id_column, vector_blocks).alias("vb"),
+        F.explode(F.sequence(F.lit(0), F.lit(query_blocks - 1))).alias("qb"),
+        F.col(id_column).alias("id"),
+        F.col(vector_column).cast("array<double>").alias("v"),
+    )
+    right = asked.select(
+        F.explode(F.sequence(F.lit(0), F.lit(vector_blocks - 1))).alias("vb"),
+        _block(query_column, query_blocks).alias("qb"),
+        F.col(query_column).alias("query"),
+        F.col(query_vector).cast("array<double>").alias("v"),
+    )
+    kinds = right.schema["query"].dataType, left.schema["id"].dataType
+    schema = T.StructType([T.StructField("query", kinds[0]), T.StructField("id", kinds[1]), T.StructField("score", T.DoubleType())])
+    pairs = left.groupBy("vb", "qb").cogroup(right.groupBy("vb", "qb"))
+    candidates = pairs.applyInArrow(_block_scorer(k), schema)
+    best_first = Window.partitionBy("query").orderBy(F.desc("score"), F.asc("id"))
+    ranked = candidates.withColumn("rank", F.row_number().over(best_first)).where(F.col("rank") <= k)
+    return ranked.select("query", "rank", F.col("id").alias(id_column), "score")
+
+
+def _blocks(rows: int, per_block: int) -> int:
+    return max(1, -(-rows // per_block))
+
+
+def _block(key: str, blocks: int) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(blocks)).cast("int")
+
+
+def _block_scorer(k: int):
+    def unit(column: pa.ChunkedArray) -> np.ndarray:
+        vectors = column.combine_chunks()
+        sizes = np.unique(np.diff(vectors.offsets.to_numpy()))
+        flat = vectors.flatten().to_numpy(zero_copy_only=False)
+        if len(sizes) > 1:
+            raise ValueError(f"vectors of different lengths: {sizes.tolist()}")
+        rows = flat.reshape(len(vectors), -1)
+        lengths = np.sqrt(np.einsum("ij,ij->i", rows, rows))
+        return rows / np.where(lengths == 0, 1.0, lengths)[:, None]
+
+    def score(stored: pa.Table, asked: pa.Table) -> pa.Table:
+        ids, names = stored.column("id"), asked.column("query")
+        kinds = pa.schema([("query", names.type), ("id", ids.type), ("score", pa.float64())])
+        if not stored.num_rows or not asked.num_rows:
+            return kinds.empty_table()
+        vectors, queries = unit(stored.column("v")), unit(asked.column("v"))
+        if vectors.shape[1] != queries.shape[1]:
+            raise ValueError(f"queries of length {queries.shape[1]}, vectors of length {vectors.shape[1]}")
+        # Columns in the order of the ids: the first of equal scores is then the smallest id.
+        order = np.array(pc.array_sort_indices(ids))
+        scores = np.rint((queries @ vectors[order].T) * 1e12) / 1e12
+        best = np.argsort(-scores, axis=1, kind="stable")[:, :k]
+        rows = np.repeat(np.arange(len(queries)), best.shape[1])
+        found = [names.take(pa.array(rows)), ids.take(pa.array(order[best.ravel()])), pa.array(scores[rows, best.ravel()])]
+        return pa.table(found, schema=kinds)
+
+    return score
+
+
 def _scorer(names: Sequence[str], matrix: np.ndarray, k: int):
     norms = np.linalg.norm(matrix, axis=1)
     unit = matrix / np.where(norms == 0, 1.0, norms)[:, None]

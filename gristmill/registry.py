@@ -448,6 +448,16 @@ def cosine_topk(spark, sf_dir):
     return nearest.withColumn("rank", F.row_number().over(shown))
 
 
+@query
+def cosine_topk_all(spark, sf_dir):
+    """The ten vectors nearest to each vector of the table, itself among them."""
+    table = samples.table(spark, sf_dir, "embeddings")
+    asked = table.select(F.col("vec_id").alias("query"), F.col("embedding").alias("vector"))
+    nearest = topk.cosine_topk_join(table, asked, 10, id_column="vec_id").withColumn("score", F.round("score", DIGITS))
+    shown = Window.partitionBy("query").orderBy(F.desc("score"), "vec_id")
+    return nearest.withColumn("rank", F.row_number().over(shown))
+
+
 @query
 def embedding_upsert(spark, sf_dir):
     stored = samples.stored_vectors(spark, sf_dir)

@@ -331,3 +331,26 @@ def test_key_check_counts_what_a_merge_refuses(spark):
     batch = spark.sql("SELECT * FROM VALUES ('a'), ('a'), ('b'), (CAST(NULL AS string)), (CAST(NULL AS string)) AS t(k)")
     assert upsert.key_check(batch, ["k"]).first()[:] == (5, 3, 1, 2)
     assert upsert.key_check(batch.where("false"), ["k"]).first()[:] == (0, 0, 0, 0)
+
+
+def test_topk_join_equals_brute_force_over_many_blocks(spark):
+    rng = np.random.default_rng(5)
+    matrix = rng.normal(size=(200, 6))
+    matrix[50:100] = matrix[0]
+    matrix[150] = 0.0
+    df = spark.createDataFrame([(i, [float(x) for x in r]) for i, r in enumerate(matrix)] + [(999, None)], "review_id int, embedding array<double>")
+    asked = df.where("review_id % 9 = 0").selectExpr("CAST(review_id AS string) AS query", "embedding AS vector")
+    lengths = np.linalg.norm(matrix, axis=1)
+    unit = matrix / np.where(lengths == 0, 1.0, lengths)[:, None]
+    expected = {}
+    for q in range(0, 200, 9):
+        scores = np.rint(unit @ unit[q] * 1e12) / 1e12
+        expected[str(q)] = sorted(range(200), key=lambda i: (-scores[i], i))[:4]
+    got = {}
+    for row in topk.cosine_topk_join(df, asked, 4, block_rows=30, block_queries=5).orderBy("query", "rank").collect():
+        got.setdefault(row["query"], []).append(row["review_id"])
+    assert got == expected
+    assert topk.cosine_topk_join(df, asked.where("false"), 4).isEmpty()
+    longer = spark.createDataFrame([("x", [1.0])], asked.schema)
+    with pytest.raises(Exception, match="length"):
+        topk.cosine_topk_join(df, longer, 4).collect()
