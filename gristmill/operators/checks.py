@@ -76,6 +76,7 @@ def vector_checks(
             passed.alias("passed"),
         )
 
+    # The names and conditions of the report.
     rows = F.array(
         check("table_not_empty", "n", "count > 0", F.col("n") > 0),
         check("no_nulls_in_required_columns", "nulls", "count = 0", F.col("nulls") == 0),

@@ -63,10 +63,18 @@ def _share(condition: Column) -> Column:
     return F.avg(F.when(condition, 1.0).otherwise(0.0))
 
 
-#: What the feature tables need of a review.
-REVIEW_FACTS = (
-    "review_id reviewer_id asin rating vote_count verified review_text_length summary_length review_timestamp"
-).split()
+# What the feature tables need of a review, in the order of the interaction table.
+REVIEW_FACTS = [
+    "review_id",
+    "reviewer_id",
+    "asin",
+    "rating",
+    "vote_count",
+    "verified",
+    "review_text_length",
+    "summary_length",
+    "review_timestamp",
+]
 
 
 def review_facts(reviews: DataFrame) -> DataFrame:
@@ -121,7 +129,7 @@ def product_review_stats(reviews: DataFrame, run_date: str) -> DataFrame:
     return totals.select("*", _snapshot(run_date))
 
 
-#: Interaction column -> column of the feature table it comes from.
+# Interaction column -> column of the feature table it comes from.
 PRODUCT_COLUMNS = {
     "product_main_category": "main_category",
     "product_brand": "brand",

@@ -11,11 +11,34 @@ from gristmill.operators.contracts import never_null, require_columns
 from gristmill.operators.dedup import first_per_key, newest, tie_break
 
 # The raw contract, in the sources' own field names.
-RAW_PRODUCT_COLUMNS = (
-    "asin title brand main_cat category description feature rank also_buy also_view similar_item "
-    "date_raw price_raw ingest_dt updated_at"
-).split()
-RAW_REVIEW_COLUMNS = "_id overall verified reviewTime reviewerID asin reviewText summary unixReviewTime".split()
+RAW_PRODUCT_COLUMNS = [
+    "asin",
+    "title",
+    "brand",
+    "main_cat",
+    "category",
+    "description",
+    "feature",
+    "rank",
+    "also_buy",
+    "also_view",
+    "similar_item",
+    "date_raw",
+    "price_raw",
+    "ingest_dt",
+    "updated_at",
+]
+RAW_REVIEW_COLUMNS = [
+    "_id",
+    "overall",
+    "verified",
+    "reviewTime",
+    "reviewerID",
+    "asin",
+    "reviewText",
+    "summary",
+    "unixReviewTime",
+]
 
 PRODUCT_SOURCE = "postgres"
 REVIEW_SOURCE = "mongodb"

@@ -91,12 +91,10 @@ def _feature_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     products = features.product_features(_products(spark, sf_dir), RUN_DATE)
     users = features.user_features(reviews, RUN_DATE)
     stats = features.product_review_stats(reviews, RUN_DATE)
-    return {
-        "product_features": products,
-        "user_features": users,
-        "product_review_stats": stats,
-        "user_product_interactions": features.user_product_interactions(reviews, products, users, stats, RUN_DATE),
-    }
+    base = {"product_features": products, "user_features": users, "product_review_stats": stats}
+    # Staging has made the reviews unique.
+    interactions = features.user_product_interactions(reviews, *base.values(), RUN_DATE, reviews_are_unique=True)
+    return {**base, "user_product_interactions": interactions, "review_facts": reviews}
 
 
 @query
@@ -129,6 +127,15 @@ def user_product_interactions(spark, sf_dir):
     return _feature_tables(spark, sf_dir)["user_product_interactions"]
 
 
+@query
+def interactions_of_repeated_reviews(spark, sf_dir):
+    """The same table when every review is delivered twice: reviews are made unique before the joins."""
+    found = _feature_tables(spark, sf_dir)
+    twice = found["review_facts"].unionByName(found["review_facts"])
+    base = [found[name] for name in refresh.FEATURE_TABLES[:3]]
+    return features.user_product_interactions(twice, *base, RUN_DATE)
+
+
 @query
 def refresh_row_counts(spark, sf_dir):
     """The whole sequence from raw batches to checked tables and vectors, reported as rows per table."""
@@ -336,7 +343,8 @@ def profile_freshness(spark, sf_dir):
 
 @query
 def table_row_counts(spark, sf_dir):
-    return checks.row_counts(_feature_tables(spark, sf_dir))
+    found = _feature_tables(spark, sf_dir)
+    return checks.row_counts({name: found[name] for name in refresh.FEATURE_TABLES})
 
 
 # Vectors
