@@ -10,6 +10,7 @@ from __future__ import annotations
 import json
 from collections.abc import Mapping
 from dataclasses import dataclass
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -154,11 +155,14 @@ class Run:
         return features.review_facts(reviews).withColumn("ingest_dt", F.lit(self.ingest_dt).cast("date"))
 
     def publish(self, table: str, df: DataFrame) -> None:
-        """Store a feature table. In folders the checked version becomes the current one, a failed one never does."""
+        """Store a feature table. The checked version becomes the current one, a failed one never does.
+
+        Only providers that replace the table themselves show it before it is checked.
+        """
         if self.namespace:
             name = f"{self.namespace}.{table}"
-            tables.publish_table(df, name, self.provider, f"{self.root}/features")
-            self.gate(self.feature(table), table, execution_date=self.run_date, table_name=name)
+            check = partial(self.gate, name=table, execution_date=self.run_date, table_name=name)
+            tables.publish_table(df, name, self.provider, f"{self.root}/features", check)
             return
         base = self.feature_path(table)
         version = tables.Version(tables.current_version(self.spark, base).number + 1, {0: tables.new_version_path(base)})

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 import uuid
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -52,21 +53,32 @@ def read_table(spark: SparkSession, name: str) -> DataFrame:
     return spark.table(name)
 
 
-def publish_table(df: DataFrame, name: str, provider: str = "parquet", root: str | None = None) -> None:
+def publish_table(
+    df: DataFrame,
+    name: str,
+    provider: str = "parquet",
+    root: str | None = None,
+    check: Callable[[DataFrame], None] | None = None,
+) -> None:
     """Replace the content of a catalog table, whatever its columns were.
 
     Providers that support it commit the replacement themselves. For plain Parquet each version is written to a new
     folder below ``root``, and the catalog entry is a view of the current folder, which is replaced in one step:
-    readers see the old or the new version, and a job may read what it replaces.
+    readers see the old or the new version, and a job may read what it replaces. ``check`` gets what was written
+    before the view points at it, and may raise; a provider that replaces the table itself is checked afterwards.
     """
     spark = df.sparkSession
     if provider in REPLACING_PROVIDERS:
         df.writeTo(name).using(provider).createOrReplace()
+        if check:
+            check(spark.table(name))
         return
     if root is None:
         root = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
     location = f"{root.rstrip('/')}/{name.replace('.', '/')}/version-{uuid.uuid4().hex}"
     df.write.format(provider).save(location)
+    if check:
+        check(spark.read.format(provider).load(location))
     quoted = ".".join(f"`{part}`" for part in name.split("."))
     spark.sql(f"CREATE OR REPLACE VIEW {quoted} AS SELECT * FROM {provider}.`{location}`")
 

@@ -384,8 +384,10 @@ def test_only_buckets_with_changes_are_written(spark, tmp_path):
     assert table.count() == 40 and table.where("updated_at > created_at").count() == 1
 
 
-def test_failed_feature_version_never_becomes_current(spark, tmp_path):
-    run = refresh.Run(spark, str(tmp_path), "2024-01-01", "2024-01-02", "2024-03-01 12:00:00")
+@pytest.mark.parametrize("namespace", [None, "checked"])
+def test_failed_feature_version_never_becomes_current(spark, tmp_path, namespace):
+    spark.sql("CREATE DATABASE IF NOT EXISTS checked")
+    run = refresh.Run(spark, str(tmp_path), "2024-01-01", "2024-01-02", "2024-03-01 12:00:00", namespace=namespace)
     good = features.user_features(features.review_facts(staging.reviews(reviews(spark, {}), "2024-01-01")), "2024-01-02")
     run.publish("user_features", good)
     with pytest.raises(quality.SuiteFailed):
