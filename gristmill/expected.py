@@ -306,8 +306,83 @@ _TYPES = {
 }
 
 
+# The columns of the feature tables.
+_FEATURE_COLUMNS = {
+    "product_features": (
+        "asin",
+        "title",
+        "brand",
+        "price",
+        "has_brand",
+        "has_price",
+        "title_length",
+        "description_total_length",
+        "main_category",
+        "feature_snapshot_date",
+    ),
+    "user_features": (
+        "reviewer_id",
+        "reviews_count",
+        "distinct_products_count",
+        "avg_rating",
+        "min_rating",
+        "max_rating",
+        "verified_reviews_ratio",
+        "avg_vote_count",
+        "avg_review_text_length",
+        "first_review_timestamp",
+        "last_review_timestamp",
+        "active_days_span",
+        "feature_snapshot_date",
+    ),
+    "product_review_stats": (
+        "asin",
+        "reviews_count",
+        "distinct_reviewers_count",
+        "avg_rating",
+        "rating_stddev",
+        "verified_reviews_ratio",
+        "avg_vote_count",
+        "avg_review_text_length",
+        "positive_reviews_ratio",
+        "negative_reviews_ratio",
+        "first_review_timestamp",
+        "last_review_timestamp",
+        "feature_snapshot_date",
+    ),
+    "user_product_interactions": (
+        "review_id",
+        "reviewer_id",
+        "asin",
+        "rating",
+        "vote_count",
+        "verified",
+        "review_text_length",
+        "summary_length",
+        "review_timestamp",
+        "review_date",
+        "product_main_category",
+        "product_brand",
+        "product_price",
+        "product_has_description",
+        "product_title_length",
+        "product_description_length",
+        "user_reviews_count",
+        "user_avg_rating",
+        "user_verified_reviews_ratio",
+        "user_active_days_span",
+        "product_reviews_count",
+        "product_avg_rating",
+        "product_positive_reviews_ratio",
+        "product_negative_reviews_ratio",
+        "label",
+        "feature_snapshot_date",
+    ),
+}
+
+
 def _suite(table: str, suite: tuple[q.Check, ...]) -> str:
-    types = _TYPES.get(table) or {check.column: "" for check in suite}
+    types = _TYPES.get(table) or dict.fromkeys(_FEATURE_COLUMNS[table], "")
     return _with(_suite_sql(table, suite, types), table)
 
 

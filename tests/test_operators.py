@@ -11,6 +11,7 @@ from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 from gristmill.operators import checks, contracts, dedup, embedding, profile, quality, topk, upsert
+from gristmill.plans import suites
 
 NOW = dt.datetime(2024, 3, 1)
 OLD = dt.datetime(2024, 1, 1)
@@ -354,3 +355,15 @@ def test_topk_join_equals_brute_force_over_many_blocks(spark):
     longer = spark.createDataFrame([("x", [1.0])], asked.schema)
     with pytest.raises(Exception, match="length"):
         topk.cosine_topk_join(df, longer, 4).collect()
+
+
+@pytest.mark.parametrize("table", sorted(suites.BY_TABLE))
+def test_every_check_of_a_suite_can_fail(spark, table):
+    """A table without the columns fails every check; a suite of the same checks over empty columns fails the null checks."""
+    suite = suites.BY_TABLE[table]
+    without = quality.evaluate(spark.range(2).toDF("nothing_known"), suite).collect()
+    assert len(without) == len(suite) and not any(r["success"] for r in without)
+    names = sorted({check.column for check in suite})
+    empty = spark.range(2).select(*[F.lit(None).cast("string").alias(n) for n in names])
+    failed = {(r["expectation"], r["column"]) for r in quality.evaluate(empty, suite).collect() if not r["success"]}
+    assert {(c.expectation, c.column) for c in suite if c.expectation in (quality.NOT_NULL, quality.NON_NULL_SHARE)} <= failed
