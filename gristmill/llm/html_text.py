@@ -2,8 +2,9 @@
 
 A page becomes text blocks in page order. Structure decides what it can: blocks inside an article are its text, blocks in
 menus, adverts, footers, forms and the like are not. For the rest the page is compared with its nearest neighbour of
-the same host by URL path: the blocks outside articles are aligned by a longest common subsequence, and blocks both
-pages share are the site's and go. Articles are not differenced: copies of an article on one host share every line.
+the same host by URL path that has other content: the blocks outside articles are aligned by a longest common subsequence,
+and blocks both pages share are the site's and go. Copies of a page share every line, so they count as one page. Articles are
+not differenced: copies of an article on one host share every line, too.
 """
 
 from __future__ import annotations
@@ -145,8 +146,9 @@ def extract(pages: DataFrame, id_column: str = "page_id", url_column: str = "url
     """(``id_column``, ``url_column``, text) of every page.
 
     White space inside a block is one space, blocks are joined by an empty line. Null and empty pages have an empty text.
-    Pages without a host, or alone on theirs, are not differenced. Rows equal in all three columns are one page to the
-    differencing and each give a row. Other columns are ignored; an empty table gives an empty result.
+    Pages without a host, or whose host has no page with other content, are not differenced. Rows of one host that are equal in
+    all blocks but those tags and classes drop (repeated rows, one page under several URLs) are one page to the differencing, at
+    the first of its URLs, and each give a row. Other columns are ignored; an empty table gives an empty result.
     """
     prepare(pages.sparkSession)
     row = F.xxhash64(id_column, url_column, html_column)
@@ -158,19 +160,21 @@ def extract(pages: DataFrame, id_column: str = "page_id", url_column: str = "url
             outside = [(r, xxhash.xxh64_intdigest(t) >> 1) for r, t in found if r != ARTICLE]
             kept = [(r, t) for r, t in found if r != DROPPED]
             host, path = _place(row["url"])
+            roles, texts = "".join(r for r, _ in kept), [t for _, t in kept]
             yield row | {
-                "host": host, "path": path, "outside": [h for _, h in outside],
+                "host": host, "path": path, "page": xxhash.xxh64_intdigest("\0".join([host, roles, *texts])) >> 1,
+                "outside": [h for _, h in outside],
                 "plain": [i for i, (r, _) in enumerate(outside) if r == PLAIN],
-                "roles": "".join(r for r, _ in kept), "texts": [t for _, t in kept],
+                "roles": roles, "texts": texts,
             }
 
     id_type = narrow.schema["id"].dataType.simpleString()
-    schema = f"id {id_type}, url string, row bigint, host string, path string, outside array<bigint>, plain array<int>, roles string, texts array<string>"
+    schema = f"id {id_type}, url string, row bigint, host string, path string, page bigint, outside array<bigint>, plain array<int>, roles string, texts array<string>"
     parsed = materialize(map_rows(narrow, parse, schema), "parsed-pages")
-    shared = map_rows(_neighbours(parsed.where("host <> ''")), _shared, "row bigint, shared array<int>").dropDuplicates(["row"])
-    texts = parsed.select("id", "url", "row", "plain", "roles", "texts")
+    shared = map_rows(_neighbours(parsed.where("host <> ''")), _shared, "page bigint, shared array<int>")
+    texts = parsed.select("id", "url", "page", "plain", "roles", "texts")
     # Only pages with undecided blocks wait for an answer; the texts of the others go nowhere.
-    asking = texts.where(F.size("plain") > 0).join(small(materialize(shared, "shared-blocks")), "row", "left")
+    asking = texts.where(F.size("plain") > 0).join(small(materialize(shared, "shared-blocks")), "page", "left")
     met = asking.unionByName(texts.where(F.size("plain") == 0), allowMissingColumns=True)
 
     def write(rows: Iterator[dict]) -> Iterator[dict]:
@@ -198,14 +202,16 @@ def _place(url: str | None) -> tuple[str, str]:
 
 
 def _neighbours(parsed: DataFrame) -> DataFrame:
-    """Each page that has undecided blocks, with the pages before and after it by host and path.
+    """Each page that has undecided blocks, once, with the pages of other content before and after it by host and path.
 
+    Copies would be each other's nearest pages, so of each group of them only the one with the first URL is ordered.
     Ranges of (host, path) are dealt to tasks, so a large host is spread; ranges' first and last pages, one row per
     task, close the gaps between them.
     """
     order = ["host", "path", "row"]
     fields = ["host", "path", "outside"]
-    keys = parsed.select("row", "plain", *fields)
+    first = F.min(F.struct(*order, "plain", "outside")).alias("first")
+    keys = parsed.groupBy("page").agg(first).select("page", "first.*")
     ranged = materialize(keys.repartitionByRange(*order).withColumn("range", F.spark_partition_id()), "page-ranges")
     page = F.struct(*fields)
     within = Window.partitionBy("range").orderBy(*order)
@@ -216,7 +222,7 @@ def _neighbours(parsed: DataFrame) -> DataFrame:
     met = near.where(F.size("plain") > 0).join(ends, "range", "left")
     same = lambda c: F.when(F.col(f"{c}.host") == F.col("host"), F.col(c))
     met = met.withColumn("before", F.coalesce("before", "earlier")).withColumn("after", F.coalesce("after", "later"))
-    return met.select("row", "path", "outside", "plain", same("before").alias("before"), same("after").alias("after"))
+    return met.select("page", "path", "outside", "plain", same("before").alias("before"), same("after").alias("after"))
 
 
 def _shared(rows: Iterator[dict]) -> Iterator[dict]:
@@ -225,7 +231,7 @@ def _shared(rows: Iterator[dict]) -> Iterator[dict]:
         near = max((n for n in (row["before"], row["after"]) if n), key=lambda n: _alike(n["path"], row["path"]), default=None)
         if near:
             common = set(common_subsequence(row["outside"], near["outside"]))
-            yield {"row": row["row"], "shared": [k for k, at in enumerate(row["plain"]) if at in common]}
+            yield {"page": row["page"], "shared": [k for k, at in enumerate(row["plain"]) if at in common]}
 
 
 def _alike(a: str, b: str) -> int:

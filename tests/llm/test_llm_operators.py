@@ -332,6 +332,19 @@ def test_html_blocks_and_differencing(spark):
     assert html_text.extract(df.limit(0)).count() == 0
 
 
+def test_html_copies_keep_their_text(spark):
+    page = "<div class='ad'>buy {}</div><div>Site</div><div>{}</div><div>All rights</div>{}"
+    rows = [(1, "http://a.b/x/1", page.format(0, "One", ""), "One")] * 3  # repeated rows
+    rows += [(i, f"http://a.b/x/1/print{i}", page.format(i, "One", ""), "One") for i in range(2, 5)]  # one page, several URLs
+    rows += [(5, "http://a.b/z", page.format(0, "Two", ""), "Two")]
+    rows += [(i, f"http://c.d/{i}", page.format(0, "Same", f"<article>{i}</article>"), f"{i}") for i in (6, 7)]  # not copies
+    rows += [(i, f"http://e.f/{i}", "<div>Only page</div>", "Only page") for i in (8, 9)] + [(10, "http://e.g/10", "<div>Only page</div>", "Only page")]
+    df = spark.createDataFrame([r[:3] for r in rows], "page_id long, url string, html string")
+    for parts in (1, 5):
+        got = sorted((r["page_id"], r["text"]) for r in html_text.extract(df.repartition(parts)).collect())
+        assert got == sorted((i, text) for i, _, _, text in rows)
+
+
 def test_common_subsequence():
     rng = random.Random(3)
     for _ in range(500):
