@@ -9,6 +9,7 @@ every use exhausts a length, so the plan has a few thousand rows. Pieces find th
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections import Counter
 from collections.abc import Iterator
@@ -28,6 +29,8 @@ REMEMBERED = 600_000
 PIECES_PER_PART = 1_000_000
 OWNER = "packing"
 _BETWEEN = "<|endoftext|>"
+#: Marks that NFC composes with a small letter but not with its capital (the marks of ẗ, ẘ, ẙ, ǰ and ẖ, and U+0344, which starts with one).
+_SMALL_ONLY = re.compile("[\u0308\u030a\u030c\u0331\u0344]")
 
 
 def tokenizer_path(name: str = TOKENIZER) -> str:
@@ -36,12 +39,18 @@ def tokenizer_path(name: str = TOKENIZER) -> str:
     return public_tokenizers.path(name)
 
 
+def _cased(text: str) -> bytes:
+    data = text.encode()
+    return data.lower() if text.isascii() or not _SMALL_ONLY.search(text) else data
+
+
 class WordIds:
     """Ids of whole texts from remembered ids of their words.
 
     The vocabulary's splitting never joins characters across ASCII white space, nor a letter or digit with a full stop or
-    comma behind it, and it lowers case itself, so the ids of a text are those of its words in order. Texts with
-    "<|", which starts special tokens, are encoded as they are.
+    comma behind it, and it lowers case itself, so the ids of a text are those of its words in order. It does so after NFC; words
+    are remembered with A-Z in lower case, but in their own case in texts with a mark that composes with small letters only.
+    Texts with "<|", which starts special tokens, are encoded as they are.
     """
 
     def __init__(self, path: str):
@@ -77,7 +86,7 @@ class WordIds:
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as little-endian unsigned 32-bit numbers."""
         known = self._known
-        parts = [None if "<|" in t else t.encode().lower().split() for t in texts]
+        parts = [None if "<|" in t else _cased(t).split() for t in texts]
         words = set().union(*(p for p in parts if p))
         missing = words.difference(known)
         if len(known) + len(missing) > REMEMBERED:

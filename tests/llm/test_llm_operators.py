@@ -281,6 +281,14 @@ def test_word_ids_equal_the_tokenizer():
     assert ids.encode(texts) == ids._encoded(texts)
 
 
+def test_word_ids_of_marks_that_compose_in_one_case():
+    marks = [chr(c) for c in range(0x300, 0x370)]
+    pairs = [a + m for a in "ABCDEFGHIJKLMNOPQRSTUVWXYZ" for m in marks]
+    texts = [f"{p}ab {p}" for p in pairs] + [f"J{m}\u030cab T\u0308{m} H{m}\u0331 Y\u030a{m}, W{m}\u030a." for m in marks] + ["Jab Th wY"]
+    ids = packing.WordIds(packing.tokenizer_path())
+    assert ids.encode(texts) == ids._encoded(texts)
+
+
 def test_language(spark):
     rng = random.Random(7)
     vocab = {"en": ["the", "thing", "shower"], "de": ["über", "schön", "nicht"], "fr": ["être", "où", "leçon"]}
