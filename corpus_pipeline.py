@@ -36,11 +36,13 @@ def drop_shared_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The smallest document of each group of near-duplicates stays, once."""
+    """The smallest document of each group of near-duplicates stays, once; rows of one id and different texts are different documents."""
     prepare(spark)
-    groups = simhash.near_duplicates(docs.where(F.col("doc_id").isNotNull()))
-    first = groups.where(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
-    kept = docs.join(first, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    key = F.struct(F.col("doc_id").cast("bigint").alias("id"), F.xxhash64("text").alias("text"))
+    keyed = docs.where(F.col("doc_id").isNotNull()).withColumn("_key", key)
+    groups = simhash.near_duplicates(keyed, "_key")
+    first = groups.where(F.col("_key") == F.col("component_id")).select("_key").distinct()
+    kept = keyed.join(first, "_key", "left_semi").dropDuplicates(["_key"]).drop("_key")
     return _documents(kept.unionByName(docs.where(F.col("doc_id").isNull())))
 
 

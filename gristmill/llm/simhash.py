@@ -21,6 +21,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from gristmill.llm.common import map_rows, materialize, prepare, table
 from gristmill.llm.components import components
@@ -57,15 +58,17 @@ def fingerprint(text: bytes, size: int = SHINGLE) -> int:
 
 
 def fingerprints(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", size: int = SHINGLE) -> DataFrame:
-    """(id, print): the fingerprint as a signed 64-bit number; null and empty texts have zero."""
+    """(id, print): the fingerprint as a signed 64-bit number; null and empty texts have zero. Ids are numbers or structs."""
 
     def run(rows: Iterator[dict]) -> Iterator[dict]:
         for row in rows:
             value = fingerprint((row["text"] or "").encode(), size)
             yield {"id": row["id"], "print": value - (1 << 64) if value >> 63 else value}
 
-    narrow = docs.select(F.col(id_column).cast("bigint").alias("id"), F.col(text_column).alias("text"))
-    return map_rows(narrow, run, "id bigint, print bigint")
+    kind = docs.schema[id_column].dataType
+    id_type = kind.simpleString() if isinstance(kind, T.StructType) else "bigint"
+    narrow = docs.select(F.col(id_column).cast(id_type).alias("id"), F.col(text_column).alias("text"))
+    return map_rows(narrow, run, f"id {id_type}, print bigint")
 
 
 @lru_cache(maxsize=1)

@@ -378,6 +378,14 @@ def test_query_equals_sql(name, spark, sf_dir):
     assert assert_same(queries.queries()[name](spark, sf_dir), connect(sf_dir), queries.oracle_sql()[name]) > 0
 
 
+def test_pipeline_keeps_texts_that_share_an_id(spark, texts, tmp_path):
+    twin, docs = texts[3][1], [t for t in texts if t[0] == 403] + [(5, texts[3][1]), (7, texts[3][1]), (7, texts[4][1]), (7, texts[5][1])]
+    for parts in (1, 4):
+        done = corpus_pipeline.drop_near_duplicates(spark, frame(spark, docs).repartition(parts), str(tmp_path))
+        got = sorted((r["doc_id"], r["text"]) for r in done.collect())
+        assert got == sorted([(403, "x"), (403, "other"), (5, twin), (7, texts[4][1]), (7, texts[5][1])])
+
+
 def test_pipeline(spark, texts, tmp_path):
     docs = frame(spark, [*texts, (800, texts[3][1])]).drop("row", "h1", "id", "turn")
     docs.write.parquet(str(tmp_path / "documents.parquet"))
