@@ -19,11 +19,12 @@ from pyspark.sql import functions as F
 from gristmill.llm.common import prepare, table, worker_state
 
 UNDETERMINED = "und"
-#: The sample the model is fitted on: rows per language, languages, and characters of a text that may be in it.
+#: The sample the model is fitted on: rows per language, languages, and characters of a text in it.
 PER_LANGUAGE, LANGUAGES, SAMPLE_CHARS = 400, 100, 20_000
 LANDMARKS_PER_LANGUAGE = 64
 RIDGE = 1e-3
 LETTER = re.compile(r"[^\W\d_]")
+_LETTER = r"[\p{L}\p{Nl}\p{No}]"
 _SIZES = (1, 2, 3)
 _BASE = np.array([0, 0, 1 << 8, (1 << 8) + (1 << 16)], np.int64)
 _CHUNK = 1 << 20
@@ -95,15 +96,30 @@ def _unit(held: np.ndarray) -> np.ndarray:
     return held / np.sqrt(np.maximum(held.sum(axis=1, keepdims=True), 1))
 
 
+def lettered(text: Column) -> Column:
+    """Whether ``LETTER`` is in a text; null texts have none."""
+    return F.coalesce(F.rlike(text, F.lit(_LETTER)), F.lit(False))
+
+
 def sample(docs: DataFrame, learn: Column, text_column: str, lang_column: str) -> DataFrame:
-    """The bounded training sample: per language the texts with the smallest hashes, among the languages with most rows."""
+    """The bounded training sample: per language the texts with the smallest hashes, among the languages with most rows.
+
+    Texts of more than ``SAMPLE_CHARS`` characters are left to languages without a shorter one: of those the shortest are taken, and of
+    each so many characters from its first letter.
+    """
     text = F.col(text_column)
-    usable = docs.where(learn & F.col(lang_column).isNotNull() & F.rlike(text, F.lit(r"\p{L}")) & (F.length(text) <= SAMPLE_CHARS))
-    narrow = usable.select(text.alias("text"), F.col(lang_column).alias("lang"))
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("text"), "text")
-    first = narrow.withColumn("place", F.row_number().over(order)).where(F.col("place") <= PER_LANGUAGE)
-    languages = narrow.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES).select("lang")
-    return first.join(languages, "lang", "left_semi").select("lang", "text", "place")
+    usable = docs.where(learn & F.col(lang_column).isNotNull() & F.rlike(text, F.lit(r"\p{L}")))
+    narrow = usable.select(text.alias("text"), F.col(lang_column).alias("lang"), F.length(text).alias("chars"))
+    fits = F.col("chars") <= SAMPLE_CHARS
+    counts = narrow.groupBy("lang").agg(F.count(F.lit(1)).alias("count"), F.min("chars").alias("least"))
+    languages = counts.orderBy(F.desc("count"), "lang").limit(LANGUAGES).collect()
+    long_only = [r["lang"] for r in languages if r["least"] > SAMPLE_CHARS]
+    taken = narrow.where(F.col("lang").isin([r["lang"] for r in languages]) & (fits | F.col("lang").isin(long_only)))
+    cut = F.left(F.regexp_replace("text", r"^\P{L}++", ""), F.lit(SAMPLE_CHARS))
+    taken = taken.withColumn("text", F.when(fits, F.col("text")).otherwise(cut))
+    order = Window.partitionBy("lang").orderBy(F.when(~fits, F.col("chars")), F.xxhash64("text"), "text")
+    first = taken.withColumn("place", F.row_number().over(order)).where(F.col("place") <= PER_LANGUAGE)
+    return first.select("lang", "text", "place")
 
 
 def identify(

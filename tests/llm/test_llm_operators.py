@@ -301,6 +301,21 @@ def test_language(spark):
     assert language.identify(docs.limit(0)).count() == 0
 
 
+def test_language_with_long_texts_only(spark):
+    rng = random.Random(8)
+    text = lambda words, n: " ".join(rng.choice(words) for _ in range(n))
+    rows = [(i, text(["the", "thing", "shower"], 20), "en") for i in range(20)]
+    rows += [(100 + i, "12 " * language.SAMPLE_CHARS + text(["über", "schön", "nicht"], 9000 + i), "de") for i in range(3)]
+    rows += [(200, text(["the", "thing", "shower"], 9000), "en"), (300, "schön über nicht über", None)]
+    docs = frame(spark, [r[:2] for r in rows], {i: k for i, _, k in rows})
+    got = {r["doc_id"]: r["lang_pred"] for r in language.identify(docs.where("doc_id < 300"), docs.where("doc_id < 300")).collect()}
+    assert got == {i: k for i, _, k in rows if k}
+    filled = corpus_pipeline.identify_language(spark, docs.withColumn("lang", F.when(F.col("doc_id") < 300, F.col("lang"))), "").collect()
+    assert {r["doc_id"]: r["lang"] for r in filled}[300] == "de"
+    taken = language.sample(docs, F.lit(True), "text", "lang").collect()
+    assert all(len(r["text"]) <= language.SAMPLE_CHARS for r in taken) and Counter(r["lang"] for r in taken)["de"] >= 3
+
+
 def test_language_held_out_accuracy(spark, sf_dir):
     done = queries.queries()["op9_language"](spark, sf_dir).join(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "lang"), "doc_id")
     right, n = done.where("held_out").agg(F.sum((F.col("lang") == F.col("lang_pred")).cast("int")), F.count("*")).first()
