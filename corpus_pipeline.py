@@ -21,10 +21,13 @@ def _documents(docs: DataFrame) -> DataFrame:
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a language (no text, no letter) go; null languages are filled in by the prediction."""
+    """Documents without a letter go, whatever the model says; the prediction only fills null languages.
+
+    If there is nothing to learn from (no language given), null languages become ``und`` and all documents with a letter stay.
+    """
     prepare(spark)
     known = language.identify(docs)
-    kept = known.where(F.col("lang_pred") != language.UNDETERMINED)
+    kept = known.where(language.lettered(F.col("text")) | (F.col("lang_pred") != language.UNDETERMINED))
     return _documents(kept.withColumn("lang", F.coalesce("lang", "lang_pred")))
 
 

@@ -393,6 +393,16 @@ def test_query_equals_sql(name, spark, sf_dir):
     assert assert_same(queries.queries()[name](spark, sf_dir), connect(sf_dir), queries.oracle_sql()[name]) > 0
 
 
+def test_pipeline_keeps_documents_without_a_language_to_learn(spark, tmp_path):
+    texts = ["Some words", "été", "12 !!", "", None, "²", "_", "\u4e00", "x" * 30_000]
+    docs = frame(spark, list(enumerate(texts))).withColumn("lang", F.lit(None).cast("string"))
+    got = {r["doc_id"]: r["lang"] for r in corpus_pipeline.identify_language(spark, docs, str(tmp_path)).collect()}
+    assert got == {i: "und" for i, t in enumerate(texts) if t and language.LETTER.search(t)}
+    some = docs.withColumn("lang", F.when(F.col("doc_id") == 0, "en"))
+    got = {r["doc_id"]: r["lang"] for r in corpus_pipeline.identify_language(spark, some, str(tmp_path)).collect()}
+    assert got == {i: "en" for i, t in enumerate(texts) if t and language.LETTER.search(t)}
+
+
 def test_pipeline_keeps_texts_that_share_an_id(spark, texts, tmp_path):
     twin, docs = texts[3][1], [t for t in texts if t[0] == 403] + [(5, texts[3][1]), (7, texts[3][1]), (7, texts[4][1]), (7, texts[5][1])]
     for parts in (1, 4):
