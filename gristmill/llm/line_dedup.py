@@ -3,7 +3,8 @@
 A line's key is the line stripped of white space at both ends with A-Z in lower case; 128 bits of hash stand for it.
 ``LineRuns`` keeps, like a log-structured merge tree, sorted tables of (hash, documents, largest document): every batch
 adds one run at level zero, and ``fanout`` runs of a level are merged into one of the next, so a corpus of n batches has
-about log n levels and each hash is rewritten once per level. ``unseen`` merge-anti-joins a batch with the runs.
+about log n levels and each hash is rewritten once per level. ``unseen`` merge-anti-joins a batch with the runs;
+``deduplicate`` does without it, since the counts of known keys have to be added, too. Its four batches make one compaction into one run.
 """
 
 from __future__ import annotations
