@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gristmill.llm import decontaminate, embedding_dedup, html_text, language, line_dedup, lm_scoring, packing, perplexity, simhash, substring_dedup
+from gristmill.llm import centroids, decontaminate, embedding_dedup, html_text, language, line_dedup, lm_scoring
+from gristmill.llm import packing, perplexity, piece_codec, runs, simhash, substring_dedup
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -23,8 +24,11 @@ def queries() -> dict[str, Query]:
         "op8_packing": packing.op8_packing,
         "op9_language": language.op9_language,
         "op10_decontamination": decontaminate.op10_decontamination,
+        "op11_sentencepiece": piece_codec.op11_sentencepiece,
+        "op12_centroids": centroids.op12_centroids,
+        "op13_periodic_runs": runs.op13_periodic_runs,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_line_dedup": line_dedup.OP2_SQL, "op10_decontamination": decontaminate.OP10_SQL}
+    return {"op2_line_dedup": line_dedup.OP2_SQL, "op10_decontamination": decontaminate.OP10_SQL, "op12_centroids": centroids.OP12_SQL}

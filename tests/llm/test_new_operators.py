@@ -1,0 +1,301 @@
+"""Encoding, clustering and periodic runs against the library and brute force, with nulls, empty and long texts, ties and repeated rows."""
+
+import hashlib
+import random
+import zlib
+
+import numpy as np
+import pytest
+import sentencepiece
+
+from gristmill.llm import centroids, piece_codec, runs
+
+SCHEMA = "doc_id bigint, text string, ids string, n_tokens string, decoded int, runs int, id string, words string, a string, h int"
+
+
+def frame(spark, texts):
+    """Documents with columns named like the operators' own ones."""
+    return spark.createDataFrame([(i, t, "x", "y", 1, 2, "z", "w", "b", 3) for i, t in texts], SCHEMA)
+
+
+def sha(data):
+    return hashlib.sha256(data).hexdigest()
+
+
+# Encoding and decoding
+
+
+@pytest.fixture(scope="module")
+def model():
+    return sentencepiece.SentencePieceProcessor(model_file=piece_codec.model_path())
+
+
+@pytest.fixture(scope="module")
+def pieces():
+    return piece_codec.Pieces(piece_codec.model_path())
+
+
+@pytest.fixture(scope="module")
+def strange_texts(model):
+    rng = random.Random(1)
+    names = [model.id_to_piece(i) for i in range(model.get_piece_size())]
+    signs = "abcdeést xyz  ▁▁\n\t01９日本語𝔘½ﬁ.,!<>/s\x00\r　﻿'\"-_=*"
+    out = ["".join(rng.choice(signs) for _ in range(rng.randint(0, 40))) for _ in range(3000)]
+    out += ["".join(rng.choice(names[259:]) for _ in range(rng.randint(1, 8))).replace("▁", rng.choice([" ", "▁", ""])) for _ in range(3000)]
+    out += [c * n for c in " =-xé▁\n" for n in range(40)] + ["a" + " " * n + "b" for n in range(40)]
+    return out + ["", "<s>hi</s>", "<0x0A>", "ab" * 50_000, "the cat sat " * 20_000, "=" * 100_000]
+
+
+def test_ids_and_texts_are_the_librarys(model, pieces, strange_texts):
+    for text in strange_texts:
+        want = model.encode(text, add_bos=True, add_eos=True)
+        got = pieces.encode(text)
+        assert np.frombuffer(got, np.uint32).tolist() == want, text[:80]
+        assert pieces.decode(got) == model.decode(want), text[:80]
+
+
+def test_decoding_of_any_ids(model, pieces):
+    rng = random.Random(2)
+    pick = (lambda: rng.randrange(32_000), lambda: rng.randrange(262), lambda: rng.randrange(259, 275))
+    for _ in range(10_000):
+        ids = [rng.choice(pick)() for _ in range(rng.randint(0, 9))]
+        assert pieces.decode(np.array(ids, np.uint32).tobytes()) == model.decode(ids), ids
+    with pytest.raises(ValueError):
+        pieces.decode(np.uint32(32_000).tobytes())
+
+
+def test_pairs_are_compatible_where_merging_leaves_them(model, pieces):
+    rng = random.Random(3)
+    number = {s: i for i, s in enumerate(pieces._symbol)}
+    some = [i for i in range(259, 32_000) if model.id_to_piece(i) in number and "▁" not in model.id_to_piece(i)]
+    checked = 0
+    for _ in range(20_000):
+        a, b = rng.choice(some), rng.choice(some[:3000])
+        pair = [model.id_to_piece(a), model.id_to_piece(b)]
+        # A new line stands alone, so what follows has no blank before it.
+        left = model.encode("\n" + "".join(pair), out_type=str)[2:]
+        assert pieces.compatible(number[pair[0]], number[pair[1]]) == (left == pair), pair
+        checked += left == pair
+    assert 1000 < checked < 19_000
+
+
+def test_remembered_units_do_not_change_ids(monkeypatch, model, strange_texts):
+    monkeypatch.setattr(piece_codec, "REMEMBERED_UNITS", 20)
+    monkeypatch.setattr(piece_codec, "REMEMBERED_PAIRS", 5)
+    small = piece_codec.Pieces(piece_codec.model_path())
+    for text in strange_texts[::7]:
+        assert np.frombuffer(small.encode(text), np.uint32).tolist() == model.encode(text, add_bos=True, add_eos=True)
+
+
+def test_encode_and_decode_of_tables(spark, model):
+    texts = [(1, "Hello  world"), (1, "Hello  world"), (2, None), (3, ""), (None, "x\ny"), (4, "word " * 50_000)]
+    docs = frame(spark, texts)
+    coded = piece_codec.encode(docs, decoded=True)
+    got = sorted(((r["doc_id"], r["n_tokens"], bytes(r["ids"]), r["decoded"]) for r in coded.collect()), key=str)
+    want = []
+    for i, t in texts:
+        ids = model.encode(t or "", add_bos=True, add_eos=True)
+        want.append((i, len(ids), np.array(ids, np.uint32).tobytes(), model.decode(ids)))
+    assert got == sorted(want, key=str)
+    back = piece_codec.decode(piece_codec.encode(docs))
+    assert sorted(((r["doc_id"], r["text"]) for r in back.collect()), key=str) == sorted(((i, t or "") for i, t in texts), key=str)
+    assert piece_codec.encode(docs.limit(0), decoded=True).count() == 0
+    none = spark.createDataFrame([(1, None)], "doc_id bigint, ids binary")
+    assert piece_codec.decode(none).first()["text"] == ""
+
+
+def test_op11_digests(spark, sf_dir, model):
+    small = sf_dir.replace("sf0.01", "sf0.001")
+    got = {r["doc_id"]: r for r in piece_codec.op11_sentencepiece(spark, small).collect()}
+    docs = spark.read.parquet(f"{small}/documents.parquet").collect()
+    assert len(got) == len(docs)
+    for d in docs:
+        ids = model.encode(d["text"] or "", add_bos=True, add_eos=True)
+        row = got[d["doc_id"]]
+        assert (row["n_tokens"], row["ids_sha256"]) == (len(ids), sha(np.array(ids, "<u4").tobytes()))
+        assert row["decoded_sha256"] == sha(model.decode(ids).encode())
+
+
+# Clustering
+
+VECTORS = "vec_id bigint, embedding array<float>, label int, cluster string, distance string, centroid int, id int, v int"
+
+
+def vector_frame(spark, rows):
+    return spark.createDataFrame([(i, v, 1, "x", "y", 2, 3, 4) for i, v in rows], VECTORS)
+
+
+def brute_clusters(rows, k, rounds, dim):
+    kept = []
+    for i, v in rows:
+        if v is not None and len(v) == dim and all(x is not None and np.isfinite(np.float32(x)) and abs(x) < centroids.LARGEST for x in v):
+            kept.append((i, [int(np.floor(256 * float(np.float32(x)))) for x in v]))
+    order = sorted(kept, key=lambda r: ("~" if r[0] is None else sha(f"2:{r[0]}".encode()), r[1]))
+    middles = [v for _, v in order[:k]]
+    near = lambda v: min((sum((a - b) ** 2 for a, b in zip(v, m)), c) for c, m in enumerate(middles))
+    for _ in range(rounds):
+        members = {}
+        for _, v in kept:
+            members.setdefault(near(v)[1], []).append(v)
+        middles = [[sum(x) // len(members[c]) for x in zip(*members[c])] if c in members else m for c, m in enumerate(middles)]
+    placed = [(i, *near(v)[::-1]) for i, v in kept]
+    total = lambda c: sum(d for _, own, d in placed if own == c)
+    everything = sum(d for *_, d in placed)
+    return sorted(((i, c, d, total(c), everything, middles[c]) for i, c, d in placed), key=str)
+
+
+def listed(df):
+    return sorted(((r["vec_id"], r["cluster"], r["distance"], r["cluster_inertia"], r["inertia"], list(r["centroid"])) for r in df.collect()), key=str)
+
+
+@pytest.mark.parametrize("dim", [3, 4])
+def test_clusters(spark, dim):
+    rng = random.Random(dim)
+    spots = [[rng.uniform(-1, 1) for _ in range(dim)] for _ in range(6)]
+    rows = [(i, [s + rng.gauss(0, 0.05) for s in rng.choice(spots)]) for i in range(400)]
+    # Repeated rows, ties by symmetry, null ids, huge components, and vectors that do not count.
+    rows += [(5, rows[5][1]), (5, rows[6][1]), (None, rows[7][1]), (500, [0.5] * dim), (501, [-0.5] * dim), (502, [0.0] * dim)]
+    rows += [(510 + i, [1.0] * dim) for i in range(30)] + [(600, [400_000.0] * dim), (601, [-400_000.5] * dim)]
+    rows += [(700, None), (701, []), (702, [1.0] * (dim + 1)), (703, [None] * dim), (704, [float("nan")] * dim), (705, [float("inf")] * dim)]
+    rows += [(706, [6e5] * dim)]
+    docs = vector_frame(spark, rows)
+    for block in (7, 64, 4096):
+        got = centroids.cluster(docs.repartition(3), k=9, rounds=4, dim=dim, block=block)
+        assert listed(got) == brute_clusters(rows, 9, 4, dim)
+    few = vector_frame(spark, rows[:4])
+    assert listed(centroids.cluster(few, k=9, rounds=2, dim=dim)) == brute_clusters(rows[:4], 9, 2, dim)
+    assert listed(centroids.cluster(few, k=2, rounds=0, dim=dim)) == brute_clusters(rows[:4], 2, 0, dim)
+    assert centroids.cluster(docs.limit(0), dim=dim).count() == 0
+    assert centroids.cluster(vector_frame(spark, rows[-7:]), dim=dim).count() == 0
+
+
+def test_intervals_hold_the_distances_and_spare_most_vectors():
+    rng = np.random.default_rng(4)
+    spots = rng.integers(-300, 300, (8, 64))
+    values = spots[rng.integers(0, 8, 1000)] + rng.integers(-15, 16, (1000, 64))
+    block = centroids.Block.build(list(range(1000)), values)
+    block = centroids.Block.of(block.row(), 64)
+    middles = np.concatenate([spots, spots[:2] + 1])
+    exact = ((values[:, None, :] - middles[None]) ** 2).sum(axis=2)
+    least, most = block.intervals(middles)
+    assert (least <= exact).all() and (exact <= most).all()
+    nearest, fetched = block.assign(middles)
+    assert (nearest == exact.argmin(axis=1)).all()
+    assert 0 < len(fetched) < 600 and (block.fetch(np.arange(1000)) == values).all()
+
+
+def test_op12_digests(spark, sf_dir):
+    small = sf_dir.replace("sf0.01", "sf0.001")
+    rows = [(r["vec_id"], r["embedding"]) for r in spark.read.parquet(f"{small}/embeddings.parquet").collect()]
+    want = [(i, c, d, a, b, sha(",".join(map(str, m)).encode())) for i, c, d, a, b, m in brute_clusters(rows, 40, 5, 64)]
+    got = [(r["vec_id"], r["cluster"], r["distance"], r["cluster_inertia"], r["inertia"], r["centroid_sha256"]) for r in centroids.op12_centroids(spark, small).collect()]
+    assert sorted(got, key=str) == sorted(want, key=str)
+
+
+# Periodic runs
+
+
+def brute_runs(words, least):
+    out = {}
+    for q in range(1, len(words) // 2 + 1):
+        i = 0
+        while i + q < len(words):
+            j = i
+            while j + q < len(words) and words[j] == words[j + q]:
+                j += 1
+            if j > i and j + q - i >= max(least, 2 * q):
+                out.setdefault((i, j + q), q)
+            i = j + 1
+    return sorted(((s, e - s, q) for (s, e), q in out.items()), key=lambda r: (r[0], r[2]))
+
+
+def random_words(rng):
+    words = [rng.randrange(rng.choice([1, 2, 2, 3, 5, 50])) for _ in range(rng.randint(0, 60))]
+    if words and rng.random() < 0.6:
+        a, p = rng.randrange(len(words)), rng.randint(1, 1 + len(words) // 3)
+        words = [w if i < a else words[a + (i - a) % p] for i, w in enumerate(words)]
+        if rng.random() < 0.4:
+            words = (words[: rng.randint(1, len(words))] * 4)[: rng.randint(10, 150)]
+    return words
+
+
+def test_runs_against_brute_force():
+    rng = random.Random(5)
+    fibonacci = [[0], [0, 1]]
+    for _ in range(9):
+        fibonacci.append(fibonacci[-1] + fibonacci[-2])
+    morse = [bin(i).count("1") % 2 for i in range(300)]
+    fixed = [*fibonacci, morse, [0] * 40, [0, 1] * 30, list(range(30)) * 2, [0, 0, 1] * 4 + [0, 0, 1, 1] * 5]
+    batches = [fixed] + [[random_words(rng) for _ in range(rng.randint(1, 5))] for _ in range(1500)]
+    for docs in batches:
+        least = rng.choice([2, 5, 12])
+        flat = np.array([w for d in docs for w in d], np.int64)
+        got = runs.find_runs(flat, np.repeat(np.arange(len(docs)), [len(d) for d in docs]), least).tolist()
+        want, base = [], 0
+        for d in docs:
+            want += [[s + base, s + base + n, q] for s, n, q in brute_runs(d, least)]
+            base += len(d)
+        assert got == want, docs
+
+
+def test_runs_of_tables(spark, monkeypatch):
+    rng = random.Random(6)
+    texts = [(i, " ".join(f"w{w}" for w in random_words(rng))) for i in range(60)]
+    texts += [(100, None), (101, ""), (102, " \n\t "), (3, texts[3][1]), (3, "a b " * 9), (None, "é ü\x0b" * 8), (103, "x " * 30_000)]
+    texts += [(104, " ".join(f"v{i % 20_000}" for i in range(50_000)))]
+    docs = frame(spark, texts)
+    want = []
+    for i, t in texts:
+        words = (t or "").encode().split()
+        found = brute_runs(words, 12) if i not in (103, 104) else {103: [(0, 30_000, 1)], 104: [(0, 50_000, 20_000)]}[i]
+        gone = {p for s, n, q in found for p in range(s + q, s + n)}
+        want.append((i, len(words), found, b" ".join(w for p, w in enumerate(words) if p not in gone).decode()))
+    for size in (50, 200_000):
+        monkeypatch.setattr(runs, "WORDS", size)
+        got = [(r["doc_id"], r["n_words"], [tuple(x) for x in r["runs"]], r["text"]) for r in runs.periodic_runs(docs).collect()]
+        assert sorted(got, key=str) == sorted(want, key=str)
+    assert runs.periodic_runs(docs.limit(0)).count() == 0
+
+
+def test_op13_digests(spark, sf_dir):
+    small = sf_dir.replace("sf0.01", "sf0.001")
+    got = {r["doc_id"]: r for r in runs.op13_periodic_runs(spark, small).collect()}
+    docs = spark.read.parquet(f"{small}/documents.parquet").collect()
+    assert len(got) == len(docs)
+    planted = 0
+    for d in docs:
+        words = (d["text"] or "").encode().split()
+        h, n = zlib.crc32(str(d["doc_id"]).encode()), len(words)
+        g = h // 10
+        if h % 10 == 0 and n:
+            a = g % n
+            p = 1 + (n - a) // (3 + g % 8)
+            words = [w if i < a else words[a + (i - a) % p] for i, w in enumerate(words)]
+            planted += 1
+        found = brute_runs(words, 12)
+        gone = {i for s, m, q in found for i in range(s + q, s + m)}
+        row = got[d["doc_id"]]
+        best = min(found, key=lambda r: (-r[1], r[0], r[2])) if found else (None,) * 3
+        assert (row["n_runs"], row["start"], row["length"], row["period"]) == (len(found), *best)
+        assert row["exponent_milli"] == (1000 * best[1] // best[2] if found else None)
+        assert row["runs_sha256"] == sha("".join(f"{s},{m},{q}\n" for s, m, q in found).encode())
+        assert row["collapsed_sha256"] == sha(b" ".join(w for i, w in enumerate(words) if i not in gone))
+    assert planted > 3
+
+
+def test_planted_runs_of_odd_documents(spark):
+    rows = [(i, "a b c") for i in range(200)] + [(i, None) for i in range(200)] + [(i, " x ") for i in range(200)] + [(None, "a b")]
+    got = runs.with_planted_runs(frame(spark, rows)).collect()
+    assert len(got) == len(rows)
+    for r in got:
+        i, t = r["doc_id"], r["text"]
+        if i is not None and zlib.crc32(str(i).encode()) % 10 == 0:
+            assert t is None or len(t.split()) in (0, 1, 3)
+
+
+def test_types(spark, sf_dir):
+    small = sf_dir.replace("sf0.01", "sf0.001")
+    kinds = {n: dict(q(spark, small).dtypes) for n, q in (("11", piece_codec.op11_sentencepiece), ("12", centroids.op12_centroids), ("13", runs.op13_periodic_runs))}
+    assert kinds["11"] == {"doc_id": "bigint", "n_tokens": "bigint", "ids_sha256": "string", "decoded_sha256": "string"}
+    assert {kinds["12"][c] for c in ("vec_id", "distance", "cluster_inertia", "inertia")} == {"bigint"} and kinds["12"]["cluster"] == "int"
+    assert {kinds["13"][c] for c in ("doc_id", "n_runs", "start", "length", "period", "exponent_milli")} == {"bigint"}
