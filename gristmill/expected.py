@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from gristmill.operators import quality as q
 from gristmill.plans import suites
-from gristmill.registry import CURSOR_START, EARLIER, FAILING_SUITE, INGEST_DT, NOW, RUN_DATE, SAMPLE_DIM
+from gristmill.registry import CURSOR_START, EARLIER, FAILING_SUITE, INGEST_DT, LATER, NOW, RUN_DATE, SAMPLE_DIM
 
 # Fixed value: the white space class in RE2 notation.
 SPACES = r"[\x{09}-\x{0d}\x{1c}-\x{20}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+"
@@ -423,6 +423,16 @@ filled AS (SELECT p.review_id, p.text_hash, p.model_version, g.slot, coalesce(s.
            LEFT JOIN slots s ON s.review_id = p.review_id AND s.slot = g.slot)"""
 
 
+def _embedded(body: str) -> str:
+    """A statement over ``embedded``: the prepared documents with their vectors as text."""
+    vector = (
+        "string_agg(CAST(CAST(round(CAST(CAST(n AS FLOAT) / norm AS DOUBLE) * 1e6) AS BIGINT) AS VARCHAR), ',' ORDER BY slot)"
+    )
+    vectors = f"SELECT review_id, text_hash, model_version, {vector} AS embedding FROM filled GROUP BY ALL"
+    named = f"SELECT v.*, p.reviewer_id FROM ({vectors}) v JOIN prepared p USING (review_id)"
+    return _with("", "prepared") + f", {_TOKENS}, embedded AS ({named}) {body}"
+
+
 def oracle_sql() -> dict[str, str]:
     unit = f"list_transform(scaled, lambda x: CAST(x / norm AS FLOAT))"
     return {
@@ -550,10 +560,7 @@ def oracle_sql() -> dict[str, str]:
         ),
         "table_row_counts": _with(_counts(*_FEATURES), *_FEATURES),
         "embedding_text": _with("SELECT * FROM prepared", "prepared"),
-        "embed_documents": _with("", "prepared")
-        + f", {_TOKENS} SELECT review_id, text_hash, model_version, string_agg(CAST(CAST(round(CAST("
-        "CAST(n AS FLOAT) / norm AS DOUBLE) * 1e6) AS BIGINT) AS VARCHAR), ',' ORDER BY slot) AS embedding "
-        "FROM filled GROUP BY ALL",
+        "embed_documents": _embedded("SELECT review_id, text_hash, model_version, embedding FROM embedded"),
         "embedding_incremental": _with(
             "SELECT p.review_id, text_hash, model_version FROM prepared p WHERE review_id NOT IN "
             "(SELECT 'D' || doc_id FROM labels WHERE toxic <> 1)",
@@ -632,13 +639,21 @@ def oracle_sql() -> dict[str, str]:
             "stored_vectors",
             "vector_batch",
         ),
-        "vector_refresh_rerun": _with(
+        "vector_refresh_rerun": _embedded(
             f"""
-            SELECT review_id, text_hash, CAST(2 AS BIGINT) AS versions_written,
+            SELECT review_id, text_hash, model_version, embedding, CAST(2 AS BIGINT) AS versions_written,
                    CASE WHEN reviewer_id = 'en' THEN TIMESTAMP '{EARLIER}' ELSE TIMESTAMP '{NOW}' END AS created_at,
                    CASE WHEN reviewer_id = 'en' THEN TIMESTAMP '{EARLIER}' ELSE TIMESTAMP '{NOW}' END AS updated_at
-            FROM prepared""",
-            "prepared",
+            FROM embedded"""
+        ),
+        "vector_refresh_two_writers": _embedded(
+            f"""
+            SELECT review_id, text_hash, CASE reviewer_id WHEN 'en' THEN 'hashed-64b' ELSE model_version END AS model_version,
+                   embedding, CAST(3 AS BIGINT) AS versions_written,
+                   CASE reviewer_id WHEN 'de' THEN TIMESTAMP '{EARLIER}' ELSE TIMESTAMP '{NOW}' END AS created_at,
+                   CASE reviewer_id WHEN 'de' THEN TIMESTAMP '{EARLIER}' WHEN 'en' THEN TIMESTAMP '{LATER}'
+                        ELSE TIMESTAMP '{NOW}' END AS updated_at
+            FROM embedded"""
         ),
         "batch_key_check": _with(
             """
@@ -686,7 +701,8 @@ def oracle_sql() -> dict[str, str]:
                    'raw/events/ingest_dt={INGEST_DT}/' AS prefix, 'jsonl.gz' AS format, count(*) AS records,
                    true AS all_files_listed, false AS incremental_enabled, 'ts' AS cursor_field,
                    CAST(NULL AS VARCHAR) AS watermark_in, max(ts) AS watermark_out FROM events""",
-        "reconcile_counts": "SELECT count(*) AS source_records, count(*) AS written_records, true AS matches FROM events",
+        "reconcile_counts": "SELECT count(*) AS source_records, count(*) AS written_records, true AS lines_match, "
+        "true AS matches, CAST(0 AS BIGINT) AS changed_files FROM events",
         "partition_scan": _with("SELECT * FROM orders_by_year WHERE ingest_dt = DATE '1997-01-01'", "orders_by_year"),
         "dynamic_overwrite": _with(
             "SELECT * REPLACE (round(CASE WHEN ingest_dt >= DATE '1998-01-01' THEN o_totalprice * 2 ELSE o_totalprice END, "
@@ -696,4 +712,11 @@ def oracle_sql() -> dict[str, str]:
         "table_replace": "SELECT * REPLACE (round(o_totalprice * 2, 6) AS o_totalprice) FROM orders",
         "incremental_extract": f"SELECT * FROM events WHERE ts > TIMESTAMP '{CURSOR_START}'",
         "watermark_advance": "SELECT CAST(0 AS BIGINT) AS rows_left, max(ts) AS watermark FROM events",
+        "incremental_boundary": """
+            SELECT event_id, CAST(CASE WHEN day > DATE '2024-01-20' THEN 4 WHEN event_id % 3 <> 0 THEN 1 ELSE 2 END AS BIGINT) AS run
+            FROM (SELECT *, CAST(ts AS DATE) AS day FROM events)
+            WHERE day > DATE '2024-01-20' OR event_id % 3 <> 0 OR event_type = 'error' OR day >= DATE '2024-01-15'""",
+        "versions_retained": """
+            SELECT o_orderpriority, count(*) AS row_count, CAST(4 AS BIGINT) AS folders_removed, '5,6' AS versions_kept
+            FROM orders GROUP BY o_orderpriority""",
     }

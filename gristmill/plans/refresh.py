@@ -8,6 +8,7 @@ is lost and nothing counts twice. A watermark moves only after the rows before i
 from __future__ import annotations
 
 import json
+import uuid
 from collections.abc import Mapping
 from dataclasses import dataclass
 from functools import partial
@@ -23,12 +24,23 @@ from gristmill.operators.embedding import EncoderFactory
 from gristmill.operators.upsert import merge_into
 from gristmill.plans import features, staging, suites, vectors
 from gristmill.sources import raw, tables
+from gristmill.sources.commitlog import Conflict
 from gristmill.streaming import cursor
 
 FEATURE_TABLES = ("product_features", "user_features", "product_review_stats", "user_product_interactions")
 VECTOR_TABLE = "review_embeddings"
 
 
+@dataclass(frozen=True)
+class VectorDraft:
+    """Buckets written on top of a version, and the embedded rows they come from."""
+
+    before: tables.Version
+    batch: DataFrame
+    empty: DataFrame
+    parts: dict[int, str]
+
+
 @dataclass
 class Run:
     """One scheduled run over one ingestion date, working below ``root``.
@@ -94,16 +106,21 @@ class Run:
         cursor_field: str | None = None,
         incremental: bool = False,
         expected_records: int | None = None,
+        overlap: str | int | None = None,
     ) -> raw.Manifest:
         """Write a source as a raw batch with its manifest; returns the manifest.
 
-        An incremental run takes the rows past the last watermark. The source is read once; ``expected_records`` is
-        a count the source itself gave, if there is one.
+        An incremental run takes the rows that no committed run has taken, late ones that share the watermark among
+        them; ``overlap`` widens the stretch below the watermark in which late rows are looked for. What is stored is
+        read back and compared with what came from the source; ``expected_records`` is a count the source itself
+        gave, if there is one.
         """
-        before = cursor.last_watermark(self.spark, self.root, entity) if incremental else None
+        state, kind = cursor.State(), None
         if incremental:
-            source = cursor.after(source, cursor_field, before)
+            state, kind = cursor.read_state(self.spark, self.root, entity), source.schema[cursor_field].dataType
+            source = cursor.pending(source, cursor_field, state, overlap)
         batch = raw.write_batch(source, self.root, entity, self.ingest_dt, self.records_per_file, cursor_field)
+        after = cursor.reached(self.spark, state, batch.last_cursor, kind) if incremental else None
         path = self.manifest_path(entity)
         built = raw.build_manifest(
             self.spark,
@@ -112,12 +129,17 @@ class Run:
             self.ingest_dt,
             f"{self.now.replace(' ', 'T')}Z",
             mode="incremental" if incremental else "one_shot",
-            cursor=raw.Cursor(cursor_field, incremental, before, batch.last_cursor if incremental else None),
+            cursor=raw.Cursor(
+                cursor_field, incremental, state.watermark, after, state.number, kind and kind.simpleString(),
+                None if overlap is None else json.dumps(overlap),
+            ),
             batch_no=raw.next_batch_no(self.spark, path),
         )
         raw.write_manifest(built, path)
         manifest = raw.read_manifest(self.spark, path, batch.name)
-        raw.reconcile(batch.source_records if expected_records is None else expected_records, manifest)
+        found = raw.reconcile(manifest, expected_records)
+        if not found.lines_match:
+            raise raw.StoredLinesDiffer(f"{entity}, {batch.name}: {found}")
         return manifest
 
     def stage(self, entity: str, schema: T.StructType) -> None:
@@ -131,10 +153,19 @@ class Run:
         self.gate(self.staged(entity), f"staging_{entity}", **about)
 
     def commit(self, manifest: raw.Manifest, entity: str) -> None:
-        """Move the watermark of an increment that is staged and checked."""
-        taken = manifest.header.first()["incremental"]
-        if taken["enabled"] and taken["watermark_out"] is not None:
-            cursor.commit(self.spark, self.root, entity, taken["cursor_field"], taken["watermark_out"])
+        """Move the watermark of an increment that is staged and checked, and remember what it took at the boundary."""
+        row = manifest.header.first()
+        found, where, began = row["incremental"], row["s3"], row["extraction"]
+        if not found["enabled"] or not row["counts"]["records"]:
+            return
+        batch = raw.Batch(where["bucket"], where["prefix"], where["batch"], row["counts"]["records"], row["counts"]["hash_sum"], row["counts"]["hash_xor"])
+        state = cursor.read_state(self.spark, self.root, entity)
+        if state.number != began["state"]:
+            raise Conflict(f"another run moved the watermark of {entity} from entry {began['state']}; extract again")
+        cursor.commit(
+            self.spark, self.root, entity, found["cursor_field"], state, found["watermark_out"], batch,
+            T.DataType.fromDDL(began["cursor_type"]), began["overlap"] and json.loads(began["overlap"]),
+        )
 
     def build_features(self, over_dates: bool = False) -> None:
         """The feature tables of the date's partition, or of all dates when partitions are increments."""
@@ -165,10 +196,10 @@ class Run:
             tables.publish_table(df, name, self.provider, f"{self.root}/features", check)
             return
         base = self.feature_path(table)
-        version = tables.Version(tables.current_version(self.spark, base).number + 1, {0: tables.new_version_path(base)})
-        df.write.parquet(version.parts[0])
-        self.gate(version.read(self.spark), table, execution_date=self.run_date, table_name=table)
-        tables.move_pointer(self.spark, base, version)
+        path = tables.new_version_path(base)
+        df.write.parquet(path)
+        self.gate(self.spark.read.parquet(path), table, execution_date=self.run_date, table_name=table)
+        tables.commit_version(self.spark, base, tables.current_version(self.spark, base), {0: path})
 
     def build_vectors(
         self, encoder: EncoderFactory, dim: int, model_version: str = vectors.DEFAULT_MODEL, backfill: bool = False
@@ -187,7 +218,7 @@ class Run:
         prepared = require_rows(read, "the prepared reviews")
         if self.namespace and self.provider in tables.REPLACING_PROVIDERS:
             return self._merge_vectors(prepared, encoder)
-        return self._rewrite_buckets(prepared, encoder, dim)
+        return self.commit_vectors(self.draft_vectors(prepared, encoder), dim)
 
     def _merge_vectors(self, prepared: DataFrame, encoder: EncoderFactory) -> DataFrame:
         name = f"{self.namespace}.{VECTOR_TABLE}"
@@ -199,39 +230,72 @@ class Run:
         return tables.read_table(self.spark, name)
 
     def _embedded(self, prepared: DataFrame, stored: DataFrame, encoder: EncoderFactory) -> DataFrame:
-        """Vectors of the prepared rows that are not stored, written once."""
-        path = f"{self.root}/embedded/{self.run_date}"
-        vectors.embed_reviews(vectors.pending(prepared, stored), encoder).write.mode("overwrite").parquet(path)
+        """Vectors of the prepared rows that are not stored, written once, to a folder of this run alone."""
+        path = f"{self.root}/embedded/{self.run_date}/{uuid.uuid4().hex}"
+        vectors.embed_reviews(vectors.pending(prepared, stored), encoder).write.parquet(path)
         return tables.read_all(self.spark, path)
 
-    def _rewrite_buckets(self, prepared: DataFrame, encoder: EncoderFactory, dim: int) -> DataFrame:
-        current = tables.current_version(self.spark, self.vector_path)
+    def draft_vectors(self, prepared: DataFrame, encoder: EncoderFactory) -> VectorDraft:
+        """Embed what is not stored and write the buckets it changes; nothing counts before :meth:`commit_vectors`."""
+        before = tables.current_version(self.spark, self.vector_path)
         empty = self.empty_vectors(vectors.embed_reviews(prepared, encoder))
-        stored = current.read(self.spark) if current.parts else empty
+        batch = self._embedded(prepared, before.read(self.spark) if before.parts else empty, encoder)
+        return VectorDraft(before, batch, empty, self._changed_buckets(before, batch, empty))
+
+    def _changed_buckets(self, version: tables.Version, batch: DataFrame, empty: DataFrame) -> dict[int, str]:
+        """Write the buckets of a version that the batch changes, merged with it; returns where they are."""
+        bucket = F.pmod(F.xxhash64("review_id"), F.lit(self.vector_buckets)).cast("int").alias("bucket")
         now = F.lit(self.now).cast("timestamp")
-        changed_path = f"{self.root}/changed/{self.run_date}"
-        batch = self._embedded(prepared, stored, encoder)
-        vectors.changed_vectors(stored, batch, now).write.mode("overwrite").parquet(changed_path)
+        stored = version.read(self.spark) if version.parts else empty
+        changed_path = f"{self.root}/changed/{self.run_date}/{uuid.uuid4().hex}"
+        vectors.changed_vectors(stored, batch, now).write.parquet(changed_path)
         changed = self.spark.read.parquet(changed_path)
-        bucket = F.pmod(F.xxhash64("review_id"), F.lit(self.vector_buckets)).cast("int").alias("bucket")
         touched = [row["bucket"] for row in changed.select(bucket).distinct().collect()]
-        version = current
-        if touched:
-            before = {b: current.parts[b] for b in touched if b in current.parts}
-            old = tables.Version(current.number, before).read(self.spark) if before else empty
-            merged = vectors.apply_changes(old, changed, now).select("*", bucket)
-            path = tables.new_version_path(self.vector_path)
-            merged.hint("rebalance", "bucket").write.partitionBy("bucket").parquet(path)
-            version = tables.Version(current.number + 1, current.parts | {b: f"{path}/bucket={b}" for b in touched})
-        table = version.read(self.spark)
+        if not touched:
+            return {}
+        before = {b: version.parts[b] for b in touched if b in version.parts}
+        old = tables.Version(version.number, before).read(self.spark) if before else empty
+        path = tables.new_version_path(self.vector_path)
+        merged = vectors.apply_changes(old, changed, now).select("*", bucket)
+        merged.hint("rebalance", "bucket").write.partitionBy("bucket").parquet(path)
+        return {b: f"{path}/bucket={b}" for b in touched}
+
+    def commit_vectors(self, draft: VectorDraft, dim: int) -> DataFrame:
+        """Check the table with the draft's buckets and make it the current version; returns the table.
+
+        If another run committed meanwhile, its buckets stay, and the ones that both changed are merged again: the draft's
+        vectors go into what the other run left. A draft without changes commits nothing.
+        """
+        if not draft.parts:
+            table = draft.before.read(self.spark)
+            self.check_vectors(table, dim)
+            return table
+        bucket = F.pmod(F.xxhash64("review_id"), F.lit(self.vector_buckets)).cast("int")
+
+        def again(current: tables.Version, both: list[int]) -> dict[int, str]:
+            theirs = tables.Version(current.number, {b: current.parts[b] for b in both})
+            merged = self._changed_buckets(theirs, draft.batch.where(bucket.isin(both)), draft.empty)
+            # Where the other run stored the same, its bucket is the result.
+            return theirs.parts | merged
+
+        check = partial(self._check_version, dim=dim)
+        version = tables.commit_version(self.spark, self.vector_path, draft.before, draft.parts, again, check)
+        return version.read(self.spark)
+
+    def _check_version(self, version: tables.Version, dim: int) -> None:
+        self.check_vectors(version.read(self.spark), dim)
+
+    def check_vectors(self, table: DataFrame, dim: int) -> None:
         results = checks.vector_report(table, dim, VECTOR_TABLE, self.now)
         results.coalesce(1).write.mode("overwrite").json(self.report_path(VECTOR_TABLE))
         status = self.spark.read.json(self.report_path(VECTOR_TABLE)).first()
         if status["overall_status"] != "success":
             raise quality.SuiteFailed(f"{VECTOR_TABLE}: {status['checks']}")
-        if touched:
-            tables.move_pointer(self.spark, self.vector_path, version)
-        return table
+
+    def sweep(self, keep: int = 5, grace_seconds: float = 7 * 86400) -> int:
+        """Remove the folders of versions that no longer count, of the vector table and the features kept in folders."""
+        bases = [self.vector_path] + ([] if self.namespace else [self.feature_path(t) for t in FEATURE_TABLES])
+        return sum(tables.sweep_versions(self.spark, base, keep, grace_seconds) for base in bases)
 
     def empty_vectors(self, batch: DataFrame) -> DataFrame:
         columns = [c for c in vectors.EMBEDDED_COLUMNS if c != "ingest_dt"]

@@ -7,6 +7,7 @@ rounded, timestamps lose their zone, so that they can be compared with any SQL e
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -474,18 +475,49 @@ def embedding_upsert(spark, sf_dir):
     return merged.select(*[c for c in merged.columns if c != "embedding"], _scaled("embedding").alias("components"))
 
 
+def _vector_run(spark: SparkSession, root: str, now: str, reviews: DataFrame) -> refresh.Run:
+    """A run over reviews that are staged already."""
+    run = refresh.Run(spark, root, INGEST_DT, RUN_DATE, now)
+    tables.write_partitions(reviews, run.staging_path("reviews"))
+    return run
+
+
+def _vectors_with_versions(run: refresh.Run) -> DataFrame:
+    written = tables.current_version(run.spark, run.vector_path).number
+    stored = run.vector_table()
+    return stored.select(
+        "review_id", "text_hash", "model_version", "created_at", "updated_at", _scaled("embedding").alias("embedding")
+    ).withColumn("versions_written", F.lit(written).cast("bigint"))
+
+
 @query
 def vector_refresh_rerun(spark, sf_dir):
     """The lasting vector table after three runs: English documents, all documents, and all again without a change."""
     root = fresh_dir(spark, "vector-refresh")
     documents = _document_reviews(spark, sf_dir)
     for now, reviews in ((EARLIER, documents.where("reviewer_id = 'en'")), (NOW, documents), (LATER, documents)):
-        run = refresh.Run(spark, root, INGEST_DT, RUN_DATE, now)
-        tables.write_partitions(reviews, run.staging_path("reviews"))
+        run = _vector_run(spark, root, now, reviews)
         run.build_vectors(hashed_tokens(SAMPLE_DIM), SAMPLE_DIM, model_version="hashed-64")
-    written = tables.current_version(spark, run.vector_path).number
-    stored = run.vector_table().select("review_id", "text_hash", "created_at", "updated_at")
-    return stored.withColumn("versions_written", F.lit(written).cast("bigint"))
+    return _vectors_with_versions(run)
+
+
+@query
+def vector_refresh_two_writers(spark, sf_dir):
+    """The vector table after a run over German documents and two more that started from its result at the same time.
+
+    One of the two has all documents and commits first; the other has the English ones with another model.
+    """
+    root = fresh_dir(spark, "two-writers")
+    documents = _document_reviews(spark, sf_dir)
+    encoder = hashed_tokens(SAMPLE_DIM)
+    _vector_run(spark, root, EARLIER, documents.where("reviewer_id = 'de'")).build_vectors(encoder, SAMPLE_DIM, "hashed-64")
+    drafts = []
+    for now, reviews, model in ((NOW, documents, "hashed-64"), (LATER, documents.where("reviewer_id = 'en'"), "hashed-64b")):
+        run = refresh.Run(spark, root, INGEST_DT, RUN_DATE, now)
+        drafts.append((run, run.draft_vectors(vector_plans.prepare(reviews, model), encoder)))
+    for run, draft in drafts:
+        run.commit_vectors(draft, SAMPLE_DIM)
+    return _vectors_with_versions(run)
 
 
 @query
@@ -660,9 +692,18 @@ def manifest_build(spark, sf_dir):
 
 @query
 def reconcile_counts(spark, sf_dir):
+    """What came from the source against what is read back from the files, and the files that changed since: none."""
     _, root, batch = _raw_events(spark, sf_dir)
-    row = raw.reconcile(batch.source_records, _manifest(spark, root, batch))
-    return spark.createDataFrame([row], "source_records bigint, written_records bigint, matches boolean")
+    manifest = _manifest(spark, root, batch)
+    row = raw.reconcile(manifest, batch.records)
+    changed = raw.audit(spark, manifest).agg(F.count(F.lit(1)).alias("changed_files"))
+    return changed.select(
+        F.lit(row.source_records).cast("bigint").alias("source_records"),
+        F.lit(row.written_records).cast("bigint").alias("written_records"),
+        F.lit(row.lines_match).alias("lines_match"),
+        F.lit(row.matches).alias("matches"),
+        "changed_files",
+    )
 
 
 def _orders_by_year(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -698,7 +739,9 @@ def table_replace(spark, sf_dir):
     tables.publish_table(tables.read_table(spark, name).withColumn("doubled", F.col("o_totalprice") * 2), name, root=root)
     doubled = tables.read_table(spark, name).withColumn("o_totalprice", F.col("doubled")).drop("doubled")
     tables.publish_table(doubled, name, root=root)
-    return tables.read_table(spark, name)
+    last = spark.table(name).inputFiles()
+    spark.sql(f"DROP VIEW {name}")
+    return spark.read.parquet(*sorted({f.rsplit("/", 1)[0] for f in last}))
 
 
 @query
@@ -711,11 +754,53 @@ def watermark_advance(spark, sf_dir):
     """The watermark log after a first run that took everything and a second that found nothing new."""
     events = samples.table(spark, sf_dir, "events")
     root = fresh_dir(spark, "state")
-    before = cursor.last_watermark(spark, root, "events")
-    first = cursor.after(events, "ts", before)
-    reached = cursor.watermark_out(first, "ts")
-    cursor.commit(spark, root, "events", "ts", reached)
+    start = cursor.read_state(spark, root, "events")
+    reached = cursor.watermark_out(cursor.pending(events, "ts", start), "ts")
+    cursor.commit(spark, root, "events", "ts", start, reached)
     stored = cursor.last_watermark(spark, root, "events")
     return cursor.after(events, "ts", stored).agg(
         F.count(F.lit(1)).alias("rows_left"), F.lit(stored).cast("timestamp").alias("watermark")
     )
+
+
+@query
+def incremental_boundary(spark, sf_dir):
+    """Events and the run that took each, with the day as cursor, which errors lack.
+
+    The first run sees two thirds of the events up to the twentieth day, the second one all up to then: what it takes shares the
+    watermark, has no cursor, or lies in the five days of overlap below it. The third sees the same as the second; the
+    fourth sees every event.
+    """
+    events = samples.table(spark, sf_dir, "events")
+    day = F.to_date("ts")
+    source = events.withColumn("day", F.when(F.col("event_type") != "error", day)).withColumn("seen", day)
+    until = F.lit("2024-01-20").cast("date")
+    some = source.where((F.col("seen") <= until) & (F.col("event_id") % 3 != 0))
+    run = refresh.Run(spark, fresh_dir(spark, "boundary"), INGEST_DT, RUN_DATE, NOW)
+    taken = []
+    for number, visible in enumerate((some, source.where(F.col("seen") <= until), source.where(F.col("seen") <= until), source), 1):
+        manifest = run.ingest(visible.drop("seen"), "events", "day", incremental=True, overlap="5 days")
+        run.commit(manifest, "events")
+        rows = raw.read_raw(spark, manifest, "event_id bigint") if manifest.header.first()["counts"]["records"] else None
+        if rows is not None:
+            taken.append(rows.withColumn("run", F.lit(number).cast("bigint")))
+    return reduce(DataFrame.unionByName, taken)
+
+
+@query
+def versions_retained(spark, sf_dir):
+    """A table written six times and swept: folders removed, versions that can still be read, and the current rows."""
+    orders = samples.table(spark, sf_dir, "orders")
+    base = fresh_dir(spark, "retained")
+    for number in range(1, 7):
+        path = tables.new_version_path(base)
+        orders.where(F.col("o_orderkey") % 6 < number).write.parquet(path)
+        tables.commit_version(spark, base, tables.current_version(spark, base), {0: path})
+    removed = tables.sweep_versions(spark, base, keep=2, grace_seconds=0)
+    kept = tables.version_log(spark, base).numbers()
+    current = tables.current_version(spark, base).read(spark)
+    return current.groupBy("o_orderpriority").agg(
+        F.count(F.lit(1)).alias("row_count"),
+        F.lit(removed).cast("bigint").alias("folders_removed"),
+        F.lit(",".join(map(str, kept))).alias("versions_kept"),
+    )

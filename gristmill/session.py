@@ -64,18 +64,18 @@ def shared_dir(spark: SparkSession) -> str:
 def application_dir(spark: SparkSession) -> str:
     """This application's part of the shared folder; Hadoop removes it when the application ends."""
     path = f"{shared_dir(spark)}/gristmill/{spark.sparkContext.applicationId}"
-    files, folder = _hadoop(spark, path)
+    files, folder = hadoop(spark, path)
     files.mkdirs(folder)
     files.deleteOnExit(folder)
     return path
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
-    files, target = _hadoop(spark, path)
+    files, target = hadoop(spark, path)
     return files.exists(target)
 
 
-def _hadoop(spark: SparkSession, path: str) -> tuple:
+def hadoop(spark: SparkSession, path: str) -> tuple:
     """The Hadoop file system of a path and the path in its form."""
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     return target.getFileSystem(spark._jsc.hadoopConfiguration()), target

@@ -6,12 +6,12 @@ file. Both are only ever appended to, the header last, so a batch counts once it
 
 from __future__ import annotations
 
+import decimal
 import logging
 import uuid
 from dataclasses import dataclass
-from functools import reduce
 
-from pyspark.sql import DataFrame, Observation, Row, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -32,22 +32,31 @@ HEADER_SCHEMA = (
     "source struct<name: string>, "
     "run struct<ingest_dt: string, extract_ts_utc: string, mode: string, batch_no: bigint>, "
     "s3 struct<bucket: string, prefix: string, format: string, batch: string>, "
-    "counts struct<records: bigint, files: bigint>, "
-    "incremental struct<enabled: boolean, cursor_field: string, watermark_in: string, watermark_out: string>"
+    "counts struct<records: bigint, files: bigint, hash_sum: decimal(38,0), hash_xor: bigint>, "
+    "incremental struct<enabled: boolean, cursor_field: string, watermark_in: string, watermark_out: string>, "
+    "extraction struct<state: bigint, cursor_type: string, overlap: string>"
 )
-FILES_SCHEMA = "batch string, file string"
+FILES_SCHEMA = "batch string, file string, records bigint, hash_sum decimal(38,0), hash_xor bigint"
 
+_CHECKSUM_TYPES = {"records": "bigint", "hash_sum": "decimal(38,0)", "hash_xor": "bigint"}
 _TEXT_TYPES = (T.DateType, T.TimestampType, T.TimestampNTZType, T.DecimalType, T.BinaryType)
 
 
+class StoredLinesDiffer(RuntimeError):
+    """A batch's stored lines are not the records that came from the source."""
+
+
 @dataclass(frozen=True)
 class Cursor:
-    """Incremental bookkeeping of one run."""
+    """Incremental bookkeeping of one run. ``state`` is the entry of the cursor's log that the run started from."""
 
     field: str | None = None
     enabled: bool = False
     watermark_in: str | None = None
     watermark_out: str | None = None
+    state: int = 0
+    kind: str | None = None
+    overlap: str | None = None
 
 
 def raw_prefix(entity: str, ingest_dt: str) -> str:
@@ -60,13 +69,14 @@ def manifest_path(root: str, entity: str, ingest_dt: str) -> str:
 
 @dataclass(frozen=True)
 class Batch:
-    """A written batch: where it lies below the root, and what was observed while it was written."""
+    """A written batch: where it lies below the root, and what was observed of its records before they reached the writer."""
 
     root: str
     prefix: str
     name: str
-    source_records: int
     records: int
+    hash_sum: decimal.Decimal
+    hash_xor: int
     last_cursor: str | None = None
 
     @property
@@ -76,12 +86,36 @@ class Batch:
 
 @dataclass(frozen=True)
 class Manifest:
-    """``header`` has one row per batch, ``files`` (``batch, file``) one per stored file, named below the root."""
+    """``header`` has one row per batch with the checksum of the records before they were written, ``files`` one per stored
+    file, named below the root, with the checksum of the lines it holds."""
 
     header: DataFrame
     files: DataFrame
 
 
+def as_lines(df: DataFrame) -> Column:
+    """Each record as the JSON text that is stored: values JSON has no form for as text, nulls kept."""
+    readable = [
+        F.col(f"`{f.name}`").cast("string").alias(f.name) if isinstance(f.dataType, _TEXT_TYPES) else F.col(f"`{f.name}`")
+        for f in df.schema
+    ]
+    return F.to_json(F.struct(*readable), {"ignoreNullFields": "false"})
+
+
+def checksum(line: Column) -> list[Column]:
+    """``records, hash_sum, hash_xor`` of a multiset of lines, in any order and over any number of tasks.
+
+    The sum tells a doubled line from none, which the exclusive or alone does not; a lost and an added line that leave
+    both as they were would have to collide in 64 bits twice over.
+    """
+    digest = F.xxhash64(line)
+    return [
+        F.count(F.lit(1)).alias("records"),
+        F.coalesce(F.sum(digest.cast("decimal(20,0)")), F.lit(0)).cast("decimal(38,0)").alias("hash_sum"),
+        F.coalesce(F.bit_xor(digest), F.lit(0).cast("bigint")).alias("hash_xor"),
+    ]
+
+
 def write_batch(
     df: DataFrame,
     root: str,
@@ -92,41 +126,47 @@ def write_batch(
 ) -> Batch:
     """Write a frame as a new batch of gzipped JSON lines.
 
-    Batches are never overwritten; each lies in a folder of its own below the date prefix. Values JSON has no
-    form for are written as text, and nulls are kept so that every record shows all its fields. The rows that
-    came from the source, those handed to the writer and the highest cursor value are counted by the writing
-    tasks, so nothing is read twice.
+    Batches are never overwritten; each lies in a folder of its own below the date prefix. The records' checksum and the
+    highest cursor value are taken by the writing tasks before the writer sees the lines, so the source is read once.
     """
     prefix, name = raw_prefix(entity, ingest_dt), f"batch-{uuid.uuid4().hex}"
-    readable = [
-        F.col(f"`{f.name}`").cast("string").alias(f.name) if isinstance(f.dataType, _TEXT_TYPES) else f"`{f.name}`"
-        for f in df.schema
-    ]
-    source, written = Observation(), Observation()
-    cursor = F.max(f"`{cursor_field}`").cast("string") if cursor_field else F.max(F.lit(None).cast("string"))
-    observed = df.observe(source, F.count(F.lit(1)).alias("records"), cursor.alias("last_cursor"))
-    lines = observed.select(*readable).observe(written, F.count(F.lit(1)).alias("records"))
-    writer = lines.write.option("compression", "gzip").option("ignoreNullFields", "false")
-    writer.option("maxRecordsPerFile", records_per_file).json(f"{root}/{prefix}{name}")
-    return Batch(root, prefix, name, source.get["records"], written.get["records"], source.get["last_cursor"])
+    seen = Observation()
+    columns = [as_lines(df).alias("value")] + ([F.col(f"`{cursor_field}`").alias("cursor")] if cursor_field else [])
+    lines = df.select(*columns)
+    cursor = F.max("cursor").cast("string") if cursor_field else F.max(F.lit(None).cast("string"))
+    observed = lines.observe(seen, *checksum(F.col("value")), cursor.alias("last_cursor")).select("value")
+    writer = observed.write.option("compression", "gzip").option("maxRecordsPerFile", records_per_file)
+    writer.text(f"{root}/{prefix}{name}")
+    found = seen.get
+    return Batch(root, prefix, name, found["records"], found["hash_sum"], found["hash_xor"], found["last_cursor"])
 
 
-def _stored_files(spark: SparkSession, root: str, folder: str) -> DataFrame:
-    """``file`` of everything in a folder below the root; only the listing is read."""
-    stored = spark.read.format("binaryFile").load(f"{root.rstrip('/')}/{folder}")
-    return stored.select(F.concat(F.lit(folder), F.substring_index("path", "/", -1)).alias("file"))
+def _in_folder(path: Column) -> Column:
+    """The last folder and the name of a file: what a listed and a stored file have in common whatever the root."""
+    return F.substring_index(path, "/", -2)
+
+
+def _stored_files(spark: SparkSession, folders: list[str]) -> DataFrame:
+    """``path`` of everything in the folders, in one listing; nothing is read."""
+    return spark.read.format("binaryFile").load(folders).select("path")
 
 
 def batch_files(spark: SparkSession, batch: Batch) -> DataFrame:
     """``file`` of every stored file of a batch."""
-    return _stored_files(spark, batch.root, f"{batch.prefix}{batch.name}/")
+    name = F.substring_index("path", "/", -1)
+    return _stored_files(spark, [batch.path]).select(F.concat(F.lit(f"{batch.prefix}{batch.name}/"), name).alias("file"))
+
+
+def stored_checksums(spark: SparkSession, folders: list[str]) -> DataFrame:
+    """``in_folder, records, hash_sum, hash_xor`` of every file with lines, computed from the lines: an audit that reads them all."""
+    lines = spark.read.text(folders).select(_in_folder(F.col("_metadata.file_path")).alias("in_folder"), "value")
+    return lines.groupBy("in_folder").agg(*checksum(F.col("value")))
 
 
 def records_per_file(spark: SparkSession, batch: Batch) -> DataFrame:
-    """``file, records`` counted from the stored lines: an audit that reads the whole batch."""
-    name = F.substring_index("_metadata.file_path", "/", -1)
-    lines = spark.read.text(batch.path).select(F.concat(F.lit(f"{batch.prefix}{batch.name}/"), name).alias("file"))
-    return lines.groupBy("file").agg(F.count(F.lit(1)).alias("records"))
+    """``file, records`` counted from the stored lines."""
+    found = stored_checksums(spark, [batch.path])
+    return found.select(F.concat(F.lit(batch.prefix), "in_folder").alias("file"), "records")
 
 
 def build_manifest(
@@ -139,8 +179,17 @@ def build_manifest(
     cursor: Cursor = Cursor(),
     batch_no: int = 1,
 ) -> Manifest:
-    """The manifest of a written batch. ``batch_no`` counts the batches of one date in the order they were written."""
-    files = batch_files(spark, batch)
+    """The manifest of a written batch. ``batch_no`` counts the batches of one date in the order they were written.
+
+    Files are described by what is read back from them; an empty one has no lines to read.
+    """
+    sums = stored_checksums(spark, [batch.path])
+    files = batch_files(spark, batch).withColumn("in_folder", _in_folder(F.col("file"))).join(sums, "in_folder", "left")
+    files = files.select(
+        F.lit(batch.name).alias("batch"),
+        "file",
+        *[F.coalesce(name, F.lit(0)).cast(kind).alias(name) for name, kind in _CHECKSUM_TYPES.items()],
+    )
     header = spark.range(1).select(
         F.lit(MANIFEST_VERSION).alias("manifest_version"),
         F.struct(F.lit(entity).alias("name")).alias("source"),
@@ -156,15 +205,25 @@ def build_manifest(
             F.lit(RAW_FORMAT).alias("format"),
             F.lit(batch.name).alias("batch"),
         ).alias("s3"),
-        F.struct(F.lit(batch.records).alias("records"), F.lit(files.count()).alias("files")).alias("counts"),
+        F.struct(
+            F.lit(batch.records).cast("bigint").alias("records"),
+            F.lit(batch_files(spark, batch).count()).alias("files"),
+            F.lit(str(batch.hash_sum)).cast("decimal(38,0)").alias("hash_sum"),
+            F.lit(batch.hash_xor).cast("bigint").alias("hash_xor"),
+        ).alias("counts"),
         F.struct(
             F.lit(cursor.enabled).alias("enabled"),
             F.lit(cursor.field).cast("string").alias("cursor_field"),
             F.lit(cursor.watermark_in).cast("string").alias("watermark_in"),
             F.lit(cursor.watermark_out).cast("string").alias("watermark_out"),
         ).alias("incremental"),
+        F.struct(
+            F.lit(cursor.state).cast("bigint").alias("state"),
+            F.lit(cursor.kind).cast("string").alias("cursor_type"),
+            F.lit(cursor.overlap).cast("string").alias("overlap"),
+        ).alias("extraction"),
     )
-    return Manifest(header, files.select(F.lit(batch.name).alias("batch"), "file"))
+    return Manifest(header, files)
 
 
 def write_manifest(manifest: Manifest, path: str) -> None:
@@ -193,38 +252,92 @@ def read_manifest(spark: SparkSession, path: str, batch: str | None = None) -> M
 
 
 def read_document(spark: SparkSession, path: str) -> Manifest:
-    """A manifest kept as a single, possibly indented document that names its files in ``s3.files``."""
+    """A manifest kept as a single, possibly indented document that names its files in ``s3.files``; it has no checksums."""
     schema = HEADER_SCHEMA.replace("batch: string", "files: array<string>")
     document = spark.read.schema(schema).option("multiLine", "true").json(path)
     nothing = F.lit(None).cast("string").alias("batch")
     header = document.withColumn("s3", F.struct("s3.bucket", "s3.prefix", "s3.format", nothing))
-    return Manifest(header, document.select(nothing, F.explode("s3.files").alias("file")))
+    blank = [F.lit(None).cast(kind).alias(name) for name, kind in _CHECKSUM_TYPES.items()]
+    return Manifest(header, document.select(nothing, F.explode("s3.files").alias("file"), *blank))
+
+
+def _folders(manifest: Manifest) -> list[str]:
+    """The batches' folders. The list is as long as the batches of a date are many; files are never listed here."""
+    batches = manifest.header.select("s3.*").collect()
+    return [f"{b['bucket'].rstrip('/')}/{b['prefix']}{b['batch'] or ''}".rstrip("/") for b in batches]
 
 
 def read_raw(spark: SparkSession, manifest: Manifest, schema: T.StructType | None = None) -> DataFrame:
     """The records of a manifest's batches. Without a schema Spark infers one, at the price of an extra scan.
 
-    Whole folders are read, so no list of file names passes through the driver. A file that is listed but not
-    stored, or stored but not listed, is an error.
+    Whole folders are read, however many there are, in one listing and one scan, and no list of file names passes through
+    the driver. A file that is listed but not stored, or stored but not listed, is an error.
     """
-    batches = manifest.header.select("s3.*").collect()
-    folders = [(b["bucket"].rstrip("/"), b["prefix"] + (f"{b['batch']}/" if b["batch"] else "")) for b in batches]
+    folders = _folders(manifest)
     if not folders or manifest.files.isEmpty():
         raise ValueError("the manifest lists no files")
-    stored = reduce(DataFrame.unionByName, [_stored_files(spark, root, folder) for root, folder in folders])
-    listed = manifest.files.select("file", F.lit(True).alias("listed"))
-    compared = listed.join(stored.withColumn("stored", F.lit(True)), "file", "full_outer")
-    odd = compared.where(F.col("listed").isNull() | F.col("stored").isNull()).take(5)
+    odd = compare_files(spark, manifest).take(5)
     if odd:
         raise ValueError(f"manifest and folder differ: {', '.join(row['file'] for row in odd)}")
     reader = spark.read.option("mode", "PERMISSIVE")
-    return (reader.schema(schema) if schema else reader).json([f"{root}/{folder}" for root, folder in folders])
+    return (reader.schema(schema) if schema else reader).json(folders)
+
+
+def compare_files(spark: SparkSession, manifest: Manifest) -> DataFrame:
+    """``file, is_listed, is_stored`` of the files that the manifest and the folders do not both have."""
+    listed = manifest.files.select("file", _in_folder(F.col("file")).alias("in_folder"))
+    stored = _stored_files(spark, _folders(manifest)).select("path", _in_folder(F.col("path")).alias("in_folder"))
+    both = listed.join(stored, "in_folder", "full_outer")
+    odd = both.where(F.col("file").isNull() | F.col("path").isNull())
+    below = F.col("path")
+    for row in manifest.header.select("s3.bucket").distinct().collect():
+        below = F.substring_index(below, f"{row['bucket'].rstrip('/')}/", -1)
+    return odd.select(
+        F.coalesce("file", below).alias("file"), F.col("file").isNotNull().alias("is_listed"), F.col("path").isNotNull().alias("is_stored")
+    )
+
 
+def reconcile(manifest: Manifest, source_records: int | None = None) -> Row:
+    """What came from the source against what is stored, batch by batch; a difference is logged, not raised.
 
-def reconcile(source_records: int, manifest: Manifest) -> Row:
-    """Compare the source count with the records written; a difference is logged, not raised."""
-    written = manifest.header.agg(F.coalesce(F.sum("counts.records"), F.lit(0)).alias("written")).first()["written"]
-    result = Row(source_records=source_records, written_records=written, matches=source_records == written)
-    if not result.matches:
-        log.warning("source has %d records, %d were written", source_records, written)
+    The one side was taken before the writer, the other read back from the files. ``source_records`` is a count the source
+    itself gave, compared besides.
+    """
+    counts = manifest.header.select(F.col("s3.batch").alias("batch"), *[F.col(f"counts.{c}").alias(c) for c in _CHECKSUM_TYPES])
+    stored = manifest.files.groupBy("batch").agg(
+        F.sum("records").alias("stored_records"),
+        F.sum("hash_sum").cast("decimal(38,0)").alias("stored_sum"),
+        F.bit_xor("hash_xor").alias("stored_xor"),
+    )
+    both = counts.join(stored, counts["batch"].eqNullSafe(stored["batch"]), "full_outer")
+    same = F.struct("records", "hash_sum", "hash_xor") == F.struct("stored_records", "stored_sum", "stored_xor")
+    row = both.agg(
+        F.coalesce(F.sum("records"), F.lit(0)).alias("source_records"),
+        F.coalesce(F.sum("stored_records"), F.lit(0)).alias("written_records"),
+        F.coalesce(F.every(F.coalesce(same, F.lit(False))), F.lit(True)).alias("lines_match"),
+    ).first()
+    taken = row["source_records"] if source_records is None else source_records
+    matches = row["lines_match"] and taken == row["written_records"]
+    result = Row(source_records=taken, written_records=row["written_records"], lines_match=row["lines_match"], matches=matches)
+    if not matches:
+        log.warning("source and stored lines differ: %s", result)
     return result
+
+
+def audit(spark: SparkSession, manifest: Manifest) -> DataFrame:
+    """``file, listed_records, stored_records`` of every file whose lines are not those the manifest was written for.
+
+    Reads all lines again; finds what happened to files after their batch was written, a lost file included.
+    """
+    folders = _folders(manifest)
+    now = stored_checksums(spark, folders).select("in_folder", *[F.col(c).alias(f"now_{c}") for c in _CHECKSUM_TYPES])
+    listed = manifest.files.withColumn("in_folder", _in_folder(F.col("file")))
+    both = listed.join(now, "in_folder", "full_outer")
+    zero = F.lit(0)
+    same = [F.coalesce(c, zero) == F.coalesce(f"now_{c}", zero) for c in _CHECKSUM_TYPES]
+    odd = both.where(F.col("file").isNull() | ~(same[0] & same[1] & same[2]))
+    return odd.select(
+        F.coalesce("file", "in_folder").alias("file"),
+        F.coalesce("records", zero).cast("bigint").alias("listed_records"),
+        F.coalesce("now_records", zero).cast("bigint").alias("stored_records"),
+    )
