@@ -1,7 +1,9 @@
 """Main text of web pages by differencing each page with the one nearest by URL.
 
 A page becomes text blocks in page order. Structure decides what it can: blocks inside an article are its text, blocks in
-menus, adverts, footers, forms and the like are not. For the rest the page is compared with its nearest neighbour of
+menus, adverts, footers, forms and the like are not, by their elements or by whole names in class, id and role; reader
+comments never are, articles among them included. Names on the body do not count, and furniture that holds the main element or all
+the page has is none. For the rest the page is compared with its nearest neighbour of
 the same host by URL path that has other content: the blocks outside articles are aligned by a longest common subsequence,
 and blocks both pages share are the site's and go. Copies of a page share every line, so they count as one page. Articles are
 not differenced: copies of an article on one host share every line, too.
@@ -19,13 +21,11 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from gristmill.llm.common import map_rows, materialize, prepare, table
-from gristmill.llm.decontaminate import small
 
-DROPPED_TAGS = {"nav", "footer", "aside", "form", "script", "style", "noscript", "template", "iframe", "svg", "button", "select", "menu", "dialog", "head", "object"}
-DROPPED_NAMES = {
-    "ad", "ads", "advert", "adverts", "advertisement", "banner", "breadcrumb", "breadcrumbs", "comment", "comments", "consent", "cookie", "cookies",
-    "disqus", "footer", "menu", "modal", "nav", "navbar", "navigation", "newsletter", "notice", "pagination", "popup", "promo", "related",
-    "share", "sharing", "sidebar", "social", "sponsor", "sponsored", "subscribe", "toolbar", "widget",
+# Elements and names that say what a part of a page is.
+DROPPED_TAGS = {
+    "aside", "button", "dialog", "footer", "form", "head", "iframe", "menu", "nav", "noscript", "object", "script", "select", "style", "svg",
+    "template", "textarea", "title",
 }
 ARTICLE_TAGS = {"article", "main"}
 BLOCK_TAGS = {
@@ -33,11 +33,60 @@ BLOCK_TAGS = {
     "footer", "form", "h1", "h2", "h3", "h4", "h5", "h6", "header", "hr", "html", "li", "main", "nav", "ol", "option", "p", "pre", "section",
     "summary", "table", "tbody", "td", "tfoot", "th", "thead", "tr", "ul",
 }
-#: Elements whose end tag may be left out; they hold nothing open.
-_LIGHT = {"p", "li", "dt", "dd", "option", "td", "th", "tr", "tbody", "thead", "tfoot", "hr", "html", "body"}
+HEAD_TAGS = {"base", "basefont", "bgsound", "head", "html", "link", "meta", "noscript", "script", "style", "template", "title"}
+VOID_TAGS = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
+_CELL_ENDS = {"td", "th", "tr", "tbody", "thead", "tfoot"}
+#: Elements whose end tag may be left out, and the start tags that end them.
+IMPLIED_ENDS = {
+    "p": BLOCK_TAGS,
+    "li": {"li"},
+    "dt": {"dt", "dd"},
+    "dd": {"dt", "dd"},
+    "option": {"option"},
+    "td": _CELL_ENDS,
+    "th": _CELL_ENDS,
+    "tr": _CELL_ENDS - {"td", "th"},
+    "tbody": {"tbody", "thead", "tfoot"},
+    "thead": {"tbody", "thead", "tfoot"},
+    "tfoot": {"tbody", "thead", "tfoot"},
+}
+#: By the tag that starts: the open elements outside of which it ends nothing; for the others, the nearest block.
+ENDS_WITHIN = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "option": {"select"}, **dict.fromkeys(_CELL_ENDS, {"table"})}
+#: Whole values of class, id or role.
+FURNITURE = {
+    "ad", "ads", "advert", "advertisement", "adverts", "banner", "breadcrumb", "breadcrumbs", "complementary", "consent", "contentinfo",
+    "cookie", "cookies", "footer", "menu", "modal", "nav", "navbar", "navigation", "newsletter", "notice", "pagination", "popup", "promo",
+    "related", "search", "share", "sharing", "sidebar", "social", "sponsor", "sponsored", "subscribe", "toolbar", "widget",
+}
+COMMENTS = {"comment", "comments", "disqus", "disqus_thread"}
+#: First or last words of a name that say it all.
+TELLING = {"advert", "advertisement", "breadcrumb", "breadcrumbs", "consent", "cookie", "cookies", "navbar", "newsletter", "pagination", "sponsored"}
+#: First words that turn a name around: what the page has or lacks, not what the element is.
+ABOUT = {"has", "hide", "is", "no", "show", "with", "without"}
+
 _SPACE = re.compile(r"\s+")
-_NAME = re.compile(r"[^a-z0-9]+")
+_NAME = re.compile(r"[-_]+")
+_CUT_TAG = re.compile(r"<[/!?]?[a-zA-Z-]")
 ARTICLE, PLAIN, DROPPED = "a", "p", "d"
+_HARD, _SOFT = "hard", "soft"
+
+
+def _named(attrs: list[tuple[str, str | None]]) -> str | None:
+    """What an element's names make it: dropped for good (comments, hidden ones), dropped unless it holds the page, or nothing."""
+    found = None
+    for name, value in attrs:
+        if name == "hidden" or name == "aria-hidden" and value == "true":
+            return _HARD
+        if name not in ("class", "id", "role") or not value:
+            continue
+        for one in value.lower().split():
+            words = [w for w in _NAME.split(one) if w]
+            ends = {words[0], words[-1]} if words and words[0] not in ABOUT else set()
+            if one in COMMENTS or ends & {"comment", "comments"}:
+                return _HARD
+            if one in FURNITURE or ends & TELLING:
+                found = _SOFT
+    return found
 
 
 class _Blocks(HTMLParser):
@@ -45,71 +94,98 @@ class _Blocks(HTMLParser):
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.blocks: list[tuple[str, str]] = []
-        self._open: list[tuple[str, str]] = []  # tag and the role inside it
+        self._open: list[tuple[str, str | int | None]] = []  # tag, and its role or the number of its mark
+        self._found: list[tuple[str, tuple[int, ...], str]] = []
         self._text: list[str] = []
-
-    @property
-    def _role(self) -> str:
-        return self._open[-1][1] if self._open else PLAIN
+        self._marks, self._void = 0, set()
 
     def _flush(self) -> None:
-        if self._text:
-            text = _SPACE.sub(" ", "".join(self._text)).strip()
-            if text:
-                self.blocks.append((self._role, text))
-            self._text = []
+        if not self._text:
+            return
+        text = _SPACE.sub(" ", "".join(self._text)).strip()
+        self._text = []
+        if text:
+            kinds = [kind for _, kind in self._open]
+            # What is dropped stays dropped, whatever it holds: an article among comments is a comment.
+            role = DROPPED if _HARD in kinds else ARTICLE if ARTICLE in kinds else PLAIN
+            self._found.append((role, tuple(k for k in kinds if isinstance(k, int)), text))
 
     def handle_starttag(self, tag, attrs):
         if tag == "br":
             self._text.append("\n")
-        dropped = tag in DROPPED_TAGS or tag == "header" and self._role != ARTICLE or self._marked(attrs) or self._hidden(attrs)
-        if tag in BLOCK_TAGS or dropped:
+        kind = self._kind(tag, attrs)
+        if tag in BLOCK_TAGS or kind:
             self._flush()
-        if tag in _LIGHT and not dropped or tag in _VOID:
+        if tag not in HEAD_TAGS and any(t == "head" for t, _ in self._open):
+            # The first element of the body ends a head without an end tag.
+            del self._open[next(i for i, (t, _) in enumerate(self._open) if t == "head") :]
+        if tag in BLOCK_TAGS:
+            self._end_what_is_implied(tag)
+        if tag in VOID_TAGS:
             return
-        if tag in BLOCK_TAGS or dropped or tag in ARTICLE_TAGS:
-            role = ARTICLE if tag in ARTICLE_TAGS else DROPPED if dropped or self._role == DROPPED else self._role
-            self._open.append((tag, role))
+        if tag == "main":
+            self._void.update(k for _, k in self._open if isinstance(k, int))
+        if tag in BLOCK_TAGS or kind:
+            self._open.append((tag, kind))
+
+    def _end_what_is_implied(self, tag: str) -> None:
+        border = ENDS_WITHIN.get(tag, BLOCK_TAGS)
+        for at in range(len(self._open) - 1, -1, -1):
+            opened = self._open[at][0]
+            if tag in IMPLIED_ENDS.get(opened, ()):
+                # A cell ends, and then its row: go on outward.
+                del self._open[at:]
+            elif opened in border:
+                return
+
+    def _kind(self, tag: str, attrs) -> str | int | None:
+        if tag in ("html", "body"):
+            return None
+        if tag in DROPPED_TAGS or tag == "header" and not any(k == ARTICLE for _, k in self._open):
+            return _HARD
+        named = _named(attrs)
+        if named == _SOFT and tag != "main":
+            self._marks += 1
+            return self._marks
+        return named if named == _HARD else ARTICLE if tag in ARTICLE_TAGS else None
 
     def handle_startendtag(self, tag, attrs):
         if tag == "br":
             self._text.append("\n")
         elif tag in BLOCK_TAGS:
             self._flush()
+            self._end_what_is_implied(tag)
 
     def handle_endtag(self, tag):
-        if tag in BLOCK_TAGS or tag in DROPPED_TAGS or any(t == tag for t, _ in self._open):
+        at = next((i for i in range(len(self._open) - 1, -1, -1) if self._open[i][0] == tag), None)
+        if tag in BLOCK_TAGS or at is not None:
             self._flush()
-        for at in range(len(self._open) - 1, -1, -1):
-            if self._open[at][0] == tag:
-                del self._open[at:]
-                return
+        if at is not None:
+            del self._open[at:]
 
     def handle_data(self, data):
         self._text.append(data)
 
     def close(self):
+        # A tag that the page ends in is markup.
+        if _CUT_TAG.match(self.rawdata):
+            self.rawdata = ""
         super().close()
         self._flush()
 
-    @staticmethod
-    def _marked(attrs) -> bool:
-        return any(n in ("class", "id", "role") and v and not DROPPED_NAMES.isdisjoint(_NAME.split(v.lower())) for n, v in attrs)
-
-    @staticmethod
-    def _hidden(attrs) -> bool:
-        return any(n == "hidden" or n == "aria-hidden" and v == "true" for n, v in attrs)
-
-
-_VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
+    def blocks(self) -> list[tuple[str, str]]:
+        """Furniture goes, unless it holds the page's main element or all that the page has."""
+        void = self._void
+        if all(role == DROPPED or not void.issuperset(marks) for role, marks, _ in self._found):
+            void = set(range(1, self._marks + 1))
+        return [(role if void.issuperset(marks) else DROPPED, text) for role, marks, text in self._found]
 
 
 def blocks_of(html: str) -> list[tuple[str, str]]:
     parser = _Blocks()
     parser.feed(html)
     parser.close()
-    return parser.blocks
+    return parser.blocks()
 
 
 def common_subsequence(a: list, b: list) -> list[int]:
@@ -146,7 +222,8 @@ def extract(pages: DataFrame, id_column: str = "page_id", url_column: str = "url
     """(``id_column``, ``url_column``, text) of every page.
 
     White space inside a block is one space, blocks are joined by an empty line. Null and empty pages have an empty text.
-    Pages without a host, or whose host has no page with other content, are not differenced. Rows of one host that are equal in
+    Pages without a host, or whose host has no page with other content, are not differenced. Of two pages equally near the one
+    before counts. A page of any length is taken whole. Rows of one host that are equal in
     all blocks but those tags and classes drop (repeated rows, one page under several URLs) are one page to the differencing, at
     the first of its URLs, and each give a row. Other columns are ignored; an empty table gives an empty result.
     """
@@ -162,19 +239,19 @@ def extract(pages: DataFrame, id_column: str = "page_id", url_column: str = "url
             host, path = _place(row["url"])
             roles, texts = "".join(r for r, _ in kept), [t for _, t in kept]
             yield row | {
-                "host": host, "path": path, "page": xxhash.xxh64_intdigest("\0".join([host, roles, *texts])) >> 1,
+                "host": host, "path": path, "page": xxhash.xxh3_128_digest("\0".join([host, roles, *texts])),
                 "outside": [h for _, h in outside],
                 "plain": [i for i, (r, _) in enumerate(outside) if r == PLAIN],
                 "roles": roles, "texts": texts,
             }
 
     id_type = narrow.schema["id"].dataType.simpleString()
-    schema = f"id {id_type}, url string, row bigint, host string, path string, page bigint, outside array<bigint>, plain array<int>, roles string, texts array<string>"
+    schema = f"id {id_type}, url string, row bigint, host string, path string, page binary, outside array<bigint>, plain array<int>, roles string, texts array<string>"
     parsed = materialize(map_rows(narrow, parse, schema), "parsed-pages")
-    shared = map_rows(_neighbours(parsed.where("host <> ''")), _shared, "page bigint, shared array<int>")
+    shared = map_rows(_neighbours(parsed.where("host <> ''")), _shared, "page binary, shared array<int>")
     texts = parsed.select("id", "url", "page", "plain", "roles", "texts")
     # Only pages with undecided blocks wait for an answer; the texts of the others go nowhere.
-    asking = texts.where(F.size("plain") > 0).join(small(materialize(shared, "shared-blocks")), "page", "left")
+    asking = texts.where(F.size("plain") > 0).join(materialize(shared, "shared-blocks"), "page", "left")
     met = asking.unionByName(texts.where(F.size("plain") == 0), allowMissingColumns=True)
 
     def write(rows: Iterator[dict]) -> Iterator[dict]:

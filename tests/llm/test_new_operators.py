@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 import sentencepiece
 
-from gristmill.llm import centroids, piece_codec, runs
+from gristmill.llm import centroids, html_text, piece_codec, runs
 
 SCHEMA = "doc_id bigint, text string, ids string, n_tokens string, decoded int, runs int, id string, words string, a string, h int"
 
@@ -299,3 +299,97 @@ def test_types(spark, sf_dir):
     assert kinds["11"] == {"doc_id": "bigint", "n_tokens": "bigint", "ids_sha256": "string", "decoded_sha256": "string"}
     assert {kinds["12"][c] for c in ("vec_id", "distance", "cluster_inertia", "inertia")} == {"bigint"} and kinds["12"]["cluster"] == "int"
     assert {kinds["13"][c] for c in ("doc_id", "n_runs", "start", "length", "period", "exponent_milli")} == {"bigint"}
+
+
+# Page text
+
+
+def text_of(html):
+    return [t for r, t in html_text.blocks_of(html) if r != html_text.DROPPED]
+
+
+@pytest.mark.parametrize(
+    "html, want",
+    [
+        ("<html><head><title>T</title><body><p>Main text</p>", ["Main text"]),
+        ("<title>T</title><meta charset=x><p>Main text", ["Main text"]),
+        ("<head><title>T</title><div>Main</div><p>text", ["Main", "text"]),
+        ("<body class='single no-sidebar'><p>Main</p>", ["Main"]),
+        ("<body class='menu'><div class='layout with-sidebar'><p>Main</p></div>", ["Main"]),
+        ("<div id='widget-review'><p>Main</p></div>", ["Main"]),
+        ("<div class='widget'><main><p>Main</p></main><p>more</p></div>", ["Main", "more"]),
+        ("<div class='widget'><p>All there is</p></div><footer>f</footer>", ["All there is"]),
+        ("<div class='sidebar'>side</div><p>Main</p>", ["Main"]),
+        ("<div class='cookie-banner'>ok?</div><div class='Ad big'>buy</div><p>Main</p>", ["Main"]),
+        ("<article><p>Main</p></article><section class='comments'><article class='comment'><p>Me too</p></article></section>", ["Main"]),
+        ("<article><p>Main</p><ul><li class='comment'>one<ul><li>two</li></ul>three</li><li>kept</li></ul></article>", ["Main", "kept"]),
+        ("<div id='comments'><article><p>Only comments</p></article></div>", []),
+        ("<article class='post has-comments'><p>Main</p><div class='comment-list'>no</div></article>", ["Main"]),
+        ("<p class='share'>share<p>One<p hidden>no<p>Two", ["One", "Two"]),
+        ("<p class='share'>share<div>One</div>", ["One"]),
+        ("<ul><li class='ad'>buy<li>One<li>Two</ul>", ["One", "Two"]),
+        ("<table><tr><td class='ad'>buy<td>One<tr><td>Two</table>", ["One", "Two"]),
+        ("<dl><dt class='ad'>buy<dd>One<dt>Two</dl>", ["One", "Two"]),
+        ("<table><tr class='ad'><td>buy<td>buy<tr><td>One<table><tr><td>Two</table>Three</table>", ["One", "Two", "Three"]),
+        ("<div><span class='ad'>buy</span>One <b>two</b></div>", ["One two"]),
+        ("<article><header><h1>Head</h1></header>Text</article><header>no</header>", ["Head", "Text"]),
+        ("<article>a &amp; b<br>c \n d&nbsp;e</article>", ["a & b c d e"]),
+        ("<script>var x = '<p>no</p>'</script><p>One<style>p{}</style></p>", ["One"]),
+        ("", []),
+        ("<div", []),
+    ],
+)
+def test_blocks_of_odd_pages(html, want):
+    assert text_of(html) == want
+
+
+def brute_extract(rows):
+    """Text of each row by the rules, with every pair of pages of a host compared."""
+    parsed = [(i, url, html_text.blocks_of(html or "")) for i, url, html in rows]
+    shown = lambda found: tuple((r, t) for r, t in found if r != html_text.DROPPED)
+    first = {}
+    for at, (_, url, found) in enumerate(parsed):
+        host, path = html_text._place(url)
+        if host:
+            key = (host, shown(found))
+            if key not in first or path < first[key][1]:
+                first[key] = (at, path)
+    out = []
+    for i, url, found in parsed:
+        host, _ = html_text._place(url)
+        gone = set()
+        if host:
+            at, path = first[host, shown(found)]
+            others = sorted((p, k) for (h, _), (k, p) in first.items() if h == host and k != at)
+            before, after = [x for x in others if x[0] < path], [x for x in others if x[0] > path]
+            near = ([before[-1]] if before else []) + ([after[0]] if after else [])
+            if near:
+                chosen = max(near, key=lambda x: html_text._alike(x[0], path))
+                mine = [(r, t) for r, t in parsed[at][2] if r != html_text.ARTICLE]
+                theirs = [t for r, t in parsed[chosen[1]][2] if r != html_text.ARTICLE]
+                table = [[0] * (len(theirs) + 1) for _ in range(len(mine) + 1)]
+                for a in range(len(mine)):
+                    for b in range(len(theirs)):
+                        table[a + 1][b + 1] = table[a][b] + 1 if mine[a][1] == theirs[b] else max(table[a][b + 1], table[a + 1][b])
+                gone = {mine[k] for k in html_text.common_subsequence([t for _, t in mine], theirs)}
+                assert len(html_text.common_subsequence([t for _, t in mine], theirs)) == table[-1][-1]
+        out.append((i, "\n\n".join(t for r, t in found if r == html_text.ARTICLE or r == html_text.PLAIN and (r, t) not in gone)))
+    return sorted(out, key=str)
+
+
+def test_differencing_against_brute_force(spark):
+    rng = random.Random(8)
+    rows = []
+    for i in range(80):
+        host = f"h{rng.randrange(4)}.x"
+        path = "".join(f"/{rng.choice('abc')}" for _ in range(rng.randint(1, 4))) + f"/{i:03}"
+        shell = [f"Site line {k} of {host}" for k in range(4) if rng.random() < 0.8]
+        own = [f"Own {i} {k}" for k in range(rng.randint(0, 3))]
+        body = "".join(f"<div>{t}</div>" for t in shell[:2] + own + shell[2:])
+        rows.append((i, f"http://{host}{path}", body + rng.choice(["", f"<article>Piece {i}</article>", "<nav>menu</nav>"])))
+    rows += [rows[3], (None, rows[4][1], rows[4][2]), (200, "http://h0.x/copy", rows[5][2]), (201, None, rows[6][2]), (202, "http://h1.x/e", None)]
+    rows += [(203, "http://h2.x/long", "".join(f"<p>Long {k}</p>" for k in range(20_000)) + "<div>Site line 0 of h2.x</div>")]
+    df = spark.createDataFrame([(*r, "q", 1, b"r") for r in rows], "page_id long, url string, html string, host string, plain int, page binary")
+    for parts in (1, 6):
+        got = [(r["page_id"], r["text"]) for r in html_text.extract(df.repartition(parts)).collect()]
+        assert sorted(got, key=str) == brute_extract(rows)
