@@ -11,7 +11,7 @@ from itertools import groupby
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
@@ -27,7 +27,11 @@ SETTINGS = {
     "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
     "spark.sql.execution.arrow.maxBytesPerBatch": str(8 * 1024 * 1024),
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Samples of a few thousand rows per group are cut in the tasks that read them.
+    "spark.sql.optimizer.windowGroupLimitThreshold": "4096",
 }
+#: A side that is broadcast has at most so many bytes, written as JSON.
+BROADCAST_BYTES = 32 << 20
 
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
@@ -64,6 +68,27 @@ def shards_for(rows: int, per_shard: int, least: int) -> int:
     return max(least, -(-rows // per_shard))
 
 
+def small(df: DataFrame) -> DataFrame:
+    """Marked for broadcasting if its measured size allows it; else the planner joins it as it likes."""
+    size = df.agg(F.sum(F.octet_length(F.to_json(F.struct(*df.columns))))).first()[0] or 0
+    return F.broadcast(df) if size <= BROADCAST_BYTES else df
+
+
+def first_keys(df: DataFrame, group: str, order: list[str], n: int, salts: int = 32) -> DataFrame:
+    """(``group``, the columns of ``order``, place) of the ``n`` first distinct keys of each group, written to the shared folder.
+
+    Only keys are ranked, so give hashes and fetch what they stand for by a join with the result. Repeated keys are one before they
+    are ranked, and a group is ranked in ``salts`` shares first, of which each map task sends at most ``n`` keys: a group
+    that holds most of the rows is no task's alone.
+    """
+    keys = df.select(group, *order).distinct().withColumn("salt", F.pmod(F.xxhash64(*order), F.lit(salts)))
+    share = Window.partitionBy(group, "salt").orderBy(*order)
+    few = keys.withColumn("place", F.row_number().over(share)).where(F.col("place") <= n)
+    whole = Window.partitionBy(group).orderBy(*order)
+    ranked = few.withColumn("place", F.row_number().over(whole)).where(F.col("place") <= n)
+    return materialize(ranked.drop("salt"), "first-keys")
+
+
 def pack(array: np.ndarray) -> bytes:
     """An array as compressed bytes; bytes of equal weight stand together, which suits sorted or small numbers."""
     planes = np.ascontiguousarray(array).view(np.uint8).reshape(len(array), array.itemsize).T

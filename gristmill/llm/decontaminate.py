@@ -13,17 +13,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gristmill.llm.common import lower_ascii, materialize, prepare, table, words_of
+from gristmill.llm.common import lower_ascii, materialize, prepare, small, table, words_of
 
 SHINGLE = 5
 CONTAINMENT = 0.8
-#: A side with at most so many rows is broadcast (a few tens of MB); above, both sides are shuffled.
-BROADCAST_ROWS = 1_000_000
-
-
-def small(df: DataFrame) -> DataFrame:
-    """Marked for broadcasting if a count shows that it is small."""
-    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
 
 
 def _grams(words: Column, size: int, build) -> Column:

@@ -8,26 +8,28 @@ prediction P·Zᵀ·A; Zᵀ·A is multiplied out once, so a batch of texts costs
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+import regex
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gristmill.llm.common import prepare, table, worker_state
+from gristmill.llm.common import first_keys, hash128, prepare, small, table, worker_state
 
 UNDETERMINED = "und"
-#: The sample the model is fitted on: rows per language, languages, and characters of a text in it.
-PER_LANGUAGE, LANGUAGES, SAMPLE_CHARS = 400, 100, 20_000
-LANDMARKS_PER_LANGUAGE = 64
+#: The sample the model is fitted on: rows per language and in all, one per language at least, and characters of a text in it.
+PER_LANGUAGE, SAMPLE_ROWS, SAMPLE_CHARS = 400, 20_000, 20_000
+#: Landmarks per language and in all, one per language at least.
+LANDMARKS_PER_LANGUAGE, LANDMARKS = 64, 1024
 RIDGE = 1e-3
-LETTER = re.compile(r"[^\W\d_]")
-_LETTER = r"[\p{L}\p{Nl}\p{No}]"
+_LETTER = r"\p{L}"
+LETTER = regex.compile(_LETTER)
 _SIZES = (1, 2, 3)
 _BASE = np.array([0, 0, 1 << 8, (1 << 8) + (1 << 16)], np.int64)
 _CHUNK = 1 << 20
+_GRAMS = 1 << 14
 
 
 def ngram_codes(text: bytes) -> np.ndarray:
@@ -74,26 +76,69 @@ class Model:
         return (held @ self.weights) / norm[:, None]
 
 
+def _held(texts: list[bytes], grams: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(text, n-gram) of every landmark n-gram that a text holds, both as numbers, by n-gram."""
+    rows, slots = [], []
+    for i, text in enumerate(texts):
+        codes = np.unique(np.concatenate([np.unique(ngram_codes(text[at : at + _CHUNK + 2])) for at in range(0, max(len(text), 1), _CHUNK)]))
+        at = np.minimum(np.searchsorted(grams, codes), len(grams) - 1)
+        at = at[grams[at] == codes]
+        rows.append(np.full(len(at), i, np.int32))
+        slots.append(at.astype(np.int32))
+    row, slot = np.concatenate(rows), np.concatenate(slots)
+    order = np.argsort(slot, kind="stable")
+    return row[order], slot[order]
+
+
+def _parts(held: tuple[np.ndarray, np.ndarray], n: int, grams: int) -> Iterator[np.ndarray]:
+    """Presence of a stretch of n-grams after the other, each a small dense matrix."""
+    row, slot = held
+    for start in range(0, grams, _GRAMS):
+        a, b = np.searchsorted(slot, [start, start + _GRAMS])
+        part = np.zeros((n, min(_GRAMS, grams - start)), np.float32)
+        part[row[a:b], slot[a:b] - start] = 1
+        yield part
+
+
+def kernel(a: list[bytes], b: list[bytes], grams: np.ndarray) -> np.ndarray:
+    """Cosine-normalised numbers of shared n-grams, of every text of ``a`` with every one of ``b``."""
+    held = _held(a, grams), _held(b, grams)
+    shared = np.zeros((len(a), len(b)), np.float32)
+    for x, y in zip(_parts(held[0], len(a), len(grams)), _parts(held[1], len(b), len(grams))):
+        shared += x @ y.T
+    size = [np.sqrt(np.maximum(np.bincount(row, minlength=n), 1)) for (row, _), n in zip(held, (len(a), len(b)))]
+    return shared / size[0][:, None] / size[1]
+
+
 def fit(texts: list[str], languages: list[str], landmarks: int = LANDMARKS_PER_LANGUAGE, ridge: float = RIDGE) -> Model:
+    """One ridge regression per language on the landmarks' features.
+
+    Texts pass in batches that leave sums of landmark size only, so memory grows with landmarks times n-grams present, not
+    with texts times n-grams.
+    """
     names = sorted(set(languages))
     encoded = [t.lower().encode() for t in texts]
-    chosen = [i for name in names for i in [k for k, x in enumerate(languages) if x == name][:landmarks]]
-    grams = np.unique(np.concatenate([np.unique(ngram_codes(encoded[i])) for i in chosen]))
-    model = Model(names, grams, np.zeros((len(grams), len(names)), np.float32))
-    unit = np.concatenate([_unit(model.presence(encoded[at : at + 100])) for at in range(0, len(encoded), 100)])
-    basis = unit[chosen]
-    values, vectors = np.linalg.eigh((basis @ basis.T).astype(np.float64))
+    each = max(1, min(landmarks, LANDMARKS // len(names)))
+    chosen = [i for name in names for i in [k for k, x in enumerate(languages) if x == name][:each]]
+    basis = [encoded[i] for i in chosen]
+    grams = np.unique(np.concatenate([np.unique(ngram_codes(t)) for t in basis]))
+    values, vectors = np.linalg.eigh(kernel(basis, basis, grams).astype(np.float64))
     keep = values > 1e-8 * values.max()
     whiten = vectors[:, keep] / np.sqrt(values[keep])
-    features = (unit @ basis.T) @ whiten
-    wanted = np.array([[float(x == name) for name in names] for x in languages])
-    solved = np.linalg.solve(features.T @ features + ridge * len(texts) * np.eye(features.shape[1]), features.T @ wanted)
-    model.weights = (basis.T.astype(np.float64) @ (whiten @ solved)).astype(np.float32)
-    return model
-
-
-def _unit(held: np.ndarray) -> np.ndarray:
-    return held / np.sqrt(np.maximum(held.sum(axis=1, keepdims=True), 1))
+    column = {name: k for k, name in enumerate(names)}
+    squares, wanted = np.zeros((whiten.shape[1],) * 2), np.zeros((whiten.shape[1], len(names)))
+    for at in range(0, len(encoded), 200):
+        features = kernel(encoded[at : at + 200], basis, grams).astype(np.float64) @ whiten
+        target = np.zeros((len(features), len(names)))
+        target[np.arange(len(features)), [column[x] for x in languages[at : at + 200]]] = 1
+        squares += features.T @ features
+        wanted += features.T @ target
+    solved = np.linalg.solve(squares + ridge * len(texts) * np.eye(len(squares)), wanted)
+    of_landmarks = (whiten @ solved).astype(np.float32)
+    held = _held(basis, grams)
+    of_landmarks /= np.sqrt(np.maximum(np.bincount(held[0], minlength=len(basis)), 1))[:, None].astype(np.float32)
+    weights = np.concatenate([part.T @ of_landmarks for part in _parts(held, len(basis), len(grams))])
+    return Model(names, grams, weights)
 
 
 def lettered(text: Column) -> Column:
@@ -102,24 +147,25 @@ def lettered(text: Column) -> Column:
 
 
 def sample(docs: DataFrame, learn: Column, text_column: str, lang_column: str) -> DataFrame:
-    """The bounded training sample: per language the texts with the smallest hashes, among the languages with most rows.
+    """(lang, text, place): the bounded training sample, per language the different texts with the smallest hashes.
 
     Texts of more than ``SAMPLE_CHARS`` characters are left to languages without a shorter one: of those the shortest are taken, and of
-    each so many characters from its first letter.
+    each so many characters from its first letter. Hashes alone are ranked; the texts that are taken are fetched afterwards.
     """
     text = F.col(text_column)
-    usable = docs.where(learn & F.col(lang_column).isNotNull() & F.rlike(text, F.lit(r"\p{L}")))
+    usable = docs.where(learn & F.col(lang_column).isNotNull() & F.rlike(text, F.lit(_LETTER)))
+    h1, h2 = hash128(F.col("text"), "sample")
     narrow = usable.select(text.alias("text"), F.col(lang_column).alias("lang"), F.length(text).alias("chars"))
+    narrow = narrow.withColumn("h1", h1).withColumn("h2", h2)
     fits = F.col("chars") <= SAMPLE_CHARS
-    counts = narrow.groupBy("lang").agg(F.count(F.lit(1)).alias("count"), F.min("chars").alias("least"))
-    languages = counts.orderBy(F.desc("count"), "lang").limit(LANGUAGES).collect()
-    long_only = [r["lang"] for r in languages if r["least"] > SAMPLE_CHARS]
-    taken = narrow.where(F.col("lang").isin([r["lang"] for r in languages]) & (fits | F.col("lang").isin(long_only)))
+    least = narrow.groupBy("lang").agg(F.min("chars").alias("least")).collect()
+    long_only = [r["lang"] for r in least if r["least"] > SAMPLE_CHARS]
+    taken = narrow.where(fits | F.col("lang").isin(long_only)).withColumn("over", F.when(~fits, F.col("chars")))
+    each = max(1, min(PER_LANGUAGE, SAMPLE_ROWS // max(1, len(least))))
+    keys = first_keys(taken, "lang", ["over", "h1", "h2"], each).drop("over")
     cut = F.left(F.regexp_replace("text", r"^\P{L}++", ""), F.lit(SAMPLE_CHARS))
-    taken = taken.withColumn("text", F.when(fits, F.col("text")).otherwise(cut))
-    order = Window.partitionBy("lang").orderBy(F.when(~fits, F.col("chars")), F.xxhash64("text"), "text")
-    first = taken.withColumn("place", F.row_number().over(order)).where(F.col("place") <= PER_LANGUAGE)
-    return first.select("lang", "text", "place")
+    fetched = taken.join(small(keys), ["lang", "h1", "h2"]).dropDuplicates(["lang", "h1", "h2"])
+    return fetched.select("lang", F.when(fits, F.col("text")).otherwise(cut).alias("text"), "place")
 
 
 def identify(
@@ -130,7 +176,7 @@ def identify(
     The model learns from text and language of the rows of ``training`` (``docs`` itself if none is given) for which ``learn``
     holds, from a bounded sample of them. ``score`` is the winning regression value cut to 0..1. Null texts and texts without a letter
     are ``und`` with score 0, and so is everything if nothing can be learned. Ties go to the first language by name.
-    Repeated rows get equal results; an empty table gives an empty result.
+    Repeated rows get equal results and are one in the sample; a text of any length is read whole; an empty table gives an empty result.
     """
     prepare(docs.sparkSession)
     source = docs if training is None else training

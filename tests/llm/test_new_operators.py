@@ -1,14 +1,17 @@
 """Encoding, clustering and periodic runs against the library and brute force, with nulls, empty and long texts, ties and repeated rows."""
 
 import hashlib
+import math
 import random
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
 import sentencepiece
+from pyspark.sql import functions as F
 
-from gristmill.llm import centroids, html_text, piece_codec, runs
+from gristmill.llm import centroids, common, html_text, language, perplexity, piece_codec, runs
 
 SCHEMA = "doc_id bigint, text string, ids string, n_tokens string, decoded int, runs int, id string, words string, a string, h int"
 
@@ -393,3 +396,154 @@ def test_differencing_against_brute_force(spark):
     for parts in (1, 6):
         got = [(r["page_id"], r["text"]) for r in html_text.extract(df.repartition(parts)).collect()]
         assert sorted(got, key=str) == brute_extract(rows)
+
+
+# Quality
+
+
+class BruteKneserNey:
+    """Interpolated modified Kneser-Ney trigrams by the definitions, in dictionaries."""
+
+    def __init__(self, texts):
+        three, self.two, self.one = Counter(), Counter(), Counter()
+        for t in texts:
+            tokens = ["<s>", "<s>", *self.words(t), "</s>"]
+            three.update(zip(tokens, tokens[1:], tokens[2:]))
+        self.three = three
+        self.two.update((v, w) for _, v, w in three)
+        self.one.update(w for _, w in self.two)
+        self.d3, self.d2, self.d1 = (self.discounts(Counter(x.values())) for x in (three, self.two, self.one))
+        self.total = sum(self.one.values()) or 1
+        self.rest = (sum(self.off(self.d1, c) for c in self.one.values()) / self.total if self.one else 1.0) / (len(self.one) + 1)
+
+    @staticmethod
+    def words(text):
+        return [w.decode() for w in (text or "").encode().lower().split()]
+
+    @staticmethod
+    def discounts(n):
+        if not n[1] or not n[2]:
+            return [0.5, 0.5, 0.5]
+        y = n[1] / (n[1] + 2 * n[2])
+        raw = [1 - 2 * y * n[2] / n[1], 2 - 3 * y * n[3] / n[2], 3 - 4 * y * n[4] / n[3] if n[3] else 1.0]
+        return [min(max(d, 0.05), i - 0.05) for i, d in enumerate(raw, 1)]
+
+    @staticmethod
+    def off(d, count):
+        return d[min(count, 3) - 1]
+
+    def p1(self, w):
+        c = self.one[w]
+        return (c - self.off(self.d1, c)) / self.total + self.rest if c else self.rest
+
+    def p2(self, v, w):
+        seen = [c for (x, _), c in self.two.items() if x == v]
+        if not seen:
+            return self.p1(w)
+        c = self.two[v, w]
+        return ((c - self.off(self.d2, c)) if c else 0) / sum(seen) + sum(self.off(self.d2, x) for x in seen) / sum(seen) * self.p1(w)
+
+    def p3(self, u, v, w):
+        seen = [c for (x, y, _), c in self.three.items() if (x, y) == (u, v)]
+        if not seen:
+            return self.p2(v, w)
+        c = self.three[u, v, w]
+        return ((c - self.off(self.d3, c)) if c else 0) / sum(seen) + sum(self.off(self.d3, x) for x in seen) / sum(seen) * self.p2(v, w)
+
+    def log10(self, text):
+        tokens = ["<s>", "<s>", *self.words(text), "</s>"]
+        return sum(math.log10(self.p3(*x)) for x in zip(tokens, tokens[1:], tokens[2:]))
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_kneser_ney_against_the_definitions(spark, seed):
+    rng = random.Random(seed)
+    words = [f"W{i}" for i in range(3 + 8 * seed)] + ["é", "1,2"]
+    make = lambda n: " ".join(rng.choice(words[: rng.randint(1, len(words))]) for _ in range(n))
+    known = [make(rng.randint(0, 25)) for _ in range(30)] + ["", "w0 w0 w0 w0"]
+    asked = [*known[:5], *(make(rng.randint(0, 25)) for _ in range(20)), "never seen W0 words w1", "", None, make(400)]
+    model = BruteKneserNey(known)
+    assert sum(model.p3("w0", "w1", w) for w in model.one) < 1
+    sample = spark.createDataFrame([(t,) for t in known], "text string")
+    docs = spark.createDataFrame([(i, t, "x" if i % 2 else None) for i, t in enumerate(asked)], "id long, text string, lang string")
+    plain = perplexity.score(docs, sample, "id", "text", "lang").collect()
+    split = perplexity.score(docs.repartition(5), sample, "id", "text", block_bytes=50, model_bytes=20, shard_bytes=7).collect()
+    for got in (plain, split):
+        assert len(got) == len(asked)
+        for r in got:
+            assert r["n_tokens"] == len(model.words(asked[r["id"]])) + 1
+            assert abs(r["log10"] - model.log10(asked[r["id"]])) < 2e-4 * r["n_tokens"], asked[r["id"]]
+    assert {r["id"]: r["lang"] for r in plain} == {i: "x" if i % 2 else "" for i in range(len(asked))}
+
+
+def test_quality_of_repeated_rows_languages_and_odd_columns(spark):
+    rng = random.Random(4)
+    make = lambda k, n=30: " ".join(f"{k}{rng.randrange(30)}" for _ in range(n))
+    rows = [(i, make("a"), "aa") for i in range(40)] + [(100 + i, make("b"), "bb") for i in range(40)] + [(0, make("b"), "bb")]
+    rows += [(5, rows[5][1], "aa")] * 3 + [(None, make("a"), None), (None, make("b"), "bb"), (300, make("c", 5000), "aa"), (301, "", "aa")]
+    docs = spark.createDataFrame([(*r, 1, 2, "z") for r in rows], "doc_id long, text string, lang string, good long, h1 long, place string")
+    labels = spark.createDataFrame([(i, 1, 0, "x") for i in range(140)] + [(5, 1, 0, "x"), (None, 1, 0, "x")], "doc_id long, quality int, toxic int, lang string")
+    got = perplexity.classify(docs, labels).collect()
+    assert sorted((str(r["doc_id"]), r["lang"]) for r in got) == sorted((str(i), k or "") for i, _, k in rows)
+    assert len({round(r["log10"], 6) for r in got if r["doc_id"] == 5}) == 1
+    kept = {(r["doc_id"], r["lang"]): r["kept"] for r in got}
+    assert kept[0, "aa"] and kept[0, "bb"] and not kept[300, "aa"] and not kept[301, "aa"]
+
+
+def test_first_keys_are_the_smallest_of_each_group(spark):
+    rng = random.Random(6)
+    rows = [("hot" if rng.random() < 0.6 else f"g{rng.randrange(4)}", rng.randrange(300), rng.randrange(3)) for _ in range(5000)] + [("hot", 1, 1)] * 3000
+    df = spark.createDataFrame(rows, "g string, a int, b int").repartition(7)
+    got = sorted((r["g"], r["place"], r["a"], r["b"]) for r in common.first_keys(df, "g", ["a", "b"], 40).collect())
+    want = []
+    for g in {r[0] for r in rows}:
+        want += [(g, k, a, b) for k, (a, b) in enumerate(sorted({(a, b) for x, a, b in rows if x == g})[:40], 1)]
+    assert got == sorted(want)
+
+
+# Language
+
+
+def test_regression_on_landmarks_against_sets():
+    rng = random.Random(7)
+    make = lambda letters, n: " ".join("".join(rng.choice(letters) for _ in range(4)) for _ in range(n))
+    names = ["x"] * 20 + ["y"] * 15 + ["z"] * 9
+    texts = [make({"x": "abcü", "y": "bcde", "z": "xyzé"}[k], rng.randint(1, 12)) for k in names]
+    model = language.fit(texts, names, landmarks=6, ridge=1e-3)
+    grams = lambda t: {t.lower().encode()[i : i + n] for n in (1, 2, 3) for i in range(len(t.encode()) - n + 1)}
+    chosen = [i for k in "xyz" for i in [j for j, x in enumerate(names) if x == k][:6]]
+    everything = set().union(*(grams(texts[i]) for i in chosen))
+    held = [grams(t) & everything for t in texts]
+    alike = lambda a, b: len(a & b) / math.sqrt(max(len(a), 1) * max(len(b), 1))
+    between = np.array([[alike(held[i], held[j]) for j in chosen] for i in range(len(texts))])
+    values, vectors = np.linalg.eigh(between[chosen])
+    keep = values > 1e-8 * values.max()
+    features = between @ (vectors[:, keep] / np.sqrt(values[keep]))
+    target = np.array([[float(k == n) for n in "xyz"] for k in names])
+    solved = np.linalg.solve(features.T @ features + 1e-3 * len(texts) * np.eye(features.shape[1]), features.T @ target)
+    assert np.allclose(model.scores([t.lower().encode() for t in texts]), features @ solved, atol=2e-3)
+    assert np.allclose(language.kernel([t.encode() for t in texts[:4]], [texts[i].lower().encode() for i in chosen], model.grams), between[:4], atol=1e-5)
+
+
+def test_many_languages_are_all_learned(spark, monkeypatch):
+    monkeypatch.setattr(language, "LANDMARKS", 150)
+    monkeypatch.setattr(language, "SAMPLE_ROWS", 300)
+    names = [f"l{i:03}" for i in range(130)]
+    rng = random.Random(9)
+    word = {n: ["".join(chr(0x4E00 + 40 * i + rng.randrange(40)) for _ in range(3)) for _ in range(6)] for i, n in enumerate(names)}
+    rows = [(k, " ".join(rng.choice(word[n]) for _ in range(20)), n) for n in names for k in range(5)]
+    docs = spark.createDataFrame([(*r, "a", 0.5) for r in rows], "doc_id long, text string, lang string, lang_pred string, score double")
+    got = language.identify(docs).collect()
+    assert len(got) == len(rows) and sum(r["lang"] == r["lang_pred"] for r in got) / len(rows) > 0.95
+    assert language.sample(docs, F.lit(True), "text", "lang").groupBy("lang").count().agg(F.max("count")).first()[0] == 2
+
+
+def test_letters_ties_and_clashing_columns_of_languages(spark):
+    rows = [(i, "same words here", "bb" if i % 2 else "aa") for i in range(10)]
+    rows += [(20 + i, t, None) for i, t in enumerate(["½", "²", "①", "Ⅷ", "12 !!", "_", "", None, "ª", "same words here", "x " * 200_000])]
+    docs = spark.createDataFrame([(*r, "old", 9.0, 1) for r in rows], "doc_id long, text string, lang string, lang_pred string, score double, over int")
+    got = {r["doc_id"]: (r["lang_pred"], r["score"]) for r in language.identify(docs).collect()}
+    assert all(got[20 + i] == ("und", 0.0) for i in range(8))
+    assert all(got[20 + i][0] in ("aa", "bb") for i in (8, 10)) and got[29][0] == "aa"
+    assert {got[i][0] for i in range(10)} == {"aa"}
+    assert language.identify(docs.limit(0)).count() == 0
