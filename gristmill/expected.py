@@ -445,6 +445,8 @@ def oracle_sql() -> dict[str, str]:
         "staging_reviews": _with("SELECT * FROM stg_reviews", "stg_reviews"),
         **{name: _feature(name) for name in _FEATURES},
         "interactions_of_repeated_reviews": _feature("user_product_interactions"),
+        "user_features_incremental": _feature("user_features"),
+        "product_stats_incremental": _feature("product_review_stats"),
         "refresh_row_counts": _with(
             _counts(*_FEATURES)
             + " UNION ALL SELECT 'review_embeddings', count(*) FROM stg_reviews "

@@ -44,22 +44,6 @@ def embed(text: Column, factory: EncoderFactory, batch_size: int = 32, normalize
     return F.when(text.isNotNull(), udf(F.coalesce(text, F.lit(""))))
 
 
-def sentence_transformer(model_name: str, batch_size: int = 32) -> EncoderFactory:
-    """Encoder backed by a sentence-transformers model, where that package is installed."""
-
-    def factory() -> Encoder:
-        try:
-            from sentence_transformers import SentenceTransformer
-        except ImportError as missing:
-            raise RuntimeError("sentence-transformers is not installed on the executors") from missing
-        model = SentenceTransformer(model_name)
-        return lambda texts: model.encode(
-            list(texts), batch_size=batch_size, show_progress_bar=False, convert_to_numpy=True
-        )
-
-    return factory
-
-
 def hashed_tokens(dim: int) -> EncoderFactory:
     """Dependency-free encoder: counts of space-separated tokens, each hashed to a component."""
 

@@ -223,7 +223,7 @@ class Run:
     def _merge_vectors(self, prepared: DataFrame, encoder: EncoderFactory) -> DataFrame:
         name = f"{self.namespace}.{VECTOR_TABLE}"
         if not self.spark.catalog.tableExists(name):
-            self.empty_vectors(vectors.embed_reviews(prepared, encoder)).writeTo(name).using(self.provider).create()
+            self.empty_vectors(vectors.embedded_schema(prepared)).writeTo(name).using(self.provider).create()
         batch = self._embedded(prepared, tables.read_table(self.spark, name), encoder)
         columns = [c for c in vectors.EMBEDDED_COLUMNS if c != "ingest_dt"]
         merge_into(vectors.newest_per_review(batch).select(*columns), name, ["review_id"], vectors.CONTENT_CHANGED)
@@ -232,13 +232,16 @@ class Run:
     def _embedded(self, prepared: DataFrame, stored: DataFrame, encoder: EncoderFactory) -> DataFrame:
         """Vectors of the prepared rows that are not stored, written once, to a folder of this run alone."""
         path = f"{self.root}/embedded/{self.run_date}/{uuid.uuid4().hex}"
-        vectors.embed_reviews(vectors.pending(prepared, stored), encoder).write.parquet(path)
+        waiting = f"{self.root}/pending/{self.run_date}/{uuid.uuid4().hex}"
+        # Written before it is dealt to tasks, since dealing reads twice what the join left.
+        vectors.pending(prepared, stored).write.parquet(waiting)
+        vectors.embed_reviews(tables.read_all(self.spark, waiting), encoder).write.parquet(path)
         return tables.read_all(self.spark, path)
 
     def draft_vectors(self, prepared: DataFrame, encoder: EncoderFactory) -> VectorDraft:
         """Embed what is not stored and write the buckets it changes; nothing counts before :meth:`commit_vectors`."""
         before = tables.current_version(self.spark, self.vector_path)
-        empty = self.empty_vectors(vectors.embed_reviews(prepared, encoder))
+        empty = self.empty_vectors(vectors.embedded_schema(prepared))
         batch = self._embedded(prepared, before.read(self.spark) if before.parts else empty, encoder)
         return VectorDraft(before, batch, empty, self._changed_buckets(before, batch, empty))
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from gristmill.functions import parse
 from gristmill.functions.text import blank_to_null
 from gristmill.operators.contracts import never_null, require_columns
-from gristmill.operators.dedup import first_per_key, newest, tie_break
+from gristmill.operators.dedup import digest_order, first_per_key, newest
 
 # The raw contract, in the sources' own field names.
 RAW_PRODUCT_COLUMNS = [
@@ -80,7 +80,7 @@ def products(raw: DataFrame, ingest_dt: str, source_system: str = PRODUCT_SOURCE
         never_null(parse.parse_timestamp(F.col("updated_at")), "updated_at").alias("updated_at"),
         F.lit(source_system).alias("source_system"),
     )
-    order = newest("updated_at") + tie_break(typed, ["asin", "updated_at", "ingest_dt", "source_system"])
+    order = newest("updated_at") + digest_order(typed, ["asin", "updated_at", "ingest_dt", "source_system"])
     return first_per_key(typed, ["asin"], order)
 
 
@@ -111,7 +111,7 @@ def reviews(raw: DataFrame, ingest_dt: str, source_system: str = REVIEW_SOURCE)
         _batch_date(ingest_dt),
         F.lit(source_system).alias("source_system"),
     )
-    settled = "review_id asin reviewer_id rating review_timestamp vote_count ingest_dt source_system".split()
     # All rows of one key share product, reviewer, time and rating.
-    order = newest("review_timestamp", "vote_count") + tie_break(typed, settled)
+    settled = ["review_id", "asin", "reviewer_id", "rating", "review_timestamp", "vote_count", "ingest_dt", "source_system"]
+    order = newest("vote_count") + digest_order(typed, settled)
     return first_per_key(typed, ["review_id"], order)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from gristmill.functions.text import embedding_text, text_digest
 from gristmill.operators.contracts import require_columns
+from gristmill.operators.dealing import deal_by_cost
 from gristmill.operators.dedup import latest_by
 from gristmill.operators.embedding import EncoderFactory, embed
 from gristmill.operators.upsert import changed_rows, differs, not_stored_yet, upsert
@@ -40,12 +41,19 @@ def pending(prepared: DataFrame, stored: DataFrame) -> DataFrame:
 
 
 def embed_reviews(prepared: DataFrame, encoder: EncoderFactory, batch_size: int = 32) -> DataFrame:
-    """One unit-length vector per prepared row."""
+    """One unit-length vector per prepared row. Rows are dealt to tasks by the length of their texts."""
     require_columns(prepared, PREPARED_COLUMNS)
+    prepared = deal_by_cost(prepared, F.length("text_for_embedding"))
     vector = embed(F.col("text_for_embedding"), encoder, batch_size)
     return prepared.withColumn("embedding", vector).select(*EMBEDDED_COLUMNS)
 
 
+def embedded_schema(prepared: DataFrame) -> DataFrame:
+    """No rows, with the columns that :func:`embed_reviews` gives."""
+    nothing = F.lit(None).cast("array<float>")
+    return prepared.where(F.lit(False)).withColumn("embedding", nothing).select(*EMBEDDED_COLUMNS)
+
+
 def newest_per_review(batch: DataFrame) -> DataFrame:
     """A batch may span several ingestion dates; the newest row of a review counts."""
     return latest_by(batch, ["review_id"], *[c for c in ("ingest_dt",) if c in batch.columns])

@@ -15,8 +15,9 @@ from pyspark.sql import types as T
 
 from gristmill.functions import parse, text, vectors
 from gristmill.operators import checks, contracts, dedup, profile, quality, topk, upsert
+from gristmill.operators.dealing import deal_by_cost
 from gristmill.operators.embedding import hashed_tokens
-from gristmill.plans import features, refresh, staging, suites
+from gristmill.plans import features, incremental, refresh, staging, suites
 from gristmill.plans import vectors as vector_plans
 from gristmill.session import fresh_dir, materialize, tune
 from gristmill.sources import landing, raw, samples, tables
@@ -175,6 +176,36 @@ def incremental_refresh(spark, sf_dir):
     )
 
 
+def _feature_state(spark: SparkSession, sf_dir: str) -> incremental.FeatureState:
+    """The state after three increments and one that comes twice; each replaces some reviews of those before it."""
+    reviews = materialize(features.review_facts(_reviews(spark, sf_dir)), "review-facts")
+    share = F.pmod(F.xxhash64("review_id"), F.lit(4))
+    # Earlier versions of a review have other votes, flags and lengths.
+    earlier = reviews.withColumns({
+        "vote_count": F.coalesce("vote_count", F.lit(3)) + 5,
+        "verified": ~F.coalesce("verified", F.lit(False)),
+        "review_text_length": F.col("review_text_length") * 2 + 1,
+    })
+    state = incremental.FeatureState(spark, fresh_dir(spark, "feature-state"), buckets=8)
+    parts = (earlier.where(share < 2), earlier.where(share == 2).unionByName(reviews.where(share == 0)), reviews.where(share != 0))
+    for number, part in enumerate(parts):
+        state.apply(part, f"increment {number}")
+    state.apply(earlier, "increment 2")
+    return state
+
+
+@query
+def user_features_incremental(spark, sf_dir):
+    """Reviewer features kept up to date over increments with replaced reviews."""
+    return _feature_state(spark, sf_dir).user_features(RUN_DATE)
+
+
+@query
+def product_stats_incremental(spark, sf_dir):
+    """Product statistics kept up to date over increments with replaced reviews."""
+    return _feature_state(spark, sf_dir).product_review_stats(RUN_DATE)
+
+
 # Scalar functions
 
 
@@ -374,7 +405,9 @@ def _document_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def embed_documents(spark, sf_dir):
-    prepared = vector_plans.prepare(_document_reviews(spark, sf_dir), "hashed-64")
+    # Documents are dealt before their texts are cleaned, which costs as much as the encoder here.
+    documents = deal_by_cost(_document_reviews(spark, sf_dir), F.length("review_text"))
+    prepared = materialize(vector_plans.prepare(documents, "hashed-64"), "prepared")
     embedded = vector_plans.embed_reviews(prepared, hashed_tokens(SAMPLE_DIM))
     return embedded.select("review_id", "text_hash", "model_version", _scaled("embedding").alias("embedding"))
 
