@@ -1,6 +1,7 @@
 """Exact cosine top-k of stored vectors for a set of query vectors.
 
-:func:`cosine_topk` is for queries the caller holds; :func:`cosine_topk_join` takes them as a frame of any size.
+:func:`cosine_topk` is for queries the caller holds; :func:`cosine_topk_join` takes them as a frame of any size and
+leaves out what cannot be among the nearest.
 
 For held queries the vectors are scanned once per group of queries. Every task scores its batches with one matrix product and
 keeps k candidates per query, so neither the pairs nor the vectors are shuffled; a final ranking merges the
@@ -11,24 +12,24 @@ split into several scans.
 from __future__ import annotations
 
 from collections.abc import Iterator, Mapping, Sequence
+from dataclasses import dataclass
 from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-QUERY_BYTES_PER_SCAN = 16 * 1024 * 1024
-
+from gristmill.session import materialize
 
-def collect_queries(df: DataFrame, name: str, vector: str, at_most: int = 10_000) -> dict[str, list[float]]:
-    """Query vectors from a frame that must be small; more rows than ``at_most`` is an error."""
-    rows = df.select(F.col(name).cast("string").alias("n"), F.col(vector).alias("v")).take(at_most + 1)
-    if len(rows) > at_most:
-        raise ValueError(f"more than {at_most} query vectors; search in groups")
-    return {row["n"]: list(row["v"]) for row in rows}
+QUERY_BYTES_PER_SCAN = 16 * 1024 * 1024
+#: Scores that are held at once.
+SCORE_BYTES = 32 * 1024 * 1024
+PIVOTS = 256
+#: Room for rounding in bounds on scores; angles near zero are good to eight digits.
+_ROOM = 1e-6
 
 
 def cosine_topk(
@@ -86,64 +87,145 @@ def cosine_topk_join(
     vector_column: str = "embedding",
     block_rows: int = 4096,
     block_queries: int = 1024,
+    pivots: int = PIVOTS,
+    cell_rows: int = 1024,
 ) -> DataFrame:
     """The k nearest ids of each row of a query frame: ``query, rank, <id>, score``, ranked as :func:`cosine_topk` does.
 
-    Both sides are cut into blocks by a hash of their keys, which must be unique, and each pair of blocks is one
-    matrix product in one task, so memory is bounded on both axes and a lost task gives the same blocks again. The
-    vectors are shuffled once per block of queries. Null vectors on either side are skipped, lengths that differ
-    are an error.
+    Keys on both sides must be unique. Every vector belongs to the cell of its nearest pivot, a stored vector itself; a
+    cell's radius is the largest angle to it. A query searches the cell of its own nearest pivot first. Its k-th score then
+    rules out every cell whose best possible score, by the triangle inequality of angles, is below that; only the others
+    are searched. Cells are cut into blocks and queries into groups of one first cell, and each block and group
+    that meet are one matrix product in one task, so memory is bounded on both axes and a lost task gives the same
+    blocks again. Null vectors on either side are skipped, lengths that differ are an error.
     """
-    stored = vectors.where(F.col(vector_column).isNotNull())
-    asked = queries.where(F.col(query_vector).isNotNull())
-    vector_blocks = _blocks(stored.count(), block_rows)
-    query_blocks = _blocks(asked.count(), block_queries)
-    left = stored.select(
-        _block(id_column, vector_blocks).alias("vb"),
-        F.explode(F.sequence(F.lit(0), F.lit(query_blocks - 1))).alias("qb"),
-        F.col(id_column).alias("id"),
-        F.col(vector_column).cast("array<double>").alias("v"),
-    )
-    right = asked.select(
-        F.explode(F.sequence(F.lit(0), F.lit(vector_blocks - 1))).alias("vb"),
-        _block(query_column, query_blocks).alias("qb"),
-        F.col(query_column).alias("query"),
-        F.col(query_vector).cast("array<double>").alias("v"),
-    )
-    kinds = right.schema["query"].dataType, left.schema["id"].dataType
-    schema = T.StructType([T.StructField("query", kinds[0]), T.StructField("id", kinds[1]), T.StructField("score", T.DoubleType())])
-    pairs = left.groupBy("vb", "qb").cogroup(right.groupBy("vb", "qb"))
-    candidates = pairs.applyInArrow(_block_scorer(k), schema)
+    stored = vectors.where(F.col(vector_column).isNotNull()).select(F.col(id_column).alias("id"), F.col(vector_column).cast("array<double>").alias("v"))
+    asked = queries.where(F.col(query_vector).isNotNull()).select(F.col(query_column).alias("query"), F.col(query_vector).cast("array<double>").alias("v"))
+    # Up to ``pivots`` cells, of ``cell_rows`` vectors on average or more: smaller products do not pay.
+    cells = _cells(stored, min(pivots, _blocks(stored.count(), cell_rows)), block_rows)
+    groups = _blocks(asked.count(), block_queries)
+    asked = materialize(_assigned(asked, "query", cells.pivots), "topk-queries")
+    group = F.col("cell") * groups + F.pmod(F.xxhash64("query"), F.lit(groups)).cast("int")
+    asked = asked.select("query", "v", "cell", group.alias("group"))
+    first = materialize(_search(cells, asked.withColumn("cells", F.array("cell")), k), "topk-first")
+    reached = first.groupBy("query").agg(F.count(F.lit(1)).alias("n"), F.min("score").alias("least"))
+    kth = asked.join(reached, "query", "left").withColumn("kth", F.when(F.col("n") >= k, F.col("least")))
+    rest = _search(cells, _with_cells(kth, cells), k)
     best_first = Window.partitionBy("query").orderBy(F.desc("score"), F.asc("id"))
-    ranked = candidates.withColumn("rank", F.row_number().over(best_first)).where(F.col("rank") <= k)
+    ranked = first.unionByName(rest).withColumn("rank", F.row_number().over(best_first)).where(F.col("rank") <= k)
     return ranked.select("query", "rank", F.col("id").alias(id_column), "score")
 
 
-def _blocks(rows: int, per_block: int) -> int:
-    return max(1, -(-rows // per_block))
+@dataclass
+class _Cells:
+    """Assigned vectors, and what is known of each cell: bounded by the number of pivots."""
 
+    stored: DataFrame
+    pivots: np.ndarray
+    radius: np.ndarray
+    parts: list[int]
 
-def _block(key: str, blocks: int) -> Column:
-    return F.pmod(F.xxhash64(key), F.lit(blocks)).cast("int")
 
+def _cells(stored: DataFrame, pivots: int, block_rows: int) -> _Cells:
+    nonzero = stored.where(F.exists("v", lambda x: x != 0))
+    chosen = nonzero.select("v", F.xxhash64("id").alias("h")).orderBy("h", "v").limit(pivots).collect()
+    if len({len(r["v"]) for r in chosen}) > 1:
+        raise ValueError("vectors of different lengths")
+    matrix = _unit(np.array([r["v"] for r in chosen], np.float64)) if chosen else np.zeros((0, 0))
+    assigned = materialize(_assigned(stored, "id", matrix), "topk-cells")
+    about = {r["cell"]: r for r in assigned.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), F.max("angle").alias("radius")).collect()}
+    number = max(1, len(matrix))
+    radius = np.array([about[c]["radius"] if c in about else -np.inf for c in range(number)])
+    parts = [_blocks(about[c]["n"], block_rows) if c in about else 0 for c in range(number)]
+    return _Cells(assigned, matrix, radius, parts)
+
+
+def _unit(rows: np.ndarray) -> np.ndarray:
+    lengths = np.sqrt(np.einsum("ij,ij->i", rows, rows))
+    return rows / np.where(lengths == 0, 1.0, lengths)[:, None]
+
+
+def _matrix(column: pa.Array | pa.ChunkedArray, dim: int | None = None) -> np.ndarray:
+    """A column of vectors as unit rows; other lengths are an error."""
+    vectors = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
+    sizes = np.unique(np.diff(vectors.offsets.to_numpy()))
+    if len(sizes) > 1 or dim is not None and len(sizes) and sizes[0] != dim:
+        raise ValueError(f"vectors of different lengths: {sorted({*sizes.tolist(), *([dim] if dim else [])})}")
+    return _unit(vectors.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(vectors), -1))
+
+
+def _assigned(df: DataFrame, key: str, pivots: np.ndarray) -> DataFrame:
+    """``key, v, cell, angle``: the nearest pivot and the angle to it. Zero vectors have a right angle with everything."""
+    schema = T.StructType([*df.select(key, "v").schema, T.StructField("cell", T.IntegerType()), T.StructField("angle", T.DoubleType())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        step = max(1, SCORE_BYTES // (8 * max(1, len(pivots))))
+        for batch in batches:
+            for at in range(0, batch.num_rows, step):
+                some = batch.slice(at, step)
+                if not len(pivots):
+                    cell, angle = np.zeros(some.num_rows, np.int32), np.full(some.num_rows, np.pi)
+                else:
+                    angles = np.arccos(np.clip(_matrix(some.column(1), pivots.shape[1]) @ pivots.T, -1, 1))
+                    cell = angles.argmin(axis=1).astype(np.int32)
+                    angle = angles[np.arange(len(cell)), cell]
+                columns = [some.column(0), some.column(1), pa.array(cell), pa.array(angle)]
+                yield pa.RecordBatch.from_arrays(columns, names=[key, "v", "cell", "angle"])
+
+    return df.select(key, "v").mapInArrow(run, schema)
 
-def _block_scorer(k: int):
-    def unit(column: pa.ChunkedArray) -> np.ndarray:
-        vectors = column.combine_chunks()
-        sizes = np.unique(np.diff(vectors.offsets.to_numpy()))
-        flat = vectors.flatten().to_numpy(zero_copy_only=False)
-        if len(sizes) > 1:
-            raise ValueError(f"vectors of different lengths: {sizes.tolist()}")
-        rows = flat.reshape(len(vectors), -1)
-        lengths = np.sqrt(np.einsum("ij,ij->i", rows, rows))
-        return rows / np.where(lengths == 0, 1.0, lengths)[:, None]
 
+def _with_cells(kth: DataFrame, cells: _Cells) -> DataFrame:
+    """The queries with the cells, other than their first, that may hold one of their k nearest."""
+    pivots, radius = cells.pivots, cells.radius
+    columns = kth.select("query", "v", "cell", "group")
+    schema = T.StructType([*columns.schema, T.StructField("cells", T.ArrayType(T.IntegerType()))])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = []
+            if batch.num_rows and len(pivots):
+                angles = np.arccos(np.clip(_matrix(batch.column(1)) @ pivots.T, -1, 1))
+                bound = np.where(np.isneginf(radius), -np.inf, np.cos(np.maximum(0, angles - radius)))
+                own = batch.column(2).to_numpy()
+                least = batch.column(4).to_numpy(zero_copy_only=False)
+                # A k-th score that is not known rules out nothing.
+                possible = (bound >= np.where(np.isnan(least), -2, least)[:, None] - _ROOM) & ~np.isneginf(bound)
+                possible[np.arange(len(own)), own] = False
+                found = [np.flatnonzero(row).tolist() for row in possible]
+            lists = pa.array(found or [[]] * batch.num_rows, pa.list_(pa.int32()))
+            yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(4)), lists], names=schema.names)
+
+    return kth.select("query", "v", "cell", "group", F.col("kth").cast("double")).mapInArrow(run, schema)
+
+
+def _search(cells: _Cells, asked: DataFrame, k: int) -> DataFrame:
+    """``query, id, score``: k candidates of each query from every block of its ``cells``."""
+    parts = F.array(*[F.lit(n) for n in cells.parts])
+    wanted = asked.select("query", "v", "group", F.explode("cells").alias("cell")).where(F.element_at(parts, F.col("cell") + 1) > 0)
+    right = wanted.withColumn("part", F.explode(F.sequence(F.lit(0), F.element_at(parts, F.col("cell") + 1) - 1)))
+    part = F.pmod(F.xxhash64("id"), F.element_at(parts, F.col("cell") + 1)).cast("int")
+    # Renamed, since both sides of the grouping below come from the queries.
+    pairs = wanted.select(F.col("cell").alias("met"), F.col("group").alias("by")).distinct()
+    left = cells.stored.select("id", "v", "cell", part.alias("part")).join(pairs, F.col("cell") == F.col("met"))
+    left = left.select("id", "v", "cell", "part", F.col("by").alias("group"))
+    keys = ["cell", "part", "group"]
+    kinds = right.schema["query"].dataType, left.schema["id"].dataType
+    schema = T.StructType([T.StructField("query", kinds[0]), T.StructField("id", kinds[1]), T.StructField("score", T.DoubleType())])
+    return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(_block_scorer(k), schema)
+
+
+def _blocks(rows: int, per_block: int) -> int:
+    return max(1, -(-rows // per_block))
+
+
+def _block_scorer(k: int):
     def score(stored: pa.Table, asked: pa.Table) -> pa.Table:
         ids, names = stored.column("id"), asked.column("query")
         kinds = pa.schema([("query", names.type), ("id", ids.type), ("score", pa.float64())])
         if not stored.num_rows or not asked.num_rows:
             return kinds.empty_table()
-        vectors, queries = unit(stored.column("v")), unit(asked.column("v"))
+        vectors, queries = _matrix(stored.column("v")), _matrix(asked.column("v"))
         if vectors.shape[1] != queries.shape[1]:
             raise ValueError(f"queries of length {queries.shape[1]}, vectors of length {vectors.shape[1]}")
         # Columns in the order of the ids: the first of equal scores is then the smallest id.
@@ -163,21 +245,21 @@ def _scorer(names: Sequence[str], matrix: np.ndarray, k: int):
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         best: list[tuple[np.ndarray, np.ndarray]] = [(np.empty(0), np.empty(0, dtype=object)) for _ in names]
-        id_type = None
+        floor, id_type = np.full(len(names), -np.inf), None
+        step = max(1, SCORE_BYTES // (8 * len(names)))
         for batch in batches:
-            if batch.num_rows == 0:
-                continue
             id_type = batch.schema.field(0).type
-            ids = np.array(batch.column(0).to_pylist(), dtype=object)
-            flat = batch.column(1).flatten().to_numpy(zero_copy_only=False).astype(np.float64)
-            rows = flat.reshape(batch.num_rows, -1)
-            lengths = np.sqrt(np.einsum("ij,ij->i", rows, rows))
-            scores = (rows @ unit.T) / np.where(lengths == 0, 1.0, lengths)[:, None]
-            scores = np.rint(scores * 1e12) / 1e12
-            for q in range(len(names)):
-                best[q] = _best(
-                    np.concatenate([best[q][0], scores[:, q]]), np.concatenate([best[q][1], ids]), k
-                )
+            for at in range(0, batch.num_rows, step):
+                some = batch.slice(at, step)
+                scores = np.rint(_matrix(some.column(1)) @ unit.T * 1e12) / 1e12
+                ids = np.array(some.column(0).to_pylist(), dtype=object)
+                # Only what reaches a query's k-th score so far can change its k best.
+                hits = scores >= floor
+                for q in np.flatnonzero(hits.any(axis=0)).tolist():
+                    found = hits[:, q]
+                    best[q] = _best(np.concatenate([best[q][0], scores[found, q]]), np.concatenate([best[q][1], ids[found]]), k)
+                    if len(best[q][0]) == k:
+                        floor[q] = best[q][0][-1]
         if id_type is None:
             return
         yield pa.RecordBatch.from_arrays(

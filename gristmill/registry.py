@@ -484,8 +484,8 @@ def cosine_topk(spark, sf_dir):
     table = samples.table(spark, sf_dir, "embeddings")
     means = [F.avg(F.get("embedding", F.lit(i))) for i in range(SAMPLE_DIM)]
     centers = table.groupBy("label").agg(F.array(*means).alias("center"))
-    wanted = topk.collect_queries(centers, "label", "center")
-    nearest = topk.cosine_topk(table, wanted, 10, id_column="vec_id").withColumn("score", F.round("score", DIGITS))
+    asked = centers.select(F.col("label").cast("string").alias("query"), F.col("center").alias("vector"))
+    nearest = topk.cosine_topk_join(table, asked, 10, id_column="vec_id").withColumn("score", F.round("score", DIGITS))
     shown = Window.partitionBy("query").orderBy(F.desc("score"), "vec_id")
     return nearest.withColumn("rank", F.row_number().over(shown))
 

@@ -294,11 +294,48 @@ def test_cosine_topk_equals_brute_force_with_copies(spark):
     assert rows(one_per_scan) == sorted(expected)
 
 
-def test_query_vectors_are_bounded(spark):
-    df = spark.range(5).selectExpr("id", "array(1.0, 2.0) AS v")
-    assert len(topk.collect_queries(df, "id", "v")) == 5
-    with pytest.raises(ValueError, match="more than 4"):
-        topk.collect_queries(df, "id", "v", at_most=4)
+def test_topk_in_slices_of_rows(spark, monkeypatch):
+    rng = np.random.default_rng(4)
+    df = spark.createDataFrame([(i, [float(x) for x in rng.integers(-3, 4, 5)]) for i in range(150)], "review_id int, embedding array<double>")
+    queries = {f"q{i}": [float(x) for x in rng.normal(size=5)] for i in range(6)}
+    whole = rows(topk.cosine_topk(df, queries, 7))
+    monkeypatch.setattr(topk, "SCORE_BYTES", 8 * 6 * 4)
+    assert rows(topk.cosine_topk(df, queries, 7)) == whole
+
+
+def test_pruned_topk_equals_brute_force_and_skips_cells(spark):
+    rng = np.random.default_rng(6)
+    spots = rng.normal(size=(12, 16))
+    matrix = np.concatenate([spots[i % 12] + 0.05 * rng.normal(size=16) for i in range(600)]).reshape(600, 16)
+    matrix[10] = 0.0
+    stored = spark.createDataFrame([(i, [float(x) for x in r]) for i, r in enumerate(matrix)], "id int, v array<double>").repartition(3)
+    asked = [*range(0, 600, 40), 10]
+    far = {1000: (-spots[0]).tolist(), 1001: rng.normal(size=16).tolist()}
+    vectors = {q: matrix[q].tolist() for q in asked} | far
+    frame = spark.createDataFrame([(q, v) for q, v in vectors.items()], "query int, vector array<double>")
+    lengths = np.linalg.norm(matrix, axis=1)
+    unit = matrix / np.where(lengths == 0, 1.0, lengths)[:, None]
+    for k, pivots in ((5, 24), (5, 1), (400, 24)):
+        got = {}
+        for r in topk.cosine_topk_join(stored, frame, k, id_column="id", vector_column="v", block_rows=40, block_queries=4, pivots=pivots, cell_rows=1).orderBy("query", "rank").collect():
+            got.setdefault(r["query"], []).append(r["id"])
+        for q, v in vectors.items():
+            n = np.linalg.norm(v) or 1.0
+            scores = np.rint(unit @ (np.array(v) / n) * 1e12) / 1e12
+            assert got[q] == sorted(range(600), key=lambda i: (-scores[i], i))[:k], (q, k, pivots)
+    cells = topk._cells(stored, 24, 40)
+    near = topk._assigned(frame.where("query < 1000 AND query <> 10").withColumnRenamed("vector", "v"), "query", cells.pivots)
+    known = near.withColumn("group", F.lit(0)).withColumn("kth", F.lit(0.95))
+    searched = [len(r["cells"]) for r in topk._with_cells(known, cells).collect()]
+    assert np.mean(searched) < 0.4 * sum(n > 0 for n in cells.parts)
+
+
+def test_topk_join_of_nothing_and_of_zeros(spark):
+    schema = "id int, v array<double>"
+    asked = spark.createDataFrame([(1, [1.0, 0.0])], "query int, vector array<double>")
+    search = lambda rows: topk.cosine_topk_join(spark.createDataFrame(rows, schema), asked, 2, id_column="id", vector_column="v")
+    assert search([]).isEmpty() and search([(1, None)]).isEmpty()
+    assert sorted(r["id"] for r in search([(3, [0.0, 0.0]), (2, [0.0, 0.0]), (1, [0.0, 0.0])]).collect()) == [1, 2]
 
 
 def test_topk_ranks_on_full_scores_and_rejects_other_lengths(spark):
@@ -348,7 +385,7 @@ def test_topk_join_equals_brute_force_over_many_blocks(spark):
         scores = np.rint(unit @ unit[q] * 1e12) / 1e12
         expected[str(q)] = sorted(range(200), key=lambda i: (-scores[i], i))[:4]
     got = {}
-    for row in topk.cosine_topk_join(df, asked, 4, block_rows=30, block_queries=5).orderBy("query", "rank").collect():
+    for row in topk.cosine_topk_join(df, asked, 4, block_rows=30, block_queries=5, cell_rows=20).orderBy("query", "rank").collect():
         got.setdefault(row["query"], []).append(row["review_id"])
     assert got == expected
     assert topk.cosine_topk_join(df, asked.where("false"), 4).isEmpty()
