@@ -11,7 +11,7 @@ import pytest
 import sentencepiece
 from pyspark.sql import functions as F
 
-from gristmill.llm import centroids, common, html_text, language, perplexity, piece_codec, runs
+from gristmill.llm import centroids, common, html_text, language, line_dedup, perplexity, piece_codec, runs
 
 SCHEMA = "doc_id bigint, text string, ids string, n_tokens string, decoded int, runs int, id string, words string, a string, h int"
 
@@ -547,3 +547,44 @@ def test_letters_ties_and_clashing_columns_of_languages(spark):
     assert all(got[20 + i][0] in ("aa", "bb") for i in (8, 10)) and got[29][0] == "aa"
     assert {got[i][0] for i in range(10)} == {"aa"}
     assert language.identify(docs.limit(0)).count() == 0
+
+
+# Line runs
+
+
+def test_batches_are_anti_joined_with_the_runs(spark, monkeypatch):
+    rng = random.Random(10)
+    line = lambda k: f"line {k:05} " + "x" * 40
+    rows = [(i, "\n".join(line(rng.randrange(40)) for _ in range(rng.randint(0, 6)))) for i in range(120)]
+    rows += [(i, line(7) + "\n" + line(1000 + i)) for i in range(200, 260)] + [rows[3]] * 3 + [(None, line(7)), (5, line(7)), (300, None), (301, "")]
+    rows += [(302, "\n".join(line(2000 + k) for k in range(30_000)) + "\n" + line(7))]
+    docs = spark.createDataFrame([(*r, 1, 2, "z") for r in rows], "doc_id long, text string, row long, batch long, h1 string")
+    documents = {}
+    for i, t in {(i, t) for i, t in rows if i is not None}:
+        for k in set((t or "").split("\n")):
+            documents.setdefault(k, set()).add((i, t))
+    largest = {k: max(i for i, _ in d) for k, d in documents.items() if len(d) >= 5 and len(k) >= 40}
+    want = []
+    for i, t in rows:
+        lines = (t or "").split("\n")
+        kept = [x for x in lines if i is None or x not in largest or i >= largest[x]]
+        want.append((i, "\n".join(kept), len(lines), len(lines) - len(kept)))
+    calls = []
+    real = line_dedup.LineRuns.unseen
+    monkeypatch.setattr(line_dedup.LineRuns, "unseen", lambda self, keys: calls.append(1) or real(self, keys))
+    for batches, fanout in ((7, 2), (None, 4), (1, 2)):
+        calls.clear()
+        got = [(r["doc_id"], r["text"], r["n_lines"], r["n_dropped"]) for r in line_dedup.deduplicate(docs, batches=batches, fanout=fanout).collect()]
+        assert sorted(got, key=str) == sorted(want, key=str)
+        assert len(calls) == (batches or line_dedup.BATCHES) - 1
+    assert line_dedup.deduplicate(docs.limit(0)).count() == 0
+
+
+def test_settled_keys_add_only_larger_documents(spark):
+    runs = line_dedup.LineRuns(spark, fanout=9, enough=2)
+    keys = lambda *rows: spark.createDataFrame([(d, d, 0, h, h) for h, d in rows], "row long, doc long, pos int, h1 long, h2 long")
+    for batch in (keys((1, 1), (1, 2), (2, 5)), keys((1, 1), (2, 6), (3, 1)), keys((1, 9), (2, 3), (3, 2))):
+        runs.add(batch)
+    sizes = [sorted((r["h1"], r["documents"], r["largest"]) for r in run.collect()) for run in runs.levels[0]]
+    assert sizes == [[(1, 2, 2), (2, 1, 5)], [(2, 1, 6), (3, 1, 1)], [(1, 0, 9), (3, 1, 2)]]
+    assert {r["h1"]: (r["documents"], r["largest"]) for r in runs.merged().collect()} == {1: (2, 9), 2: (2, 6), 3: (2, 2)}
