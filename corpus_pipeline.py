@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gristmill.llm import decontaminate, language, line_dedup, packing, simhash
-from gristmill.llm.common import materialize, prepare, table
+from gristmill.llm.common import materialize, prepare, small, table
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
@@ -51,9 +51,10 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that contain an item of the benchmark go."""
-    found = decontaminate.contaminated(docs, table(spark, sf_dir, "benchmark")).select(F.col("row").alias("_row")).distinct()
-    keyed = docs.withColumn("_row", F.xxhash64("doc_id", "text"))
-    return _documents(keyed.join(decontaminate.small(found), "_row", "left_anti"))
+    found = decontaminate.contaminated(docs, table(spark, sf_dir, "benchmark")).select(F.col("doc_id").alias("_id"), F.col("row").alias("_row"))
+    keyed = docs.withColumn("_text", F.xxhash64("doc_id", "text"))
+    same = (F.col("_text") == F.col("_row")) & F.col("doc_id").eqNullSafe(F.col("_id"))
+    return _documents(keyed.join(small(found.distinct()), same, "left_anti"))
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
