@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import re
 import sys
 import types
@@ -123,10 +125,21 @@ def worker_state(owner: str | None) -> types.ModuleType:
     state = sys.modules.setdefault("_kept_between_tasks", types.ModuleType("_kept_between_tasks"))
     if getattr(state, "owner", None) != owner:
         vars(state).clear()
+        _give_back()
         state.owner = owner
     return state
 
 
+def _give_back() -> None:
+    """Return freed memory to the system: the tasks of the next operator need it, also those of other workers."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):
+        pass  # other C libraries give memory back by themselves
+
+
 def map_rows(
     df: DataFrame, function: Callable[[Iterator[dict]], Iterable[dict]], schema: str, owner: str | None = None
 ) -> DataFrame:

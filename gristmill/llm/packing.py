@@ -24,8 +24,8 @@ from gristmill.llm.common import map_rows, materialize, prepare, shards_for, tab
 CAPACITY = 4096
 END_ID = 1
 TOKENIZER = "word_bpe_49k.json"
-#: Words whose ids a worker remembers before it starts over; about 150 MB.
-REMEMBERED = 600_000
+#: Words whose ids a worker remembers before it starts over; about 125 MB.
+REMEMBERED = 500_000
 PIECES_PER_PART = 1_000_000
 OWNER = "packing"
 _BETWEEN = "<|endoftext|>"
