@@ -24,8 +24,8 @@ from gristmill.llm.common import map_rows, materialize, prepare, shards_for, tab
 CAPACITY = 4096
 END_ID = 1
 TOKENIZER = "word_bpe_49k.json"
-#: Words whose ids a worker remembers before it starts over; about 125 MB.
-REMEMBERED = 500_000
+#: Words whose ids a worker remembers before it starts over; about 150 MB.
+REMEMBERED = 600_000
 PIECES_PER_PART = 1_000_000
 OWNER = "packing"
 _BETWEEN = "<|endoftext|>"
@@ -53,18 +53,19 @@ class WordIds:
     Texts with "<|", which starts special tokens, are encoded as they are.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, remembered: int = REMEMBERED):
         from tokenizers import Tokenizer
 
+        self._remembered = remembered
         self._tokenizer = Tokenizer.from_file(path)
         self._known: dict[bytes, bytes] = {}
         self._between = self._tokenizer.token_to_id(_BETWEEN)
 
     @classmethod
-    def shared(cls, path: str) -> "WordIds":
+    def shared(cls, path: str, remembered: int = REMEMBERED) -> "WordIds":
         state = worker_state(OWNER)
-        if getattr(state, "path", None) != path:
-            state.path, state.ids = path, cls(path)
+        if getattr(state, "made_for", None) != (path, remembered):
+            state.made_for, state.ids = (path, remembered), cls(path, remembered)
         return state.ids
 
     def _encoded(self, texts: list[str]) -> list[bytes]:
@@ -89,7 +90,7 @@ class WordIds:
         parts = [None if "<|" in t else _cased(t).split() for t in texts]
         words = set().union(*(p for p in parts if p))
         missing = words.difference(known)
-        if len(known) + len(missing) > REMEMBERED:
+        if len(known) + len(missing) > self._remembered:
             known.clear()
             missing = words
         # A word with a full stop or comma behind it is the word and that character.
@@ -102,11 +103,13 @@ class WordIds:
         return [next(special) if p is None else b"".join(map(known.__getitem__, p)) for p in parts]
 
 
-def pieces(docs: DataFrame, id_column: str, text_column: str, path: str, capacity: int, keep_ids: bool) -> DataFrame:
+def pieces(
+    docs: DataFrame, id_column: str, text_column: str, path: str, capacity: int, keep_ids: bool, remembered: int = REMEMBERED
+) -> DataFrame:
     """(id, piece, start, length, crc[, ids]): documents cut into pieces of at most ``capacity`` ids."""
 
     def run(rows: Iterator[dict]) -> Iterator[dict]:
-        encoder = WordIds.shared(path)
+        encoder = WordIds.shared(path, remembered)
         for some in _batches(rows):
             for row, ids in zip(some, encoder.encode([r["text"] or "" for r in some])):
                 ids += np.uint32(END_ID).tobytes()
@@ -240,16 +243,17 @@ def _intervals(patterns: list[tuple[int, list[tuple[int, int]]]]) -> tuple[np.nd
 
 
 def pack(
-    docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", path: str | None = None, capacity: int = CAPACITY, keep_ids: bool = False
+    docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", path: str | None = None, capacity: int = CAPACITY,
+    keep_ids: bool = False, remembered: int = REMEMBERED,
 ) -> DataFrame:
     """(``id_column``, piece, start, length, ids_crc32, sequence_id, offset[, ids]) of every piece.
 
     Ids are the tokenizer's, then one end id. Longer documents are cut into pieces of ``capacity``; nothing else is cut.
     Null and empty texts are the end id alone. Rows with equal or null ids are separate documents. Other columns are
-    ignored; an empty table gives an empty result.
+    ignored; an empty table gives an empty result. ``remembered`` words' ids are kept by a worker: more memory, less work.
     """
     prepare(docs.sparkSession)
-    cut = materialize(pieces(docs, id_column, text_column, path or tokenizer_path(), capacity, keep_ids), "pieces")
+    cut = materialize(pieces(docs, id_column, text_column, path or tokenizer_path(), capacity, keep_ids, remembered), "pieces")
     counts = {r["length"]: r["count"] for r in cut.groupBy("length").count().collect()}
     firsts, copies, sequences, offsets = _intervals(plan(counts, capacity))
     parts = shards_for(sum(counts.values()), PIECES_PER_PART, 8)
