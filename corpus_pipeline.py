@@ -12,6 +12,9 @@ from gristmill.llm.common import materialize, prepare, small, table
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
+#: Words that a worker of the packing stage remembers; the stages before it have left their share of memory in use.
+REMEMBERED = 150_000
+
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
@@ -60,7 +63,7 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """A row per piece of a document, with its place in a sequence."""
     prepare(spark)
-    return packing.pack(docs)
+    return packing.pack(docs, remembered=REMEMBERED)
 
 
 STAGES: list[tuple[str, Stage]] = [
