@@ -54,6 +54,12 @@ def cut(docs: DataFrame, id_column: str, text_column: str, lower: bool, learn: C
     return materialize(map_rows(narrow, run, SCHEMA), "blocks")
 
 
+def place(cut: DataFrame) -> Column:
+    """Numbers of the blocks with few gaps: the first blocks of all partitions, then the second ones, and so on."""
+    partitions = (cut.agg(F.max(F.shiftright("block", 24))).first()[0] or 0) + 1
+    return F.col("block").bitwiseAND(F.lit((1 << 24) - 1)) * partitions + F.shiftright("block", 24)
+
+
 def _block(block: int, ids: list, learns: list, texts: list[bytes], words: int) -> dict:
     ends = np.cumsum([len(t) for t in texts], dtype=np.int64).tolist()
     text = b"".join(texts)

@@ -162,9 +162,19 @@ def map_rows(
 
 
 def map_groups(
-    df: DataFrame, key: str, parts: int, function: Callable[[int, Iterator[dict]], Iterable[dict]], schema: str, order: tuple = ()
+    df: DataFrame,
+    key: str,
+    parts: int,
+    function: Callable[[int, Iterator[dict]], Iterable[dict]],
+    schema: str,
+    order: tuple = (),
+    place: Column | None = None,
 ) -> DataFrame:
-    """Run a generator over the rows of each key, which stream by in order; no group has to fit into memory."""
+    """Run a generator over the rows of each key, which stream by in order; no group has to fit into memory.
+
+    Keys are dealt to ``parts`` tasks by hash, or by ``place``, a whole number that follows from the key: numbers without gaps
+    give every task equally many keys.
+    """
 
     def run(rows: Iterator[dict]) -> Iterator[dict]:
         for value, group in groupby(rows, lambda row: row[key]):
@@ -172,8 +182,11 @@ def map_groups(
             for _ in group:
                 pass
 
-    dealt = df.repartition(parts, key).sortWithinPartitions(key, *order)
-    return map_rows(dealt, run, schema)
+    if place is None:
+        dealt = df.repartition(parts, key)
+    else:
+        dealt = df.repartitionById(parts, F.pmod(place, F.lit(parts)).cast("int"))
+    return map_rows(dealt.sortWithinPartitions(key, *order), run, schema)
 
 
 def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:

@@ -98,7 +98,7 @@ def score(
         "shard int, asked binary, keys array<binary>, shares array<binary>, estimates array<binary>, words binary, word_counts binary, "
         "tokens bigint, distinct_words bigint, top array<struct<node:bigint, zeros:double, ones:double, below:double>>"
     )
-    model = materialize(map_groups(requests.drop("block"), "shard", shards, build, built), "tree")
+    model = materialize(map_groups(requests.drop("block"), "shard", shards, build, built, place=F.col("shard")), "tree")
     n, v = model.agg(F.coalesce(F.sum("tokens"), F.lit(0)), F.coalesce(F.sum("distinct_words"), F.lit(0))).first()
     top = _top_levels(model)
 
@@ -110,14 +110,14 @@ def score(
         yield from _answers(rows, depth, top)
 
     answered = "block bigint, grams binary, bits binary, words binary, word_counts binary"
-    answers = map_groups(answering, "shard", shards, answer, answered, ("turn",))
+    answers = map_groups(answering, "shard", shards, answer, answered, ("turn",), F.col("shard"))
     meeting = answers.withColumn("turn", F.lit(0)).unionByName(cut.withColumn("turn", F.lit(1)), allowMissingColumns=True)
 
     def add_up(block: int, rows: Iterator[dict]) -> Iterator[dict]:
         yield from _document_scores(rows, depth, n, v)
 
     scored = "id bigint, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double, n_bytes bigint, bits_per_byte double"
-    return map_groups(meeting, "block", shards, add_up, scored, ("turn",)).withColumnRenamed("id", id_column)
+    return map_groups(meeting, "block", shards, add_up, scored, ("turn",), blocks.place(cut)).withColumnRenamed("id", id_column)
 
 
 def _requests(row: dict, depth: int, shards: int) -> Iterator[dict]:

@@ -121,7 +121,7 @@ def deduplicate(
     lengths = levels_of(window, least)
     # Filter levels only need enough bits to keep chance repeats rare; the last level compares 96.
     bits = [min(64, max(24, int(total).bit_length() + 10))] * (len(lengths) - 1) + [64]
-    answers = None
+    answers, place = None, blocks.place(cut)
     for level, length in enumerate(lengths):
         last = length == window
         shorter = (lengths[level - 1], bits[level - 1]) if level else None
@@ -132,15 +132,15 @@ def deduplicate(
         if answers is None:
             requests = map_rows(_meet(cut, None), lambda rows, ask=ask: chain.from_iterable(ask(r["block"], iter([r])) for r in rows), _ASKED)
         else:
-            requests = map_groups(_meet(cut, answers), "block", shards, ask, _ASKED, ("turn",))
+            requests = map_groups(_meet(cut, answers), "block", shards, ask, _ASKED, ("turn",), place)
         tell = _tell_last if last else _tell
-        answers = materialize(map_groups(requests, "shard", shards, tell, _TOLD), "repeated-windows")
+        answers = materialize(map_groups(requests, "shard", shards, tell, _TOLD, place=F.col("shard")), "repeated-windows")
 
     def finish(block: int, rows: Iterator[dict]) -> Iterator[dict]:
         yield from _kept(rows, window)
 
     done = "id bigint, n_words bigint, n_removed bigint, text string"
-    return map_groups(_meet(cut, answers), "block", shards, finish, done, ("turn",)).withColumnRenamed("id", id_column)
+    return map_groups(_meet(cut, answers), "block", shards, finish, done, ("turn",), place).withColumnRenamed("id", id_column)
 
 
 _ASKED = "block bigint, shard int, keys binary, several binary, checks binary, least binary"

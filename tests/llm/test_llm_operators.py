@@ -427,3 +427,19 @@ def test_pipeline(spark, texts, tmp_path):
     assert texts[5][0] not in ids["decontamination"] and ids["packing"] == ids["decontamination"]
     assert all(r["n_chars"] == len(r["text"]) for r in seen["decontamination"])
     assert {r["doc_id"] for r in corpus_pipeline.run(spark, str(tmp_path)).collect()} == ids["packing"]
+
+
+def test_groups_dealt_by_place_are_whole_and_balanced(spark):
+    docs = spark.range(3000).selectExpr("id as doc_id", "repeat('word ', 40) as text").repartition(7)
+    cut = blocks.cut(docs, "doc_id", "text", lower=False, block_bytes=20_000)
+    rows = cut.select("block", "n_words").unionByName(cut.select("block", "n_words"))
+
+    def count(block, group):
+        yield {"block": block, "rows": sum(1 for _ in group)}
+
+    done = common.map_groups(rows, "block", 5, count, "block long, rows int", place=blocks.place(cut)).withColumn("task", F.spark_partition_id())
+    found = done.collect()
+    assert {r["rows"] for r in found} == {2} and len(found) == cut.count() > 25
+    tasks = Counter(r["task"] for r in found)
+    assert len(tasks) == 5 and max(tasks.values()) <= 2 * min(tasks.values())
+    assert common.map_groups(rows.limit(0), "block", 5, count, "block long, rows int", place=blocks.place(cut.limit(0))).count() == 0
