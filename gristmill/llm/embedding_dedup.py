@@ -1,9 +1,11 @@
 """Near-duplicate vectors by quantised tile products with error bounds.
 
-Vectors of a label are dealt into tiles by hash. Every pair of tiles is one small task: the product of the int8 codes
-(exact, as sums of whole numbers in floating point) approximates all cosines, a bound from each vector's own
-quantisation error says how far each can be off, and only pairs that may reach the threshold are recomputed in double
-precision. A task reports link counts per vector and edges that span its links, never all pairs. Equal vectors are one class.
+Vectors of a label are dealt into tiles by hash. Tiles travel as int8 codes with a scale and an error per vector. Every pair of
+tiles is one small group: the product of the codes (exact, as sums of whole numbers in floating point) approximates all
+cosines, a bound from each vector's own quantisation error says how far each can be off, and the group names the vectors
+with a partner that may reach the threshold. Only those are fetched in full, once for each pair of tiles that named them, and
+recomputed in double precision. A group reports link counts per vector and edges that span its links, never all pairs. Equal
+vectors are one class.
 """
 
 from __future__ import annotations
@@ -24,15 +26,33 @@ _PAIRS = 1 << 14
 
 
 class Codes:
-    """Unit vectors as int8 codes: unit = scale * code + error, with the length of the error known per vector."""
+    """Unit vectors as int8 codes: unit = scale * code + error, with a bound of the length of the error per vector."""
 
-    def __init__(self, vectors: np.ndarray):
-        self.exact = vectors.astype(np.float64)
-        self.norm = np.sqrt(np.einsum("ij,ij->i", self.exact, self.exact))
-        unit = self.exact / self.norm[:, None]
-        self.scale = np.abs(unit).max(axis=1) / 127
-        self.codes = np.rint(unit / self.scale[:, None]).astype(np.int8)
-        self.error = np.linalg.norm(unit - self.scale[:, None] * self.codes, axis=1)
+    def __init__(self, codes: np.ndarray, scale: np.ndarray, error: np.ndarray):
+        self.codes, self.scale, self.error = codes, scale.astype(np.float64), error.astype(np.float64)
+
+    @classmethod
+    def of(cls, vectors: np.ndarray) -> Codes:
+        """Codes of vectors; scale and error are single precision numbers, the error rounded up."""
+        unit = _unit(vectors)
+        scale = (np.abs(unit).max(axis=1) / 127).astype(np.float32)
+        codes = np.clip(np.rint(unit / scale[:, None].astype(np.float64)), -127, 127).astype(np.int8)
+        error = np.linalg.norm(unit - scale[:, None].astype(np.float64) * codes, axis=1)
+        return cls(codes, scale, np.nextafter(error.astype(np.float32), np.float32(np.inf)))
+
+    @classmethod
+    def read(cls, row: dict) -> Codes:
+        codes = np.frombuffer(row["codes"], np.int8).reshape(-1, row["dim"])
+        return cls(codes, np.frombuffer(row["scale"], np.float32), np.frombuffer(row["error"], np.float32))
+
+    def written(self) -> dict:
+        scale, error = self.scale.astype(np.float32), self.error.astype(np.float32)
+        return {"codes": self.codes.tobytes(), "scale": scale.tobytes(), "error": error.tobytes()}
+
+
+def _unit(vectors: np.ndarray) -> np.ndarray:
+    exact = vectors.astype(np.float64)
+    return exact / np.sqrt(np.einsum("ij,ij->i", exact, exact))[:, None]
 
 
 def candidates(a: Codes, b: Codes, threshold: float) -> np.ndarray:
@@ -46,12 +66,15 @@ def candidates(a: Codes, b: Codes, threshold: float) -> np.ndarray:
     return product + (e + f + 3 * e * f) >= threshold - 1e-12
 
 
-def linked(a: Codes, b: Codes, threshold: float) -> tuple[np.ndarray, np.ndarray]:
-    rows, columns = np.nonzero(candidates(a, b, threshold))
+def linked(a: np.ndarray, b: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of vectors whose cosine in double precision reaches the threshold; the codes say which have to be computed."""
+    rows, columns = np.nonzero(candidates(Codes.of(a), Codes.of(b), threshold))
+    a, b = a.astype(np.float64), b.astype(np.float64)
+    a_norm, b_norm = (np.sqrt(np.einsum("ij,ij->i", x, x)) for x in (a, b))
     keep = []
     for at in range(0, len(rows), _PAIRS):
         i, j = rows[at : at + _PAIRS], columns[at : at + _PAIRS]
-        keep.append(np.einsum("ij,ij->i", a.exact[i], b.exact[j]) / (a.norm[i] * b.norm[j]) >= threshold)
+        keep.append(np.einsum("ij,ij->i", a[i], b[j]) / (a_norm[i] * b_norm[j]) >= threshold)
     kept = np.concatenate(keep) if keep else np.zeros(0, bool)
     return rows[kept], columns[kept]
 
@@ -83,27 +106,43 @@ def near_duplicates(
     classes = materialize(classes.withColumn("node", F.xxhash64("label", "h1", "h2")).withColumn("dim", F.size("v")), "vector-classes")
     sizes = classes.groupBy("label", "dim").agg(F.ceil(F.count(F.lit(1)) / tile).cast("int").alias("tiles"))
     dealt = classes.join(sizes, ["label", "dim"]).withColumn("tile", F.pmod("h1", "tiles").cast("int"))
-    tiles = dealt.groupBy("label", "dim", "tiles", "tile").agg(F.collect_list(F.struct("node", "copies", "v")).alias("members"))
+    g1, g2 = F.xxhash64("label", "dim"), F.xxhash64(F.lit("group"), "label", "dim")
+    dealt = dealt.withColumn("home", F.struct(g1.alias("g1"), g2.alias("g2"), "tile"))
+    tiles = dealt.groupBy("home", "dim", "tiles").agg(F.collect_list(F.struct("node", "copies", "v")).alias("members"))
+    single = vectors.schema[vector_column].dataType.elementType.typeName() == "float"
+    number = np.dtype(np.float32 if single else np.float64)
 
     def packed(rows: Iterator[dict]) -> Iterator[dict]:
         for row in rows:
             m = row.pop("members")
-            data = np.array([x["v"] for x in m], np.float64)
-            yield row | {"nodes": [x["node"] for x in m], "copies": [x["copies"] for x in m], "vectors": data.tobytes()}
+            data = np.array([x["v"] for x in m], number)
+            nodes, copies = (np.array([x[k] for x in m], np.int64).tobytes() for k in ("node", "copies"))
+            yield row | Codes.of(data).written() | {"nodes": nodes, "copies": copies, "vectors": data.tobytes()}
 
-    label = tiles.schema["label"].dataType.simpleString()
-    shape = f"label {label}, dim int, tiles int, tile int, nodes array<bigint>, copies array<bigint>, vectors binary"
+    home = "home struct<g1:bigint, g2:bigint, tile:int>"
+    shape = f"{home}, dim int, tiles int, codes binary, scale binary, error binary, nodes binary, copies binary, vectors binary"
     blocks = materialize(map_rows(tiles, packed, shape), "vector-tiles")
-    pairs = blocks.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
-    pairs = pairs.withColumn("pair", F.xxhash64("label", "dim", F.least("tile", "other"), F.greatest("tile", "other")))
+    coded = blocks.select("home", "dim", "tiles", "codes", "scale", "error", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)).alias("other"))
+    low, high = F.least("home.tile", "other"), F.greatest("home.tile", "other")
+    coded = coded.withColumn("pair", F.struct("home.g1", "home.g2", low.alias("low"), high.alias("high"))).drop("tiles", "other")
     tasks = max(8, min(100_000, blocks.selectExpr("coalesce(sum(tiles), 0)").first()[0]))
 
-    def compare(pair: int, rows: Iterator[dict]) -> Iterator[dict]:
-        yield from _tile_pair(list(rows), threshold)
+    def name(pair: dict, rows: Iterator[dict]) -> Iterator[dict]:
+        yield from _wanted(pair, list(rows), threshold)
 
-    found = materialize(
-        map_groups(pairs.drop("tiles"), "pair", tasks, compare, "node bigint, links bigint, other bigint"), "vector-links"
-    )
+    def fetch(home: dict, rows: Iterator[dict]) -> Iterator[dict]:
+        yield from _fetched(rows, number)
+
+    def compare(pair: dict, rows: Iterator[dict]) -> Iterator[dict]:
+        yield from _links(list(rows), number, threshold)
+
+    pair = "pair struct<g1:bigint, g2:bigint, low:int, high:int>"
+    named = map_groups(coded, "pair", tasks, name, f"{home}, {pair}, wanted binary")
+    held = blocks.select("home", F.lit(0).alias("turn"), "dim", "nodes", "copies", "vectors")
+    meeting = held.unionByName(named.withColumn("turn", F.lit(1)), allowMissingColumns=True)
+    parts = max(8, min(tasks, blocks.count()))
+    full = map_groups(meeting, "home", parts, fetch, f"{pair}, tile int, dim int, nodes binary, copies binary, vectors binary", ("turn",))
+    found = materialize(map_groups(full, "pair", tasks, compare, "node bigint, links bigint, other bigint"), "vector-links")
     counts = found.where("links is not null").groupBy("node").agg(F.sum("links").alias("links"))
     grouped = components(found.where("other is not null").select(F.col("node").alias("a"), F.col("other").alias("b")))
     named = classes.select("label", "h1", "h2", "node", "least", "copies").join(counts, "node", "left").join(grouped, "node", "left")
@@ -119,12 +158,37 @@ def near_duplicates(
     )
 
 
-def _tile_pair(rows: list[dict], threshold: float) -> Iterator[dict]:
+def _wanted(pair: dict, rows: list[dict], threshold: float) -> Iterator[dict]:
+    """The places in each tile of a pair that hold a vector with a possible partner in the other tile."""
+    rows.sort(key=lambda r: r["home"]["tile"])
+    near = candidates(Codes.read(rows[0]), Codes.read(rows[-1]), threshold)
+    if len(rows) == 1:
+        np.fill_diagonal(near, False)
+    for row, axis in zip(rows, (1, 0)):
+        places = np.flatnonzero(near.any(axis=axis))
+        if len(places):
+            yield {"home": row["home"], "pair": pair, "wanted": places.astype(np.int32).tobytes()}
+
+
+def _fetched(rows: Iterator[dict], number: np.dtype) -> Iterator[dict]:
+    """The named vectors of a tile for each of its pairs; the tile itself is the first row."""
+    for row in rows:
+        if row["turn"] == 0:
+            tile, nodes, copies = row, np.frombuffer(row["nodes"], np.int64), np.frombuffer(row["copies"], np.int64)
+            vectors = np.frombuffer(row["vectors"], number).reshape(-1, row["dim"])
+            continue
+        at = np.frombuffer(row["wanted"], np.int32)
+        some = {"nodes": nodes[at].tobytes(), "copies": copies[at].tobytes(), "vectors": vectors[at].tobytes()}
+        yield some | {"pair": row["pair"], "tile": tile["home"]["tile"], "dim": tile["dim"]}
+
+
+def _links(rows: list[dict], number: np.dtype, threshold: float) -> Iterator[dict]:
+    """Link counts of the vectors fetched for a pair of tiles, and edges that span the links."""
     rows.sort(key=lambda r: r["tile"])
-    tiles = [(np.array(r["nodes"]), np.array(r["copies"]), Codes(np.frombuffer(r["vectors"]).reshape(-1, r["dim"]))) for r in rows]
-    (a_node, a_copies, a), (b_node, b_copies, b) = tiles[0], tiles[-1]
+    read = [[np.frombuffer(r[k], np.int64) for k in ("nodes", "copies")] + [np.frombuffer(r["vectors"], number).reshape(-1, r["dim"])] for r in rows]
+    (a_node, a_copies, a), (b_node, b_copies, b) = read[0], read[-1]
     i, j = linked(a, b, threshold)
-    if len(tiles) == 1:
+    if len(rows) == 1:
         i, j = i[i != j], j[i != j]
         sides = [(i, a_node, b_copies[j])]
     else:

@@ -142,16 +142,39 @@ def test_embedding_dedup(spark):
             assert (got[i]["n_links"], got[i]["component_id"], got[i]["kept"]) == (near[i].sum(), root[i], root[i] == i)
         assert all(got[200 + i]["n_links"] == 0 and got[200 + i]["kept"] for i in range(len(bad)))
     assert embedding_dedup.near_duplicates(df.limit(0)).count() == 0
+    other = df.withColumn("label", F.when(F.col("label").isNotNull(), F.lit(float("nan")))).withColumn("embedding", F.col("embedding").cast("array<double>"))
+    near = unit @ unit.T >= 0.98
+    got = {r["vec_id"]: r["n_links"] for r in embedding_dedup.near_duplicates(other, tile=16).collect()}
+    assert [got[i] for i in range(len(vectors))] == (near.sum(axis=1) - 1).tolist()
 
 
 def test_quantised_bound_never_loses_a_pair():
     rng = np.random.default_rng(1)
-    a, b = embedding_dedup.Codes(rng.normal(size=(80, 2000))), embedding_dedup.Codes(rng.normal(size=(70, 2000)))
-    cosine = (a.exact / a.norm[:, None]) @ (b.exact / b.norm[:, None]).T
+    vectors = [rng.normal(size=(n, 2000)).astype(kind) for n, kind in ((80, np.float64), (70, np.float32))]
+    a, b = (embedding_dedup.Codes.of(v) for v in vectors)
+    units = [v.astype(float) / np.linalg.norm(v.astype(float), axis=1)[:, None] for v in vectors]
+    for codes, unit in zip((a, b), units):
+        off = np.linalg.norm(unit - codes.scale[:, None] * codes.codes, axis=1)
+        assert codes.codes.dtype == np.int8 and (off <= codes.error).all() and (codes.error < 0.02).all()
+        again = embedding_dedup.Codes.read(codes.written() | {"dim": 2000})
+        assert all((getattr(again, k) == getattr(codes, k)).all() for k in ("codes", "scale", "error"))
+    cosine = units[0] @ units[1].T
     for t in (-0.01, 0.0, 0.02):
         assert not ((cosine >= t) & ~embedding_dedup.candidates(a, b, t)).any()
 
 
+def test_only_vectors_with_possible_partners_are_fetched():
+    rng = np.random.default_rng(4)
+    base = rng.normal(size=(50, 32))
+    other = rng.normal(size=(40, 32))
+    other[7], other[9] = base[3] * 3, base[3] + 0.01
+    rows = [embedding_dedup.Codes.of(v).written() | {"home": {"tile": t}, "dim": 32} for t, v in ((5, other), (2, base))]
+    got = {r["home"]["tile"]: np.frombuffer(r["wanted"], np.int32).tolist() for r in embedding_dedup._wanted({}, rows, 0.98)}
+    assert got == {2: [3], 5: [7, 9]}
+    alone = {r["home"]["tile"]: [x["home"]["tile"] for x in embedding_dedup._wanted({}, [r], 0.98)] for r in rows}
+    assert alone == {2: [], 5: [5]}
+
+
 @pytest.mark.parametrize("codes", [1, 2])
 def test_anchors_meet_all_near_prints(codes):
     rng = np.random.default_rng(2)
