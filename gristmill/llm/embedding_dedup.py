@@ -16,13 +16,15 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gristmill.llm.common import hash128, map_groups, map_rows, materialize, prepare, table
+from gristmill.llm.common import hash128, map_groups, map_rows, materialize, prepare, shards_for, table
 from gristmill.llm.components import components
 
 THRESHOLD = 0.98
 TILE = 1024
 _EXACT = 1024  # so many products of two codes of at most 127 add up exactly in float32
 _PAIRS = 1 << 14
+_ROWS = 128  # rows of a product that are compared at a time, so that they stay in the processor's cache
+_TILES_PER_TASK = 16
 
 
 class Codes:
@@ -57,13 +59,21 @@ def _unit(vectors: np.ndarray) -> np.ndarray:
 
 def candidates(a: Codes, b: Codes, threshold: float) -> np.ndarray:
     """Pairs whose cosine may reach the threshold. With u = û + e: |u·v - û·v̂| <= (1+|e|)|f| + |e|(1+|f|) + |e||f|."""
-    product = np.zeros((len(a.codes), len(b.codes)))
-    for at in range(0, a.codes.shape[1], _EXACT):
-        part = slice(at, at + _EXACT)
-        product += a.codes[:, part].astype(np.float32) @ b.codes[:, part].astype(np.float32).T
-    product *= a.scale[:, None] * b.scale[None, :]
-    e, f = a.error[:, None], b.error[None, :]
-    return product + (e + f + 3 * e * f) >= threshold - 1e-12
+    near = np.empty((len(a.codes), len(b.codes)), bool)
+    other = b.codes.astype(np.float32).T
+    for first in range(0, len(near), _ROWS):
+        rows = slice(first, first + _ROWS)
+        mine = a.codes[rows].astype(np.float32)
+        product = np.zeros((len(mine), len(b.codes)))
+        for at in range(0, mine.shape[1], _EXACT):
+            product += mine[:, at : at + _EXACT] @ other[at : at + _EXACT]
+        product *= a.scale[rows, None]
+        product *= b.scale
+        e, f = a.error[rows, None], b.error
+        product += e * (1 + 3 * f)
+        product += f
+        np.greater_equal(product, threshold - 1e-12, out=near[rows])
+    return near
 
 
 def linked(a: np.ndarray, b: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
@@ -125,7 +135,9 @@ def near_duplicates(
     coded = blocks.select("home", "dim", "tiles", "codes", "scale", "error", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)).alias("other"))
     low, high = F.least("home.tile", "other"), F.greatest("home.tile", "other")
     coded = coded.withColumn("pair", F.struct("home.g1", "home.g2", low.alias("low"), high.alias("high"))).drop("tiles", "other")
-    tasks = max(8, min(100_000, blocks.selectExpr("coalesce(sum(tiles), 0)").first()[0]))
+    compared, held_tiles = blocks.agg(F.coalesce(F.sum("tiles"), F.lit(0)), F.count(F.lit(1))).first()
+    # Pairs stream through a task one by one, so any number of tasks will do.
+    tasks = min(100_000, shards_for(compared, _TILES_PER_TASK, 8))
 
     def name(pair: dict, rows: Iterator[dict]) -> Iterator[dict]:
         yield from _wanted(pair, list(rows), threshold)
@@ -140,7 +152,7 @@ def near_duplicates(
     named = map_groups(coded, "pair", tasks, name, f"{home}, {pair}, wanted binary")
     held = blocks.select("home", F.lit(0).alias("turn"), "dim", "nodes", "copies", "vectors")
     meeting = held.unionByName(named.withColumn("turn", F.lit(1)), allowMissingColumns=True)
-    parts = max(8, min(tasks, blocks.count()))
+    parts = min(100_000, shards_for(held_tiles, _TILES_PER_TASK, 8))
     full = map_groups(meeting, "home", parts, fetch, f"{pair}, tile int, dim int, nodes binary, copies binary, vectors binary", ("turn",))
     found = materialize(map_groups(full, "pair", tasks, compare, "node bigint, links bigint, other bigint"), "vector-links")
     counts = found.where("links is not null").groupBy("node").agg(F.sum("links").alias("links"))
