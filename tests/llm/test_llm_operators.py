@@ -1,5 +1,6 @@
 """The operators against brute force on small tables with nulls, empty and long texts, ties, repeated rows and clashing columns."""
 
+import functools
 import math
 import random
 import zlib
@@ -93,6 +94,68 @@ def test_lm_scoring(spark, texts):
     assert all(abs(r["score"] + 8 * r["n_bytes"] * math.log10(2)) < 1e-6 for r in nothing)
 
 
+def mixed_by_definition(training, depth):
+    """log10 probability of a text: every node's mixture by recursion over dictionaries, no arrays and no shards."""
+    counts, children = {}, {}
+    bits = lambda byte: f"{byte:08b}"
+    around = lambda text: b"\n" * depth + text + b"\n"
+    for text in map(around, training):
+        for i in range(depth, len(text)):
+            for d in range(depth + 1):
+                for k, bit in enumerate(bits(text[i])):
+                    node = text[i - d : i], bits(text[i])[:k]
+                    counts.setdefault(node, [0, 0])[int(bit)] += 1
+                    if d < depth:
+                        children.setdefault(node, set()).add((text[i - d - 1 : i], node[1]))
+
+    def estimated(node):
+        zeros, ones = counts[node]
+        return math.lgamma(zeros + 0.5) + math.lgamma(ones + 0.5) - math.lgamma(zeros + ones + 1) - math.log(math.pi)
+
+    @functools.cache
+    def weighted(node):
+        own = estimated(node)
+        if len(node[0]) == depth:
+            return own
+        below = sum(map(weighted, children[node]))
+        return np.logaddexp(own, below) - math.log(2)
+
+    @functools.cache
+    def one(context, prefix, d, above):
+        node = context[depth - d :], prefix
+        if node not in counts:
+            return above
+        own = (counts[node][1] + 0.5) / (sum(counts[node]) + 1)
+        if d == depth:
+            return own
+        share = math.exp(estimated(node) - math.log(2) - weighted(node))
+        return share * own + (1 - share) * one(context, prefix, d + 1, own)
+
+    def score(text):
+        text, total = around(text), 0.0
+        for i in range(depth, len(text)):
+            for k, bit in enumerate(bits(text[i])):
+                p = one(text[i - depth : i], bits(text[i])[:k], 0, 0.5)
+                total += math.log10(p if bit == "1" else 1 - p)
+        return total
+
+    return score
+
+
+@pytest.mark.parametrize("depth", [3, 5])
+def test_scores_of_a_whole_table_by_definition(spark, texts, depth):
+    rows = [(i, t) for i, t in texts if len(t or "") < 4000]
+    plain = lambda t: b" ".join((t or "").encode().lower().split())
+    learned = [(i, t) for i, t in rows if i % 3]
+    want = mixed_by_definition([plain(t) for _, t in learned], depth)
+    known = {w for _, t in learned for w in plain(t).split()}
+    got = lm_scoring.score(frame(spark, rows), F.col("doc_id") % 3 != 0, depth=depth, block_bytes=3000, shard_bytes=2000).collect()
+    pairs = sorted((r["doc_id"], r["score"], r["n_known"], r["n_bytes"]) for r in got)
+    expected = sorted((i, want(plain(t)), 1 + sum(w in known for w in plain(t).split()), len(plain(t)) + 1) for i, t in rows)
+    assert [(p[0], *p[2:]) for p in pairs] == [(e[0], *e[2:]) for e in expected]
+    assert np.allclose([p[1] for p in pairs], [e[1] for e in expected], rtol=1e-4)
+
+
 def test_line_dedup(spark, texts):
     docs = frame(spark, [*texts, (None, texts[-5][1]), (999, "y" * 50)])
     keys = Counter()
