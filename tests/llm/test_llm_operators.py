@@ -479,6 +479,21 @@ def test_query_equals_sql(name, spark, sf_dir):
     assert assert_same(queries.queries()[name](spark, sf_dir), connect(sf_dir), queries.oracle_sql()[name]) > 0
 
 
+@pytest.mark.parametrize(
+    "operator",
+    [
+        lambda docs: lm_scoring.score(docs, F.lit(True)),
+        lambda docs: simhash.near_duplicates(docs),
+        lambda docs: substring_dedup.deduplicate(docs),
+        lambda docs: packing.pack(docs),
+        lambda docs: decontaminate.contaminated(docs, docs.sparkSession.createDataFrame([(1, "a few words of an item")], "item_id long, text string")),
+    ],
+    ids=["lm_scoring", "simhash", "substring_dedup", "packing", "decontamination"],
+)
+def test_empty_tables_give_empty_results(spark, operator):
+    assert operator(frame(spark, [(1, "x")]).limit(0)).count() == 0
+
+
 def test_pipeline_keeps_documents_without_a_language_to_learn(spark, tmp_path):
     texts = ["Some words", "été", "12 !!", "", None, "²", "_", "\u4e00", "x" * 30_000]
     docs = frame(spark, list(enumerate(texts))).withColumn("lang", F.lit(None).cast("string"))
@@ -515,6 +530,12 @@ def test_pipeline(spark, texts, tmp_path):
     assert {r["doc_id"] for r in corpus_pipeline.run(spark, str(tmp_path)).collect()} == ids["packing"]
 
 
+def test_pipeline_of_an_empty_table(spark, tmp_path):
+    frame(spark, [(1, "x")]).limit(0).drop("row", "h1", "id", "turn").write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame([(1, "a few words of an item")], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
 def test_groups_dealt_by_place_are_whole_and_balanced(spark):
     docs = spark.range(3000).selectExpr("id as doc_id", "repeat('word ', 40) as text").repartition(7)
     cut = blocks.cut(docs, "doc_id", "text", lower=False, block_bytes=20_000)
