@@ -87,3 +87,34 @@ def test_shared_folder_is_needed_on_a_cluster():
         session.shared_dir(unset)
     named = SimpleNamespace(conf=SimpleNamespace(get=lambda key, default: "hdfs:///shared/"), sparkContext=context)
     assert session.shared_dir(named) == "hdfs:///shared"
+
+
+def test_ids_are_digested_after_the_shuffle_and_facts_are_those_of_staging(spark):
+    rows = [
+        ("A1", "U1", "10", 4.0, "3", "long text", True), ("A1", "U1", "10", 4.0, "5", "text", None), ("A1", "U1", "10", 2.0, None, None, False),
+        (None, None, None, None, None, " ", None), (None, None, None, None, "1", "x", None), ("A1", "U1", "x", -0.0, None, "y", True),
+        ("A1", "U1", "x", 0.0, None, "z", True),
+    ]
+    raw = spark.createDataFrame(rows, "asin string, reviewerID string, unixReviewTime string, overall double, vote string, reviewText string, verified boolean")
+    raw = raw.selectExpr("*", "'1' AS _id", "'1 2, 2020' AS reviewTime", "reviewText AS summary")
+    staged, facts = staging.reviews(raw, "2024-01-01"), staging.review_facts(raw, "2024-01-01")
+    assert staged.count() == 5
+    for df in (staged, features.with_review_id(facts)):
+        above, below = plan_of(df).split("Exchange hashpartitioning(_review_key", 1)
+        assert "sha2(" in above and "sha2(" not in below
+    assert sorted(map(str, features.with_review_id(facts).select(*features.REVIEW_FACTS).collect())) == sorted(
+        map(str, features.review_facts(staged).collect())
+    )
+    users = [features.product_review_stats(df, "2024-01-02").collect() for df in (staged, facts)]
+    assert sorted(map(str, users[0])) == sorted(map(str, users[1]))
+    base = features.user_features(facts, "2024-01-02"), features.product_review_stats(facts, "2024-01-02")
+    products = spark.createDataFrame([], "asin string, title string, brand string, price double, title_length int, description_total_length int, main_category string")
+    twice = [features.user_product_interactions(df.unionByName(df), products, *base, "2024-01-02").collect() for df in (staged, facts)]
+    assert sorted(map(str, twice[0])) == sorted(map(str, twice[1])) and len(twice[0]) == 5
+
+
+def test_uniqueness_of_long_texts_keeps_no_text(spark):
+    df = spark.createDataFrame([("a" * 1000,), ("a" * 1000,), ("b",), (None,), (None,)], "c string")
+    found = quality.evaluate(df, [quality.unique("c")])
+    assert [(r["element_count"], r["missing_count"], r["unexpected_count"]) for r in found.collect()] == [(5, 2, 2)]
+    assert "hashpartitioning(c#" not in plan_of(found) and "xxhash64(c" in plan_of(found)
