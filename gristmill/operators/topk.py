@@ -18,7 +18,7 @@ from functools import reduce
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -30,6 +30,8 @@ SCORE_BYTES = 32 * 1024 * 1024
 PIVOTS = 256
 #: Room for rounding in bounds on scores; angles near zero are good to eight digits.
 _ROOM = 1e-6
+#: What two products of the same vectors may differ by after rounding.
+_TIE = 2e-12
 
 
 def cosine_topk(
@@ -85,37 +87,75 @@ def cosine_topk_join(
     query_vector: str = "vector",
     id_column: str = "review_id",
     vector_column: str = "embedding",
-    block_rows: int = 4096,
-    block_queries: int = 1024,
+    block_rows: int = 16384,
+    block_queries: int = 16384,
     pivots: int = PIVOTS,
     cell_rows: int = 1024,
 ) -> DataFrame:
     """The k nearest ids of each row of a query frame: ``query, rank, <id>, score``, ranked as :func:`cosine_topk` does.
 
     Keys on both sides must be unique. Every vector belongs to the cell of its nearest pivot, a stored vector itself; a
-    cell's radius is the largest angle to it. A query searches the cell of its own nearest pivot first. Its k-th score then
-    rules out every cell whose best possible score, by the triangle inequality of angles, is below that; only the others
-    are searched. Cells are cut into blocks and queries into groups of one first cell, and each block and group
-    that meet are one matrix product in one task, so memory is bounded on both axes and a lost task gives the same
-    blocks again. Null vectors on either side are skipped, lengths that differ are an error.
+    cell's radius is the largest angle to it. Cells are packed into blocks, large ones cut, and queries into groups by their own
+    cells. A query searches the block of its own nearest pivot first. Its k-th score then rules out every cell whose
+    best possible score, by the triangle inequality of angles, is below that; only blocks with others are searched.
+    Each block and group that meet are one matrix product in one task, taken in slices, so memory is bounded on both axes and a
+    lost task gives the same blocks again. A vector is moved once per group or block it meets and keeps its own precision, and only
+    what reaches the k-th score comes back. Null vectors on either side are skipped, lengths that differ are an error.
     """
-    stored = vectors.where(F.col(vector_column).isNotNull()).select(F.col(id_column).alias("id"), F.col(vector_column).cast("array<double>").alias("v"))
-    asked = queries.where(F.col(query_vector).isNotNull()).select(F.col(query_column).alias("query"), F.col(query_vector).cast("array<double>").alias("v"))
+    stored = vectors.where(F.col(vector_column).isNotNull()).select(F.col(id_column).alias("id"), _narrow(vectors, vector_column).alias("v"))
+    asked = queries.where(F.col(query_vector).isNotNull()).select(F.col(query_column).alias("query"), _narrow(queries, query_vector).alias("v"))
     # Up to ``pivots`` cells, of ``cell_rows`` vectors on average or more: smaller products do not pay.
     cells = _cells(stored, min(pivots, _blocks(stored.count(), cell_rows)), block_rows)
-    groups = _blocks(asked.count(), block_queries)
     asked = materialize(_assigned(asked, "query", cells.pivots), "topk-queries")
-    group = F.col("cell") * groups + F.pmod(F.xxhash64("query"), F.lit(groups)).cast("int")
+    per_cell = {r["cell"]: r["n"] for r in asked.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).collect()}
+    group = _place("query", *_packed([per_cell.get(c, 0) for c in range(len(cells.parts))], block_queries))
     asked = asked.select("query", "v", "cell", group.alias("group"))
-    first = materialize(_search(cells, asked.withColumn("cells", F.array("cell")), k), "topk-first")
+    unbounded = F.lit(None).cast("double").alias("kth")
+    asked_first = asked.where(_of_cell(cells.parts) > 0).select("query", "v", "group", unbounded, _blocks_of(F.col("cell"), cells).alias("blocks"))
+    first = materialize(_search(cells, asked_first, k), "topk-first")
     reached = first.groupBy("query").agg(F.count(F.lit(1)).alias("n"), F.min("score").alias("least"))
     kth = asked.join(reached, "query", "left").withColumn("kth", F.when(F.col("n") >= k, F.col("least")))
-    rest = _search(cells, _with_cells(kth, cells), k)
+    rest = _search(cells, materialize(_other_blocks(_with_cells(kth, cells), cells), "topk-rest"), k)
     best_first = Window.partitionBy("query").orderBy(F.desc("score"), F.asc("id"))
     ranked = first.unionByName(rest).withColumn("rank", F.row_number().over(best_first)).where(F.col("rank") <= k)
     return ranked.select("query", "rank", F.col("id").alias(id_column), "score")
 
 
+def _narrow(df: DataFrame, column: str) -> Column:
+    """Floats stay floats until they are multiplied; anything else is taken as doubles."""
+    kind = df.schema[column].dataType
+    floats = isinstance(kind, T.ArrayType) and isinstance(kind.elementType, T.FloatType)
+    return F.col(column) if floats else F.col(column).cast("array<double>")
+
+
+def _packed(counts: list[int], most: int) -> tuple[list[int], list[int]]:
+    """The first block of each cell and the number of its blocks: small cells share one, large ones have several."""
+    first, parts, block, room = [], [], -1, 0
+    for n in counts:
+        if n > room:
+            block, room = block + 1, most
+        first.append(max(block, 0))
+        parts.append(_blocks(n, most) if n else 0)
+        room -= n
+        if n > most:
+            block, room = block + parts[-1] - 1, 0
+    return first, parts
+
+
+def _of_cell(numbers: list[int], cell: Column | None = None) -> Column:
+    return F.element_at(F.array(*[F.lit(n) for n in numbers]), (F.col("cell") if cell is None else cell) + 1)
+
+
+def _blocks_of(cell: Column, cells: _Cells) -> Column:
+    """The blocks of a cell that holds vectors."""
+    first = _of_cell(cells.first, cell)
+    return F.sequence(first, first + _of_cell(cells.parts, cell) - 1)
+
+
+def _place(key: str, first: list[int], parts: list[int]) -> Column:
+    return _of_cell(first) + F.pmod(F.xxhash64(key), F.greatest(_of_cell(parts), F.lit(1))).cast("int")
+
+
 @dataclass
 class _Cells:
     """Assigned vectors, and what is known of each cell: bounded by the number of pivots."""
@@ -123,6 +163,7 @@ class _Cells:
     stored: DataFrame
     pivots: np.ndarray
     radius: np.ndarray
+    first: list[int]
     parts: list[int]
 
 
@@ -136,8 +177,8 @@ def _cells(stored: DataFrame, pivots: int, block_rows: int) -> _Cells:
     about = {r["cell"]: r for r in assigned.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), F.max("angle").alias("radius")).collect()}
     number = max(1, len(matrix))
     radius = np.array([about[c]["radius"] if c in about else -np.inf for c in range(number)])
-    parts = [_blocks(about[c]["n"], block_rows) if c in about else 0 for c in range(number)]
-    return _Cells(assigned, matrix, radius, parts)
+    first, parts = _packed([about[c]["n"] if c in about else 0 for c in range(number)], block_rows)
+    return _Cells(assigned, matrix, radius, first, parts)
 
 
 def _unit(rows: np.ndarray) -> np.ndarray:
@@ -178,7 +219,7 @@ def _assigned(df: DataFrame, key: str, pivots: np.ndarray) -> DataFrame:
 def _with_cells(kth: DataFrame, cells: _Cells) -> DataFrame:
     """The queries with the cells, other than their first, that may hold one of their k nearest."""
     pivots, radius = cells.pivots, cells.radius
-    columns = kth.select("query", "v", "cell", "group")
+    columns = kth.select("query", "v", "cell", "group", F.col("kth").cast("double"))
     schema = T.StructType([*columns.schema, T.StructField("cells", T.ArrayType(T.IntegerType()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -194,22 +235,27 @@ def _with_cells(kth: DataFrame, cells: _Cells) -> DataFrame:
                 possible[np.arange(len(own)), own] = False
                 found = [np.flatnonzero(row).tolist() for row in possible]
             lists = pa.array(found or [[]] * batch.num_rows, pa.list_(pa.int32()))
-            yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(4)), lists], names=schema.names)
+            yield pa.RecordBatch.from_arrays([*batch.columns, lists], names=schema.names)
+
+    return columns.mapInArrow(run, schema)
+
 
-    return kth.select("query", "v", "cell", "group", F.col("kth").cast("double")).mapInArrow(run, schema)
+def _other_blocks(wanted: DataFrame, cells: _Cells) -> DataFrame:
+    """The blocks of the queries' cells that they have not searched with their first."""
+    some = wanted.where(F.size("cells") > 0)
+    blocks = F.array_distinct(F.flatten(F.transform("cells", lambda c: _blocks_of(c, cells))))
+    own = F.when(_of_cell(cells.parts) > 0, _blocks_of(F.col("cell"), cells)).otherwise(F.array().cast("array<int>"))
+    return some.select("query", "v", "group", "kth", F.array_except(blocks, own).alias("blocks"))
 
 
 def _search(cells: _Cells, asked: DataFrame, k: int) -> DataFrame:
-    """``query, id, score``: k candidates of each query from every block of its ``cells``."""
-    parts = F.array(*[F.lit(n) for n in cells.parts])
-    wanted = asked.select("query", "v", "group", F.explode("cells").alias("cell")).where(F.element_at(parts, F.col("cell") + 1) > 0)
-    right = wanted.withColumn("part", F.explode(F.sequence(F.lit(0), F.element_at(parts, F.col("cell") + 1) - 1)))
-    part = F.pmod(F.xxhash64("id"), F.element_at(parts, F.col("cell") + 1)).cast("int")
+    """``query, id, score``: up to k candidates of each query from every one of its ``blocks``."""
+    right = asked.select("query", "v", "kth", "group", F.explode("blocks").alias("block"))
     # Renamed, since both sides of the grouping below come from the queries.
-    pairs = wanted.select(F.col("cell").alias("met"), F.col("group").alias("by")).distinct()
-    left = cells.stored.select("id", "v", "cell", part.alias("part")).join(pairs, F.col("cell") == F.col("met"))
-    left = left.select("id", "v", "cell", "part", F.col("by").alias("group"))
-    keys = ["cell", "part", "group"]
+    pairs = right.select(F.col("block").alias("met"), F.col("group").alias("by")).distinct()
+    left = cells.stored.select("id", "v", _place("id", cells.first, cells.parts).alias("block")).join(pairs, F.col("block") == F.col("met"))
+    left = left.select("id", "v", "block", F.col("by").alias("group"))
+    keys = ["block", "group"]
     kinds = right.schema["query"].dataType, left.schema["id"].dataType
     schema = T.StructType([T.StructField("query", kinds[0]), T.StructField("id", kinds[1]), T.StructField("score", T.DoubleType())])
     return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(_block_scorer(k), schema)
@@ -230,11 +276,23 @@ def _block_scorer(k: int):
             raise ValueError(f"queries of length {queries.shape[1]}, vectors of length {vectors.shape[1]}")
         # Columns in the order of the ids: the first of equal scores is then the smallest id.
         order = np.array(pc.array_sort_indices(ids))
-        scores = np.rint((queries @ vectors[order].T) * 1e12) / 1e12
-        best = np.argsort(-scores, axis=1, kind="stable")[:, :k]
-        rows = np.repeat(np.arange(len(queries)), best.shape[1])
-        found = [names.take(pa.array(rows)), ids.take(pa.array(order[best.ravel()])), pa.array(scores[rows, best.ravel()])]
-        return pa.table(found, schema=kinds)
+        vectors, kth = vectors[order], asked.column("kth").to_numpy()
+        floor = np.where(np.isnan(kth), -np.inf, kth - _TIE)
+        step, found = max(1, SCORE_BYTES // (8 * len(vectors))), []
+        for at in range(0, len(queries), step):
+            scores = np.rint((queries[at : at + step] @ vectors.T) * 1e12) / 1e12
+            least = floor[at : at + step]
+            if len(vectors) > k:
+                least = np.maximum(least, np.partition(scores, len(vectors) - k, axis=1)[:, len(vectors) - k])
+            rows, columns = np.nonzero(scores >= least[:, None])
+            values = scores[rows, columns]
+            best = np.lexsort((columns, -values, rows))
+            rows, columns, values = rows[best], columns[best], values[best]
+            # Of equal scores at the end there may be more than k.
+            kept = np.arange(len(rows)) - np.searchsorted(rows, rows) < k
+            found.append((rows[kept] + at, order[columns[kept]], values[kept]))
+        rows, columns, values = (np.concatenate([f[i] for f in found]) for i in range(3))
+        return pa.table([names.take(pa.array(rows)), ids.take(pa.array(columns)), pa.array(values)], schema=kinds)
 
     return score
 

@@ -404,3 +404,35 @@ def test_every_check_of_a_suite_can_fail(spark, table):
     empty = spark.range(2).select(*[F.lit(None).cast("string").alias(n) for n in names])
     failed = {(r["expectation"], r["column"]) for r in quality.evaluate(empty, suite).collect() if not r["success"]}
     assert {(c.expectation, c.column) for c in suite if c.expectation in (quality.NOT_NULL, quality.NON_NULL_SHARE)} <= failed
+
+
+def test_topk_join_moves_a_vector_once_per_block_not_per_few_queries(spark, monkeypatch):
+    moved = []
+    scorer = topk._block_scorer
+
+    def counted(k):
+        score, seen = scorer(k), spark.sparkContext.accumulator(0)
+        moved.append(seen)
+
+        def run(stored, asked):
+            seen.add(stored.num_rows)
+            return score(stored, asked)
+
+        return run
+
+    monkeypatch.setattr(topk, "_block_scorer", counted)
+    rng = np.random.default_rng(7)
+    matrix = rng.normal(size=(3000, 8)).astype(np.float32)
+    df = spark.createDataFrame([(i, [float(x) for x in r]) for i, r in enumerate(matrix)], "id int, embedding array<float>")
+    asked = df.selectExpr("id AS query", "embedding AS vector")
+    got = topk.cosine_topk_join(df, asked, 3, id_column="id", block_rows=1000, block_queries=1000, cell_rows=50).collect()
+    # Three blocks or four, and as many groups: before, 180 groups of 17 queries.
+    assert sum(m.value for m in moved) <= 5 * 3000
+    unit = matrix.astype(float) / np.linalg.norm(matrix.astype(float), axis=1)[:, None]
+    for q in range(0, 3000, 500):
+        scores = np.rint(unit @ unit[q] * 1e12) / 1e12
+        assert [r["id"] for r in sorted(got, key=lambda r: r["rank"]) if r["query"] == q] == sorted(range(3000), key=lambda i: (-scores[i], i))[:3]
+
+
+def test_cells_are_packed_into_blocks():
+    assert topk._packed([3, 4, 0, 25, 2, 9, 1], 10) == ([0, 0, 0, 1, 4, 5, 5], [1, 1, 0, 3, 1, 1, 1])
