@@ -101,7 +101,10 @@ def products(raw: DataFrame, ingest_dt: str, source_system: str = PRODUCT_SOURCE
         F.lit(source_system).alias("source_system"),
     )
     order = newest("updated_at") + digest_order(typed, ["asin", "updated_at", "ingest_dt", "source_system"])
-    return first_per_key(typed, ["asin"], order)
+    # A small file that holds many products is one task. Dealt by their content, records are sorted in tasks of bounded size, and those
+    # of one product are still limited before they meet.
+    dealt = typed.repartition(F.xxhash64("asin", "updated_at", "title"))
+    return first_per_key(dealt, ["asin"], order)
 
 
 def _unique_reviews(raw: DataFrame, ingest_dt: str, source_system: str) -> DataFrame:

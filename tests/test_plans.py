@@ -118,3 +118,9 @@ def test_uniqueness_of_long_texts_keeps_no_text(spark):
     found = quality.evaluate(df, [quality.unique("c")])
     assert [(r["element_count"], r["missing_count"], r["unexpected_count"]) for r in found.collect()] == [(5, 2, 2)]
     assert "hashpartitioning(c#" not in plan_of(found) and "xxhash64(c" in plan_of(found)
+
+
+def test_products_are_dealt_before_they_are_sorted(spark, sf_dir):
+    plan = plan_of(staging.products(samples.raw_products(spark, sf_dir), "2024-01-01"))
+    # Read from below: the records are dealt, then limited, then meet by their key.
+    assert re.search(r"hashpartitioning\(asin#.*WindowGroupLimit.*hashpartitioning\(xxhash64\(asin", plan, re.S)
