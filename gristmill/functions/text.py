@@ -9,8 +9,12 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-#: Fixed value: the code points Python treats as white space. Java's ``\s`` covers only the ASCII ones.
-WHITESPACE = r"[\u0009-\u000d\u001c-\u0020\u0085\u00a0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
+#: Fixed value: the code points Python treats as white space. Java's ``\s`` covers only the ASCII ones. Those below U+0100 stand one by
+#: one, which Java looks up in a table; the others are compared only where a character lies between the first and the last of them.
+WHITESPACE = (
+    r"[\u0009\u000a\u000b\u000c\u000d\u001c\u001d\u001e\u001f\u0020\u0085\u00a0"
+    r"[\u1680-\u3000&&[\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]]]"
+)
 
 
 def blank_to_null(c: Column) -> Column:

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Callable, Sequence
-from functools import lru_cache
 
 import numpy as np
 from pyspark.ml.functions import predict_batch_udf
@@ -12,6 +11,9 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+#: Tokens whose components a worker remembers before it starts over.
+REMEMBERED_TOKENS = 100_000
+
 Encoder = Callable[[Sequence[str]], np.ndarray]
 EncoderFactory = Callable[[], Encoder]
 
@@ -44,19 +46,32 @@ def embed(text: Column, factory: EncoderFactory, batch_size: int = 32, normalize
     return F.when(text.isNotNull(), udf(F.coalesce(text, F.lit(""))))
 
 
+class _Slots(dict):
+    """The component of each token met so far."""
+
+    def __init__(self, dim: int):
+        super().__init__()
+        self._dim = dim
+
+    def __missing__(self, token: str) -> int:
+        slot = int(hashlib.md5(token.encode("utf-8")).hexdigest()[:8], 16) % self._dim
+        self[token] = slot
+        return slot
+
+
 def hashed_tokens(dim: int) -> EncoderFactory:
     """Dependency-free encoder: counts of space-separated tokens, each hashed to a component."""
 
     def factory() -> Encoder:
-        @lru_cache(maxsize=100_000)
-        def slot(token: str) -> int:
-            return int(hashlib.md5(token.encode("utf-8")).hexdigest()[:8], 16) % dim
+        slots = _Slots(dim)
 
         def encode(texts: Sequence[str]) -> np.ndarray:
             out = np.zeros((len(texts), dim), dtype=np.float32)
             for row, text in enumerate(texts):
-                slots = np.fromiter((slot(token) for token in text.split(" ") if token), dtype=np.int64)
-                out[row] = np.bincount(slots, minlength=dim)
+                found = np.array([slots[token] for token in text.split(" ") if token], dtype=np.int64)
+                out[row] = np.bincount(found, minlength=dim)
+            if len(slots) > REMEMBERED_TOKENS:
+                slots.clear()
             return out
 
         return encode
