@@ -232,6 +232,24 @@ def test_a_writer_between_check_and_commit_is_seen(spark, tmp_path, monkeypatch)
     assert stored_texts(run) == hashes_of(spark, (1, "a"), (2, "b"), (3, "c"))
 
 
+def test_what_a_vector_run_needs_between_its_steps_goes_with_it(spark, tmp_path):
+    """Only versions, the prepared rows and reports stay; a run without changes leaves nothing either."""
+    run = a_run(spark, tmp_path, vector_buckets=2)
+    for texts in ([(1, "a"), (2, "b")], [(1, "A"), (3, "c")], [(1, "A")]):
+        run.commit_vectors(run.draft_vectors(vectors.prepare(review_rows(spark, *texts), "v1"), hashed_tokens(8)), 8)
+    left = {f.relative_to(tmp_path).parts[0] for f in tmp_path.rglob("*.parquet") if "version-" not in str(f)}
+    assert not left
+    assert stored_texts(run) == hashes_of(spark, (1, "A"), (2, "b"), (3, "c"))
+
+
+def test_a_third_run_finds_what_the_second_staged(spark, tmp_path):
+    run = a_run(spark, tmp_path, vector_buckets=2)
+    tables.write_partitions(review_rows(spark, (1, "a"), (2, "b")), run.staging_path("reviews"))
+    for _ in range(2):
+        table = run.build_vectors(hashed_tokens(8), 8, "v1")
+    assert tables.current_version(spark, run.vector_path).number == 1 and table.count() == 2
+
+
 # Retention
 
 
