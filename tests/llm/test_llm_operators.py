@@ -375,6 +375,19 @@ def test_word_ids_of_marks_that_compose_in_one_case():
     assert ids.encode(texts) == ids._encoded(texts)
 
 
+def test_packing_forgets_only_words_that_are_not_at_hand():
+    """Where memory ends, words that come again are not encoded again."""
+    ids = packing.WordIds(packing.tokenizer_path(), remembered=40)
+    learned, learn = [], ids._learn
+    ids._learn = lambda words: (learned.extend(words), learn(words))
+    usual = "the usual words, often met."
+    for n in range(6):
+        texts = [usual + "".join(f" once{n}x{i}" for i in range(20)), "The USUAL it\u00e9ms"]
+        assert ids.encode(texts) == ids._encoded(texts)
+        assert len(ids._known) <= 60
+    assert learned.count(b"usual") == 1
+
+
 def test_language(spark):
     rng = random.Random(7)
     vocab = {"en": ["the", "thing", "shower"], "de": ["über", "schön", "nicht"], "fr": ["être", "où", "leçon"]}
