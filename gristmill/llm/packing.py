@@ -93,12 +93,14 @@ class WordIds:
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as little-endian unsigned 32-bit numbers."""
         known = self._known
-        parts = [None if "<|" in t else _cased(t).split() for t in texts]
-        words = set().union(*(p for p in parts if p))
-        missing = words.difference(known)
+        # Equal words are one object: as objects of their own they would be ten times their bytes.
+        one: dict[bytes, bytes] = {}
+        parts = [None if "<|" in t else [*map(one.setdefault, found := _cased(t).split(), found)] for t in texts]
+        words = one.keys()
+        missing = words - known.keys()
         if len(known) + len(missing) > self._remembered:
             # Words that come again are among these; most others came once.
-            self._known = known = {w: known[w] for w in words.difference(missing)}
+            self._known = known = {w: known[w] for w in words - missing}
         # A word with a full stop or comma behind it is the word and that character.
         split = {w for w in missing if w[-1] in b".," and len(w) > 1 and w[-2:-1].isalnum()}
         bare = {w[:-1] for w in split} | {w[-1:] for w in split} | (missing - split)

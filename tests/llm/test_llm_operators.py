@@ -3,10 +3,12 @@
 import functools
 import math
 import random
+import tracemalloc
 import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from compare import assert_same, connect
@@ -388,6 +390,34 @@ def test_packing_forgets_only_words_that_are_not_at_hand():
     assert learned.count(b"usual") == 1
 
 
+def test_word_ids_hold_equal_words_once():
+    """Memory of a batch's words follows the distinct words, not the text."""
+    ids = packing.WordIds(packing.tokenizer_path())
+    texts = ["often met words " * 4000] * 20
+    ids.encode(texts[:1])
+    tracemalloc.start()
+    found = ids.encode(texts)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    # Eight bytes for each word's place and as many for its ids; a word as an object of its own would take 40 more.
+    assert peak - sum(map(len, found)) < 16 * 20 * 12_000
+
+
+def test_a_task_gives_its_memory_back_when_it_ends(spark, monkeypatch):
+    """Idle workers of earlier stages share an executor with the tasks of the next."""
+
+    class Frame:
+        def mapInArrow(self, run, schema):
+            return run
+
+    rows = common.map_rows(Frame(), lambda rows: rows, "a bigint")(iter([pa.RecordBatch.from_pylist([{"a": 1}])]))
+    given = []
+    monkeypatch.setattr(common, "_give_back", lambda: given.append(1))
+    assert next(rows).to_pylist() == [{"a": 1}]
+    before = len(given)
+    assert list(rows) == [] and len(given) == before + 1
+
+
 def test_language(spark):
     rng = random.Random(7)
     vocab = {"en": ["the", "thing", "shower"], "de": ["über", "schön", "nicht"], "fr": ["être", "où", "leçon"]}
