@@ -6,7 +6,7 @@ from types import SimpleNamespace
 import pytest
 from pyspark.sql import functions as F
 
-from gristmill import session
+from gristmill import registry, session
 from gristmill.operators import quality
 from gristmill.plans import features, staging, suites, vectors
 from gristmill.sources import samples
@@ -124,3 +124,9 @@ def test_products_are_dealt_before_they_are_sorted(spark, sf_dir):
     plan = plan_of(staging.products(samples.raw_products(spark, sf_dir), "2024-01-01"))
     # Read from below: the records are dealt, then limited, then meet by their key.
     assert re.search(r"hashpartitioning\(asin#.*WindowGroupLimit.*hashpartitioning\(xxhash64\(asin", plan, re.S)
+
+
+def test_named_queries_bound_what_the_planner_merges(spark, sf_dir):
+    """Partitions of narrow rows become thirty times their size behind a join, so they are not merged up to 64 MB."""
+    registry.queries()["staging_reviews"](spark, sf_dir)
+    assert int(spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")) <= 16 << 20
