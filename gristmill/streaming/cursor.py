@@ -66,6 +66,20 @@ def _bound(watermark: Column | str, kind: T.DataType, overlap: str | int | None)
     return (at - F.expr(f"INTERVAL {overlap}")).cast(kind)
 
 
+def boundary(lines: DataFrame, field_name: str, watermark: str | None, kind: T.DataType, overlap: str | int | None = None) -> DataFrame:
+    """``cursor, digest`` of the stored lines (``value``) whose cursor lies in the open stretch or is null.
+
+    A line's cursor is parsed once for the test, and again only of the few lines that pass it.
+    """
+    cursor = F.get_json_object("value", f"$['{field_name}']")
+
+    def open_(c: Column) -> Column:
+        return c.isNull() if watermark is None else c.isNull() | (c.cast(kind) >= _bound(watermark, kind, overlap))
+
+    met = lines.where(F.exists(F.array(cursor), open_))
+    return met.select(cursor.alias("cursor"), digest(F.col("value")).alias("digest"))
+
+
 def after(df: DataFrame, field_name: str, watermark: Column | str | None) -> DataFrame:
     """Rows past a watermark; all rows when there is none. The filter reaches the scan."""
     if watermark is None:
@@ -138,12 +152,7 @@ def commit(
     folders = state.folders
     if batch is not None:
         lines = spark.read.text(batch.path)
-        cursor = F.get_json_object("value", f"$['{field_name}']")
-        rows = lines.select(cursor.alias("cursor"), digest(F.col("value")).alias("digest"))
-        open_ = F.col("cursor").isNull()
-        if watermark is not None:
-            open_ = open_ | (F.col("cursor").cast(kind) >= _bound(watermark, kind, overlap))
-        rows = rows.where(open_)
+        rows = boundary(lines, field_name, watermark, kind, overlap)
         folder = f"{base}/taken/{uuid.uuid4().hex}"
         if len(folders) >= MOST_FOLDERS:
             before = taken(spark, State(state.number, watermark, folders), kind, overlap)

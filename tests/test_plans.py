@@ -5,6 +5,7 @@ from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from gristmill import registry, session
 from gristmill.operators import quality
@@ -130,3 +131,14 @@ def test_named_queries_bound_what_the_planner_merges(spark, sf_dir):
     """Partitions of narrow rows become thirty times their size behind a join, so they are not merged up to 64 MB."""
     registry.queries()["staging_reviews"](spark, sf_dir)
     assert int(spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")) <= 16 << 20
+
+
+def test_boundary_set_parses_a_line_once_to_test_it(spark):
+    stored = ['{"at":3}', '{"at":5,"x":1}', '{"at":null}', '{"x":"at"}', '{"at":9}']
+    lines = spark.createDataFrame([(v,) for v in stored], "value string")
+    found = cursor.boundary(lines, "at", "5", T.LongType())
+    assert sorted(r["cursor"] or "" for r in found.collect()) == ["", "", "5", "9"]
+    assert [r["cursor"] for r in cursor.boundary(lines, "at", None, T.LongType()).collect()] == [None, None]
+    assert len(cursor.boundary(lines, "at", "5", T.LongType(), 2).collect()) == 5
+    (kept,) = re.findall(r"Filter .*", plan_of(found))
+    assert kept.count("get_json_object") == 1
