@@ -476,6 +476,38 @@ def test_kneser_ney_against_the_definitions(spark, seed):
     assert {r["id"]: r["lang"] for r in plain} == {i: "x" if i % 2 else "" for i in range(len(asked))}
 
 
+def test_quality_learns_from_all_trusted_texts(spark):
+    rng = random.Random(8)
+    make = lambda n: " ".join(f"w{rng.randrange(12)}" for _ in range(n))
+    texts = [make(3) for _ in range(2600)] + [make(9000), make(9000), "", None]
+    docs = spark.createDataFrame([(i, t, "en") for i, t in enumerate(texts)], "doc_id long, text string, lang string").repartition(4)
+    labels = spark.createDataFrame([(i, 1, 0) for i in range(len(texts)) if i % 40], "doc_id long, quality int, toxic int")
+    learned = {r[0] for r in docs.selectExpr("doc_id", "pmod(xxhash64(text, doc_id), 5) != 0 AS taken").where("taken").collect()}
+    learned = {i for i in learned if i % 40 and texts[i]}
+    assert len(learned) > 2000 and any(len(texts[i]) > 20_000 for i in learned)
+    model = BruteKneserNey([texts[i] for i in learned])
+    got = perplexity.classify(docs, labels).collect()
+    assert len(got) == len(texts)
+    for r in got:
+        if r["doc_id"] % 20 == 0 or r["doc_id"] >= 2600:
+            assert abs(r["log10"] - model.log10(texts[r["doc_id"]])) < 1e-6 * r["n_tokens"]
+
+
+def test_quality_model_deals_frequent_words_over_shards(spark):
+    rng = random.Random(9)
+    make = lambda n: " ".join(rng.choice(["the", "the", "the", *"abcdefgh"]) for _ in range(n))
+    known, asked = [make(40) for _ in range(30)], [make(20) for _ in range(12)]
+    frame = lambda texts: spark.createDataFrame(list(enumerate(texts)), "id long, text string").repartition(3)
+    asks = frame(asked).selectExpr("id", "'' AS lang", "text", "false AS learn", "false AS trusted", "true AS asked")
+    rows = asks.unionByName(perplexity._to_learn(frame(known))).coalesce(2)
+    dealer = perplexity._sharded(rows, 200, 200)
+    assert dealer.spread(np.array([perplexity._word("the")], np.uint64))[0] > 3
+    model = BruteKneserNey(known)
+    got = {r["id"]: r["log10"] for r in perplexity._score(rows, 300, dealer, rounds=2).collect()}
+    assert len(got) == len(asked)
+    assert all(abs(x - model.log10(asked[i])) < 1e-6 for i, x in got.items())
+
+
 def test_quality_of_repeated_rows_languages_and_odd_columns(spark):
     rng = random.Random(4)
     make = lambda k, n=30: " ".join(f"{k}{rng.randrange(30)}" for _ in range(n))
