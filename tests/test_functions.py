@@ -145,3 +145,11 @@ def test_vector_literal(spark):
 def test_wrong_dimension_ignores_missing_vectors(spark):
     got = apply(spark, lambda c: vectors.has_wrong_dimension(c, 2), [[1.0], [1.0, 2.0], None], "array<float>")
     assert got == [True, False, False]
+
+
+def test_packed_texts_are_shorter_and_come_back(spark):
+    digest = "0123456789abcdef" * 4
+    values = [digest, digest.upper(), digest + "0", "R1", "", None, "a" * 31, "ü" * 16, "\x00x", "\x01x"]
+    packed = apply(spark, parse.packed, values)
+    assert len(packed[0]) == 33 and len({bytes(p) for p in packed if p is not None}) == 9
+    assert apply(spark, lambda c: parse.unpacked(parse.packed(c)), values) == values

@@ -1,6 +1,7 @@
 """Shapes of physical plans that matter on large data."""
 
 import re
+import time
 from types import SimpleNamespace
 
 import pytest
@@ -142,3 +143,40 @@ def test_boundary_set_parses_a_line_once_to_test_it(spark):
     assert len(cursor.boundary(lines, "at", "5", T.LongType(), 2).collect()) == 5
     (kept,) = re.findall(r"Filter .*", plan_of(found))
     assert kept.count("get_json_object") == 1
+
+
+def shuffle_files(spark):
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return set(re.findall(r"shuffle_\d+_\d+_\d+\.data", files.mkString(" ")))
+
+
+def test_shuffles_of_a_step_go_when_it_has_ended(spark, sf_dir):
+    """What the interactions are built of is written; nothing that was shuffled for it stays on disk behind it."""
+    before = shuffle_files(spark)
+    table = registry.queries()["user_product_interactions"](spark, sf_dir.replace("sf0.01", "sf0.001"))
+    until = time.time() + 20
+    while shuffle_files(spark) - before and time.time() < until:
+        time.sleep(0.2)
+    assert not shuffle_files(spark) - before
+    # A frame that is run again finds its rows again.
+    assert len(table.collect()) == len(table.collect()) > 0
+
+
+def test_a_batch_is_shuffled_once_for_its_check_and_its_comparison(spark):
+    schema = "review_id string, asin string, reviewer_id string, review_timestamp timestamp, {}text_hash string, model_version string, embedding array<float>"
+    batch = spark.createDataFrame([("R1", "A", "U", None, None, "h", "m", [1.0])], schema.format("ingest_dt date, "))
+    stored = spark.createDataFrame([], schema.format("") + ", created_at timestamp, updated_at timestamp").where("false")
+    changed = vectors.changed_vectors(stored, batch, F.current_timestamp())
+    assert len(re.findall(r"Exchange hashpartitioning", plan_of(changed))) == 1
+    assert [r["review_id"] for r in changed.collect()] == ["R1"]
+
+
+def test_ids_are_packed_while_reviews_are_shuffled(spark, stored_reviews):
+    facts = features.review_facts(stored_reviews)
+    users, stats = features.user_features(facts, "2024-01-02"), features.product_review_stats(facts, "2024-01-02")
+    products = spark.createDataFrame([], "asin string, title string, brand string, price double, title_length int, description_total_length int, main_category string")
+    for made in (stats, features.user_product_interactions(facts, products, users, stats, "2024-01-02", reviews_are_unique=True)):
+        made.collect()
+        final = plan_of(made)
+        assert "unhex(review_id" in final and "(hex(substring(review_id" in final
+    assert sorted(r["review_id"] for r in made.collect()) == sorted(r["review_id"] for r in facts.collect())
